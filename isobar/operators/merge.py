@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.functions import calendar
-from isobar.operators.star import distinct_dates, distinct_locations, fail_if
 from isobar.functions.keys import dense_ids
+from isobar.operators.star import distinct_dates, distinct_locations, fail_if
 from isobar.schemas import DIM_DATE, DIM_LOCATION, FACT_KEYS
 from isobar.session import shared_dir
-from isobar.sources.layout import aligned, overwrite_partitions
+from isobar.sources.layout import aligned, drop_scratch, overwrite_partitions
 from isobar.sources.warehouse import FACT_TABLE, Warehouse
 
 
@@ -57,34 +57,40 @@ def upserted(target: DataFrame, source: DataFrame) -> DataFrame:
     return merged.withColumn("fact_id", ids).select(*target.columns)
 
 
-def merge_fact(warehouse: Warehouse, source: DataFrame) -> int:
+def merge_fact(warehouse: Warehouse, source: DataFrame, days: DataFrame | None = None) -> int:
     """Upsert fact rows; returns the rows in the rewritten folders.
 
-    Only folders the source touches are read and written. The result is written to
-    the shared folder first and then put in place, so a job that dies half way leaves
-    either the old folders or a complete copy to put in place again.
+    Only folders the source touches are read and written. ``days`` names the touched
+    ``date_id`` values where the caller knows them more cheaply than by evaluating
+    the source. The result is written to the shared folder first and then put in
+    place, so a job that dies half way leaves either the old folders or a complete
+    copy for ``promote_fact``. A first load has nothing to lose and skips the copy.
     """
     spark, folder = warehouse.spark, warehouse.fact_folder
-    schema = warehouse.schema(FACT_TABLE)
+    columns = warehouse.schema(FACT_TABLE).names
     stamped = source.withColumn("extraction_time", F.current_timestamp())
+    days = source.select("date_id") if days is None else days.select("date_id")
     # Bounded by the calendar: one value per touched day or month.
-    days = warehouse.with_fact_folder(source.select("date_id").distinct())
-    touched = sorted(row[folder] for row in days.select(folder).distinct().collect())
+    folders = warehouse.with_fact_folder(days).select(folder).distinct().collect()
+    touched = sorted(row[folder] for row in folders)
     if not touched:
         return 0
-    target = warehouse.read_fact_folders(touched).select(*schema.names)
-    staged_path = shared_dir(spark, "fact-merge")
-    merged = warehouse.with_fact_folder(upserted(target, stamped))
-    seen = Observation()
-    (
-        aligned(merged, [folder])
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.partitionBy(folder)
-        .parquet(staged_path)
-    )
-    staged_schema = warehouse.with_fact_folder(spark.createDataFrame([], schema)).schema
-    staged = spark.read.schema(staged_schema).parquet(staged_path)
-    written = overwrite_partitions(staged, warehouse.path(FACT_TABLE), [folder])
-    if written != seen.get["rows"]:
-        raise RuntimeError(f"Promoted {written} fact rows of {seen.get['rows']}; staged at {staged_path}")
+    target = warehouse.read_fact_folders(touched).select(*columns)
+    merged = aligned(warehouse.with_fact_folder(upserted(target, stamped)), [folder])
+    if not warehouse.exists(FACT_TABLE):
+        return overwrite_partitions(merged, warehouse.path(FACT_TABLE), [folder])
+    staged = shared_dir(spark, "fact-merge")
+    expected = overwrite_partitions(merged, staged, [folder])
+    written = promote_fact(warehouse, staged)
+    if written != expected:
+        raise RuntimeError(f"Promoted {written} of {expected} fact rows; the copy is at {staged}")
+    drop_scratch(spark, staged)
     return written
+
+
+def promote_fact(warehouse: Warehouse, staged: str) -> int:
+    """Put a complete staged copy of fact folders in place; may be repeated."""
+    empty = warehouse.spark.createDataFrame([], warehouse.schema(FACT_TABLE))
+    rows = warehouse.spark.read.schema(warehouse.with_fact_folder(empty).schema).parquet(staged)
+    # Staged files belong to one folder each, so no shuffle is needed again.
+    return overwrite_partitions(rows, warehouse.path(FACT_TABLE), [warehouse.fact_folder])

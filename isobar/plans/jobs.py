@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.operators.documents import assert_clean, check_bronze, flatten_hourly
 from isobar.operators.merge import merge_dim_date, merge_dim_location, merge_fact
-from isobar.operators.star import Star, build_dim_date, build_dim_location, build_fact, fact_rows
+from isobar.operators.star import (
+    Star, build_dim_date, build_dim_location, build_fact, distinct_dates, fact_rows,
+)
 from isobar.plans.marts import daily_summary, mart_tests, staging_views, time_spine
 from isobar.sources.bronze import land_bronze, read_bronze
 from isobar.sources.gold import read_gold, write_gold
@@ -72,12 +74,18 @@ def load_incremental(
 
 
 def load_staged(warehouse: Warehouse, curated: DataFrame) -> int:
+    """Copy rows into the staging table and merge the star from it."""
     replace_staging(curated, warehouse, "raw_weather_staging")
-    staging = warehouse.read("raw_weather_staging")
+    return merge_star(warehouse, warehouse.read("raw_weather_staging"))
+
+
+def merge_star(warehouse: Warehouse, staging: DataFrame) -> int:
+    """Extend the dimensions and upsert the fact from staged rows."""
     merge_dim_location(warehouse, staging)
     merge_dim_date(warehouse, staging)
     dates, locations = warehouse.read("dim_date"), warehouse.read("dim_location")
-    return merge_fact(warehouse, fact_rows(staging, dates, locations))
+    # The touched days come from the time column alone, before any join.
+    return merge_fact(warehouse, fact_rows(staging, dates, locations), distinct_dates(staging))
 
 
 def read_star(warehouse: Warehouse) -> Star:
@@ -121,5 +129,5 @@ def backfill(
 
 __all__ = [
     "backfill", "build_marts", "curate_job", "ingest", "land_bronze", "load_full",
-    "load_incremental", "load_staged", "read_star", "run_dates_between",
+    "load_incremental", "load_staged", "merge_star", "read_star", "run_dates_between",
 ]

@@ -75,7 +75,20 @@ def overwrite_partitions(df: DataFrame, root: str, keys: Sequence[str]) -> int:
     return seen.get["rows"]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
     return files.exists(hadoop_path)
+
+
+def drop_scratch(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Delete a scratch folder made by ``shared_dir``, now or when the session ends."""
+    files, hadoop_path = _file_system(spark, path)
+    if at_exit:
+        files.deleteOnExit(hadoop_path)
+    else:
+        files.delete(hadoop_path, True)

@@ -274,13 +274,7 @@ def _(lk: Lake) -> DataFrame:
 def _metric(name: str) -> None:
     @_key(f"metric_{name}")
     def _(lk: Lake) -> DataFrame:
-        return _rounded(metrics.metric_query(lk.mart, [name], ["summary_date"]))
-
-
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {name: F.round(name, 4) for name in df.columns if name == "average_daily_temperature"}
-    )
+        return metrics.metric_query(lk.mart, [name], ["summary_date"])
 
 
 for _name in metrics.METRICS:
@@ -289,12 +283,12 @@ for _name in metrics.METRICS:
 
 @_key("metric_by_location_weekend")
 def _(lk: Lake) -> DataFrame:
-    return _rounded(metrics.metric_query(lk.mart, metrics.METRICS, ["location_name", "is_weekend"]))
+    return metrics.metric_query(lk.mart, metrics.METRICS, ["location_name", "is_weekend"])
 
 
 @_key("metric_by_month")
 def _(lk: Lake) -> DataFrame:
-    return _rounded(metrics.metric_query(lk.mart, metrics.METRICS, ["summary_date"], grain="month"))
+    return metrics.metric_query(lk.mart, metrics.METRICS, ["summary_date"], grain="month")
 
 
 _SPAN = ("1994-01-01", "1996-12-31")
@@ -305,19 +299,14 @@ def _(lk: Lake) -> DataFrame:
     return dashboard.filter_mart(lk.mart, *_SPAN, location="loc_1")
 
 
-def _shown(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, 4) for name in names})
-
-
 @_key("dash_kpis")
 def _(lk: Lake) -> DataFrame:
-    return _shown(dashboard.kpis(dashboard.filter_mart(lk.mart)), "avg_temp", "avg_humidity")
+    return dashboard.kpis(dashboard.filter_mart(lk.mart))
 
 
 @_key("dash_temp_trend")
 def _(lk: Lake) -> DataFrame:
-    trend = dashboard.temp_trend(dashboard.filter_mart(lk.mart))
-    return _shown(trend, "min_temp_c", "avg_temp_c", "max_temp_c")
+    return dashboard.temp_trend(dashboard.filter_mart(lk.mart))
 
 
 @_key("dash_precip_trend")

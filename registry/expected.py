@@ -91,9 +91,7 @@ def _sum(value: str, over: str = "") -> str:
 
 
 def _avg_of_avgs(value: str) -> str:
-    return (
-        f"ROUND(CAST(SUM(CAST({value} AS DECIMAL(20,8))) AS DOUBLE) / NULLIF(COUNT({value}), 0), 4)"
-    )
+    return f"CAST(SUM(CAST({value} AS DECIMAL(20,8))) AS DOUBLE) / NULLIF(COUNT({value}), 0)"
 
 
 def _sum_of_sums(value: str) -> str:
@@ -266,7 +264,6 @@ def _constraints() -> str:
         ("dim_date", "unique", "date_id"), ("dim_date", "unique", "date_value"),
         ("dim_location", "unique", "location_id"), ("dim_location", "unique", "location_name"),
         ("fact_weather_hourly", "unique", "fact_id"),
-        ("fact_weather_hourly", "unique", "date_id,location_id,hour"),
     ]
     columns = {
         "dim_date": ("date_id", "date_value"),

@@ -18,9 +18,9 @@ from isobar.operators.curate import curate
 from isobar.plans import jobs
 from isobar.schemas import GOLD, MEASURES, SILVER
 from isobar.session import prepare, shared_dir
-from isobar.sources.layout import read_parquet
-from isobar.sources.silver import read_silver, write_silver
+from isobar.sources.layout import drop_scratch, read_parquet
 from isobar.sources.gold import read_gold
+from isobar.sources.silver import read_silver, write_silver
 from isobar.sources.warehouse import Warehouse
 
 SOURCE = "stations"
@@ -129,9 +129,7 @@ class Lake:
 
     def new_dir(self, label: str) -> str:
         path = shared_dir(self.spark, label)
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        # Scratch copies go when the session ends.
-        hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+        drop_scratch(self.spark, path, at_exit=True)
         return path
 
     def _kept(self, label: str, df: DataFrame) -> DataFrame:
@@ -187,7 +185,7 @@ class Lake:
     @cached_property
     def warehouse(self) -> Warehouse:
         warehouse = Warehouse(self.spark, self.new_dir("warehouse"), fact_grain="month")
-        jobs.load_staged(warehouse, curate(self.line_readings))
+        jobs.merge_star(warehouse, curate(self.line_readings))
         return warehouse
 
     @cached_property
