@@ -23,8 +23,10 @@ _PARTS = (
     r"(?:.(\d{2}):?(\d{2})?:?(\d{2})?(?:[.,](\d+))?"
     r"(?:Z|([+-])(\d{2}):?(\d{2})?:?(\d{2})?(?:[.,](\d+))?)?)?$"
 )
-(_YEAR, _WEEK, _WEEKDAY, _MONTH, _DAY, _HOUR, _MINUTE, _SECOND, _FRACTION,
- _SIGN, _OFF_HOUR, _OFF_MINUTE, _OFF_SECOND, _OFF_FRACTION) = range(1, 15)
+_NAMES = (
+    "year", "week", "weekday", "month", "day", "hour", "minute", "second", "fraction",
+    "sign", "off_hour", "off_minute", "off_second", "off_fraction",
+)
 # -----------------------------------------------------------------------------
 
 
@@ -40,37 +42,51 @@ def _in_years(value: Column) -> Column:
     return F.when(F.year(value).between(1, 9999), value)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _general(text: Column) -> Column:
-    def number(part: int) -> Column:
-        return F.coalesce(F.regexp_extract(text, _PARTS, part).try_cast("int"), F.lit(0))
-
-    def seconds(whole: int, fraction: int) -> Column:
-        digits = F.rpad(F.regexp_extract(text, _PARTS, fraction), 6, "0")
-        return number(whole) + digits.try_cast("int") / F.lit(1_000_000).cast("decimal(8,0)")
-
-    year = number(_YEAR)
-    monday = F.date_trunc("week", F.make_date(year, F.lit(1), F.lit(4))).cast("date")
-    week_start = F.date_add(monday, (number(_WEEK) - 1) * 7)
-    weekday = F.coalesce(F.regexp_extract(text, _PARTS, _WEEKDAY).try_cast("int"), F.lit(1))
-    week_date = F.when(
-        weekday.between(1, 7) & (F.weekofyear(week_start) == number(_WEEK)),
+    """One match splits the text; the pieces are then put together and range-checked."""
+    groups = "|".join(f"${at}" for at in range(1, len(_NAMES) + 1))
+    pieces = F.split(F.regexp_replace(text, _PARTS, groups), r"\|")
+    return _bound(pieces, _assembled)
+
+
+def _assembled(pieces: Column) -> Column:
+    def piece(name: str) -> Column:
+        return pieces[_NAMES.index(name)]
+
+    def number(name: str) -> Column:
+        return F.coalesce(piece(name).try_cast("int"), F.lit(0))
+
+    def seconds(whole: str, fraction: str) -> Column:
+        digits = F.rpad(piece(fraction), 6, "0").try_cast("int")
+        return (number(whole) + digits / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(16,6)")
+
+    monday = F.date_trunc("week", F.make_date(number("year"), F.lit(1), F.lit(4))).cast("date")
+    week_start = F.date_add(monday, (number("week") - 1) * 7)
+    weekday = F.coalesce(piece("weekday").try_cast("int"), F.lit(1))
+    by_week = F.when(
+        weekday.between(1, 7) & (F.weekofyear(week_start) == number("week")),
         F.date_add(week_start, weekday - 1),
     )
-    by_week = F.regexp_extract(text, _PARTS, _WEEK) != ""
-    month = F.when(by_week, F.month(week_date)).otherwise(number(_MONTH))
-    day = F.when(by_week, F.dayofmonth(week_date)).otherwise(number(_DAY))
-    year_of = F.when(by_week, F.year(week_date)).otherwise(year)
-
-    local = F.try_make_timestamp_ntz(
-        year_of, month, day, number(_HOUR), number(_MINUTE),
-        seconds(_SECOND, _FRACTION).cast("decimal(16,6)"),
+    by_day = F.try_to_date(F.concat_ws("-", piece("year"), piece("month"), piece("day")))
+    date = F.when(piece("week") != "", by_week).otherwise(by_day)
+    clock = F.make_dt_interval(
+        F.lit(0), number("hour"), number("minute"), seconds("second", "fraction")
     )
+    sign = F.when(piece("sign") == "-", -1).otherwise(1)
     offset = F.make_dt_interval(
-        F.lit(0), number(_OFF_HOUR), number(_OFF_MINUTE),
-        seconds(_OFF_SECOND, _OFF_FRACTION).cast("decimal(18,6)"),
+        F.lit(0), sign * number("off_hour"), sign * number("off_minute"),
+        sign * seconds("off_second", "off_fraction"),
+    )
+    offset_seconds = (
+        number("off_hour") * 3600 + number("off_minute") * 60 + number("off_second")
+    )
+    in_range = (
+        (number("year") >= 1) & (number("hour") < 24) & (number("minute") < 60)
+        & (number("second") < 60) & (offset_seconds < 86_400)
     )
-    sign = F.regexp_extract(text, _PARTS, _SIGN)
-    moved = F.when(sign == "+", local - offset).when(sign == "-", local + offset).otherwise(local)
-    offset_seconds = number(_OFF_HOUR) * 3600 + number(_OFF_MINUTE) * 60 + number(_OFF_SECOND)
-    in_range = (year >= 1) & (number(_SECOND) < 60) & (offset_seconds < 86_400)
-    return F.when(in_range, moved)
+    return F.when(in_range, date.cast("timestamp_ntz") + clock - offset)

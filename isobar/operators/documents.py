@@ -15,7 +15,8 @@ def parse_documents(raw: DataFrame) -> DataFrame:
     """Parse every document once; all checks and the flattening read the result.
 
     The text is wrapped in brackets first, so text after the document's end makes the
-    parse fail and a second document shows up as a second element.
+    parse fail and a second document shows up as a second element. ``hours`` holds the
+    time texts with the timestamps they stand for, NULL where they stand for none.
     """
     parsed = raw.withColumn("_json", F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))))
     parsed = parsed.withColumn(
@@ -26,13 +27,13 @@ def parse_documents(raw: DataFrame) -> DataFrame:
         ),
     ).withColumn("_hourly", _inside(F.col("_top")["hourly"], "map<string,variant>"))
     times = F.col("_hourly")["time"]
+    kinds = F.transform(_inside(times, "array<variant>"), F.schema_of_variant)
     return parsed.select(
         *[name for name in raw.columns if name != "value"],
         F.map_keys("_top").alias("keys"),
         _inside(F.col("_top")["latitude"], "double").alias("latitude"),
         _inside(F.col("_top")["longitude"], "double").alias("longitude"),
-        _inside(times, "array<string>").alias("time"),
-        F.transform(_inside(times, "array<variant>"), F.schema_of_variant).alias("time_types"),
+        F.zip_with(_inside(times, "array<string>"), kinds, _hour).alias("hours"),
         *[_measure(name) for name in MEASURES],
     )
 
@@ -41,6 +42,12 @@ def _inside(value: Column, kind: str) -> Column:
     return F.try_variant_get(value, "$", kind)
 
 
+def _hour(text: Column, kind: Column) -> Column:
+    """Only strings are timestamps; a number that looks like one is not."""
+    stamp = F.when(kind == "STRING", iso_timestamp(text))
+    return F.struct(text.alias("text"), stamp.alias("stamp"))
+
+
 def _measure(name: str) -> Column:
     """Numbers of one measure, and how many of its values are not numbers."""
     value = F.col("_hourly")[name]
@@ -60,82 +67,78 @@ def _finding(check: str, n: Column, detail: Column) -> Column:
     return F.struct(F.lit(check).alias("check_name"), detail.alias("detail"), n.alias("n"))
 
 
-def findings() -> Column:
-    """All findings of one parsed document as an array; row-local, no shuffle."""
-    is_document = F.col("keys").isNotNull()
-    has_hourly = F.array_contains("keys", "hourly")
-    times = F.col("time")
-    has_rows = F.coalesce(F.size(times), F.lit(0)) > 0
+def _text(*parts: object) -> Column:
+    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
-    missing = F.array_except(F.array(*[F.lit(key) for key in REQUIRED_KEYS]), F.col("keys"))
 
-    numbered = F.transform(
-        F.arrays_zip(times, F.col("time_types").alias("kind")),
-        lambda pair, at: F.struct(at.alias("at"), pair["time"].alias("text"), pair["kind"].alias("kind")),
-    )
-    unparsed = F.filter(
-        numbered, lambda t: (t["kind"] != "STRING") | iso_timestamp(t["text"]).isNull()
+def with_findings(parsed: DataFrame) -> DataFrame:
+    """Add ``findings``, an array of what is wrong with each document. Row-local."""
+    numbers = {name: F.col(name)["numbers"] for name in MEASURES}
+    n_hours = F.size("hours")
+    evidence = parsed.withColumns(
+        {
+            "_missing": F.array_except(F.array(*[F.lit(key) for key in REQUIRED_KEYS]), F.col("keys")),
+            "_unparsed": F.filter(
+                F.transform("hours", lambda hour, at: F.struct(at.alias("at"), hour.alias("hour"))),
+                lambda item: item["hour"]["stamp"].isNull(),
+            ),
+            "_repeated": n_hours - F.size(F.array_distinct(F.col("hours")["text"])),
+            "_uneven": F.filter(
+                F.array(*[F.when(F.size(values) != n_hours, F.lit(name)) for name, values in numbers.items()]),
+                lambda name: name.isNotNull(),
+            ),
+            "_odd": sum((F.coalesce(F.col(name)["odd"], F.lit(0)) for name in MEASURES), F.lit(0)),
+        }
     )
-    shown = F.array_join(
+    is_document = F.col("keys").isNotNull()
+    has_hourly = F.array_contains("keys", "hourly")
+    empty = F.coalesce(n_hours, F.lit(0)) <= 0
+    unparsed, n_unparsed = F.col("_unparsed"), F.size("_unparsed")
+    examples = F.array_join(
         F.transform(
             F.slice(unparsed, 1, _EXAMPLES),
-            lambda t: F.concat(
-                F.lit("["), t["at"].cast("string"), F.lit("] "), F.coalesce(t["text"], F.lit("null"))
+            lambda item: _text(
+                "[", item["at"].cast("string"), "] ", F.coalesce(item["hour"]["text"], F.lit("null"))
             ),
         ),
         "; ",
     )
-    repeated = F.size(times) - F.size(F.array_distinct(times))
-    uneven = [
-        F.when(
-            F.col(name)["numbers"].isNotNull() & (F.size(F.col(name)["numbers"]) != F.size(times)),
-            F.lit(name),
-        )
-        for name in MEASURES
-    ]
-    uneven_names = F.filter(F.array(*uneven), lambda name: name.isNotNull())
-    odd_total = sum((F.coalesce(F.col(name)["odd"], F.lit(0)) for name in MEASURES), F.lit(0))
-
-    def text(*parts: object) -> Column:
-        return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-
     candidates = F.array(
         _finding("malformed_json", F.when(~is_document, 1), F.lit("Not one JSON object")),
         _finding(
             "required_keys",
-            F.size(missing),
-            text("Data is missing required keys: ", F.array_join(missing, ",")),
+            F.size("_missing"),
+            _text("Data is missing required keys: ", F.array_join("_missing", ",")),
         ),
-        _finding("non_empty", F.when(has_hourly & ~has_rows, 1), F.lit("Dataset is empty")),
+        _finding("non_empty", F.when(has_hourly & empty, 1), F.lit("Dataset is empty")),
         _finding(
             "timestamps",
-            F.size(unparsed),
-            text("Found ", F.size(unparsed).cast("string"), " unparseable timestamps. Examples: ", shown),
+            n_unparsed,
+            _text("Found ", n_unparsed.cast("string"), " unparseable timestamps. Examples: ", examples),
         ),
         _finding(
             "duplicates",
-            repeated,
-            text("Data contains ", repeated.cast("string"), " duplicates on natural key"),
+            F.col("_repeated"),
+            _text("Data contains ", F.col("_repeated").cast("string"), " duplicates on natural key"),
         ),
         _finding(
             "array_lengths",
-            F.size(uneven_names),
-            text("Arrays differ in length from time: ", F.array_join(uneven_names, ",")),
-        ),
-        _finding(
-            "measure_types", odd_total, text(odd_total.cast("string"), " values are not numbers")
+            F.when(n_hours > 0, F.size("_uneven")),
+            _text("Arrays differ in length from time: ", F.array_join("_uneven", ",")),
         ),
+        _finding("measure_types", F.col("_odd"), _text(F.col("_odd").cast("string"), " values are not numbers")),
+    )
+    return evidence.select(
+        *parsed.columns, F.filter(candidates, lambda finding: finding["n"] > 0).alias("findings")
     )
-    return F.filter(candidates, lambda f: f["n"] > 0)
 
 
 def check_bronze(raw: DataFrame) -> DataFrame:
     """Every violation of every document, one row each."""
     return (
-        parse_documents(raw)
-        .select("file_path", *BRONZE_PARTITIONS, F.explode(findings()).alias("f"))
-        .select("file_path", *BRONZE_PARTITIONS, "f.check_name", "f.detail", "f.n")
-        .select(*[F.col(name) for name in VIOLATION.names])
+        with_findings(parse_documents(raw))
+        .select("file_path", *BRONZE_PARTITIONS, F.inline("findings"))
+        .select(*VIOLATION.names)
     )
 
 
@@ -149,13 +152,12 @@ def assert_clean(violations: DataFrame, shown: int = 20) -> None:
 
 def guarded(parsed: DataFrame) -> DataFrame:
     """Make the job fail on a document with findings, before its rows are committed."""
-    found = parsed.withColumn("_found", findings())
-    message = F.concat(
-        F.lit("Invalid document: "), F.array_join(F.transform("_found", lambda f: f["detail"]), "; ")
+    message = _text(
+        "Invalid document: ", F.array_join(F.transform("findings", lambda finding: finding["detail"]), "; ")
     )
-    # The times feed every output row, so the guard cannot be pruned away.
-    times = F.when(F.size("_found") > 0, F.raise_error(message)).otherwise(F.col("time"))
-    return found.withColumn("time", times).drop("_found")
+    # The hours feed every output row, so the guard cannot be pruned away.
+    hours = F.when(F.size("findings") > 0, F.raise_error(message)).otherwise(F.col("hours"))
+    return with_findings(parsed).withColumn("hours", hours).drop("findings")
 
 
 def flatten_parsed(parsed: DataFrame) -> DataFrame:
@@ -164,18 +166,19 @@ def flatten_parsed(parsed: DataFrame) -> DataFrame:
     A measure missing from a document becomes NULLs of the right length; zipping with
     a NULL array would drop the document's rows.
     """
-    size = F.size("time")
+    n_hours = F.size("hours")
 
     def column(name: str) -> Column:
-        absent = F.array_repeat(F.lit(None).cast("double"), size)
+        absent = F.array_repeat(F.lit(None).cast("double"), n_hours)
         return F.coalesce(F.col(name)["numbers"], absent).alias(name)
 
+    stamps = F.col("hours")["stamp"].alias("time")
     rows = parsed.select(
         *BRONZE_PARTITIONS, "latitude", "longitude",
-        F.inline(F.arrays_zip(F.col("time"), *[column(name) for name in MEASURES])),
+        F.inline(F.arrays_zip(stamps, *[column(name) for name in MEASURES])),
     )
     return rows.select(
-        iso_timestamp(F.col("time")).alias("time"),
+        "time",
         "temperature_2m",
         F.round("relative_humidity_2m").cast("int").alias("relative_humidity_2m"),
         "precipitation",

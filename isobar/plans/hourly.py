@@ -70,7 +70,7 @@ def q3(star: Star) -> DataFrame:
 
 def q4(star: Star) -> DataFrame:
     """Weekend hours. The date filter prunes fact folders at run time."""
-    weekends = star.dates.where("is_weekend")
+    weekends = F.broadcast(star.dates.where("is_weekend"))
     rows = star.with_locations(_readings(star, _TEMP).join(weekends, "date_id"))
     return rows.select(*_PLACE, "day_of_week", "hour", _TEMP).orderBy(
         _first("location_name"), _first("hour"), _first("date_value")

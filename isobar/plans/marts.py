@@ -46,8 +46,9 @@ def daily_summary(fact: DataFrame, dates: DataFrame, locations: DataFrame) -> Da
         exact_sum(F.col("precipitation_mm")).alias("total_precipitation_mm"),
         F.max("wind_speed_kmh").alias("max_wind_speed_kmh"),
     )
+    days = dates.select("date_id", F.col("date_value").alias("summary_date"), "is_weekend")
     return (
-        daily.join(dates.select("date_id", F.col("date_value").alias("summary_date"), "is_weekend"), "date_id")
+        daily.join(F.broadcast(days), "date_id")  # one row per calendar day
         .join(locations.select("location_id", "location_name"), "location_id")
         .withColumn("summary_id", F.concat(F.col("location_id"), F.lit("-"), F.col("date_id")))
         .select(*MART.names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,7 @@ def read_bronze(
     """
     prepare(spark)
     _require(spark, root)
-    reader = spark.read.schema(BRONZE).option("wholetext", whole_files)
-    documents = reader.text(root).select(
+    documents = spark.read.schema(BRONZE).text(root, wholetext=whole_files).select(
         "value", *BRONZE_PARTITIONS, F.col("_metadata.file_path").alias("file_path")
     )
     return only(documents, run_dates, locations, source)
@@ -56,7 +56,7 @@ def with_load_metadata(landed: DataFrame, source: str) -> DataFrame:
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     added = F.concat(
         F.lit('"ingestion_timestamp":"'), stamp,
-        F.lit('","source":'), F.lit(_json_string(source)), F.lit("}"),
+        F.lit('","source":'), F.lit(json.dumps(source)), F.lit("}"),
     )
     line = F.trim(F.regexp_replace("value", r"[\r\n]+", " "))
     body = F.regexp_replace(line, r"\s*\}$", "")
@@ -68,15 +68,9 @@ def with_load_metadata(landed: DataFrame, source: str) -> DataFrame:
     return landed.withColumn("value", extended).withColumn("source", F.lit(source))
 
 
-def _json_string(text: str) -> str:
-    import json
-
-    return json.dumps(text)
-
-
 def read_landed(spark: SparkSession, landed: str) -> DataFrame:
     _require(spark, landed)
-    return spark.read.schema(LANDED).option("wholetext", True).text(landed)
+    return spark.read.schema(LANDED).text(landed, wholetext=True)
 
 
 def land_bronze(

@@ -40,7 +40,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _document_summary(raw: DataFrame) -> DataFrame:
     return parse_documents(raw).select(
         "source", "run_date", "location", "latitude", "longitude",
-        F.size("keys").alias("n_keys"), F.size("time").alias("n_hours"),
+        F.size("keys").alias("n_keys"), F.size("hours").alias("n_hours"),
     )
 
 

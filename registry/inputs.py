@@ -24,7 +24,7 @@ from isobar.sources.silver import read_silver, write_silver
 from isobar.sources.warehouse import Warehouse
 
 SOURCE = "stations"
-_SLOT = ("date_value", "hour", "location", "latitude", "longitude")
+_SLOT = ("date_value", "hour", "location")
 
 
 def _tenths(value, modulus: int, shift: int = 0):
@@ -68,7 +68,10 @@ def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(samples: DataFrame, pick=F.max) -> DataFrame:
     """Silver-shaped hourly rows: one per location, day and hour."""
-    hourly = samples.groupBy(*_SLOT).agg(*[pick(name).alias(name) for name in MEASURES])
+    hourly = samples.groupBy(*_SLOT).agg(
+        *[pick(name).alias(name) for name in MEASURES],
+        F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"),
+    )
     time = F.col("date_value").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("hour"))
     return hourly.select(
         time.alias("time"), *MEASURES, "latitude", "longitude",
