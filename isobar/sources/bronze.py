@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isobar.schemas import BRONZE, BRONZE_PARTITIONS, KNOWN_LOCATIONS, LANDED
 from isobar.session import prepare
-from isobar.sources.layout import only, path_exists
+from isobar.sources.layout import only, partition_from_path, path_exists
 
 _SHOWN = 20
 
@@ -41,9 +41,16 @@ def known_locations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "location string, latitude double, longitude double")
 
 
-def unknown_locations(landed: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Locations that were landed but have no entry in the reference table."""
-    return landed.select("location").distinct().join(lookup, "location", "left_anti")
+def landed_locations(spark: SparkSession, landed: str) -> DataFrame:
+    """Locations with landed files, from the file names: no document is read."""
+    _require(spark, landed)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landed)
+    return files.select(partition_from_path(F.col("path"), "location").alias("location")).distinct()
+
+
+def unknown_locations(locations: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Locations without an entry in the reference table."""
+    return locations.join(lookup, "location", "left_anti")
 
 
 def with_load_metadata(landed: DataFrame, source: str) -> DataFrame:
@@ -81,14 +88,14 @@ def land_bronze(
     lookup: DataFrame | None = None,
 ) -> None:
     """Load landed JSON files, ``run_date=/location=`` folders, into bronze."""
-    documents = read_landed(spark, landed)
     lookup = known_locations(spark) if lookup is None else lookup
-    unknown = [row["location"] for row in unknown_locations(documents, lookup).limit(_SHOWN).collect()]
+    missing = unknown_locations(landed_locations(spark, landed), lookup)
+    unknown = [row["location"] for row in missing.limit(_SHOWN).collect()]
     if unknown:
         raise LookupError(f"No coordinates known for locations: {', '.join(map(str, unknown))}")
     # One file per document comes in, so tasks already write one file per partition.
     (
-        with_load_metadata(documents, source)
+        with_load_metadata(read_landed(spark, landed), source)
         .select("value", *BRONZE_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

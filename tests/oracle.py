@@ -39,19 +39,13 @@ _TYPES = {
 
 def difference(df, con, sql: str) -> str | None:
     """What differs between a DataFrame and a statement's result, or None."""
-    result = con.execute(sql)
-    expected_types = {c[0]: str(c[1]) for c in result.description}
-    expected = result.fetchall()
-    found_types = {name: _TYPES.get(kind, kind) for name, kind in df.dtypes}
-    if found_types.keys() != expected_types.keys():
-        return f"columns {sorted(found_types)} expected {sorted(expected_types)}"
-    described = con.execute(f"DESCRIBE {sql}").fetchall()
-    kinds = {row[0]: row[1] for row in described}
-    odd = {n: (found_types[n], kinds[n]) for n in kinds if found_types[n] != kinds[n]}
-    got = df.collect()
-    names = [c[0] for c in result.description] if result.description else list(kinds)
-    names = list(kinds)
-    left, right = _ordered(got, df.columns), _ordered(expected, names)
+    kinds = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    found = {name: _TYPES.get(kind, kind) for name, kind in df.dtypes}
+    if found.keys() != kinds.keys():
+        return f"columns {sorted(found)}, expected {sorted(kinds)}"
+    odd = {name: (found[name], kinds[name]) for name in kinds if found[name] != kinds[name]}
+    left = _ordered(df.collect(), df.columns)
+    right = _ordered(con.execute(sql).fetchall(), list(kinds))
     if len(left) != len(right):
         return f"{len(left)} rows, expected {len(right)}"
     if left != right:
