@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isobar.schemas import BRONZE, BRONZE_PARTITIONS, KNOWN_LOCATIONS, LANDED
 from isobar.session import prepare
-from isobar.sources.layout import only, partition_from_path, path_exists
+from isobar.sources.layout import only, partition_from_path, require_path
 
 _SHOWN = 20
 
@@ -29,7 +29,7 @@ def read_bronze(
     put there by something else that spread over several lines.
     """
     prepare(spark)
-    _require(spark, root)
+    require_path(spark, root, "bronze")
     documents = spark.read.schema(BRONZE).text(root, wholetext=whole_files).select(
         "value", *BRONZE_PARTITIONS, F.col("_metadata.file_path").alias("file_path")
     )
@@ -43,7 +43,7 @@ def known_locations(spark: SparkSession) -> DataFrame:
 
 def landed_locations(spark: SparkSession, landed: str) -> DataFrame:
     """Locations with landed files, from the file names: no document is read."""
-    _require(spark, landed)
+    require_path(spark, landed, "landed")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landed)
     return files.select(partition_from_path(F.col("path"), "location").alias("location")).distinct()
 
@@ -76,7 +76,7 @@ def with_load_metadata(landed: DataFrame, source: str) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, landed: str) -> DataFrame:
-    _require(spark, landed)
+    require_path(spark, landed, "landed")
     return spark.read.schema(LANDED).text(landed, wholetext=True)
 
 
@@ -102,8 +102,3 @@ def land_bronze(
         .partitionBy(*BRONZE_PARTITIONS)
         .text(root)
     )
-
-
-def _require(spark: SparkSession, root: str) -> None:
-    if not path_exists(spark, root):
-        raise FileNotFoundError(f"No bronze data at {root}")

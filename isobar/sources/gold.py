@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from isobar.operators.curate import curate, row_counts
 from isobar.schemas import GOLD, GOLD_PARTITIONS
-from isobar.sources.layout import aligned, only, overwrite_partitions, partition_from_path, read_parquet
+from isobar.sources.layout import (
+    aligned, only, overwrite_partitions, partition_from_path, read_parquet, require_path,
+)
 
 
 def read_gold(spark: SparkSession, root: str, run_dates: Iterable[str] | None = None) -> DataFrame:
     """Gold rows in staging column order; ``run_dates`` prunes folders."""
+    require_path(spark, root, "gold")
     return only(read_parquet(spark, root, GOLD), run_dates)
 
 
@@ -37,7 +40,9 @@ def write_gold(silver: DataFrame, root: str, align: bool = True) -> int:
     """
     curated = curate(silver)
     counts = {row["layer"]: row["row_count"] for row in row_counts(silver, curated).collect()}
-    before, after = counts.get("silver", 0), counts.get("gold", 0)
+    before, after = counts["silver"], counts["gold"]
+    if before == 0:
+        raise ValueError("There are no silver rows to curate")
     if before != after:
         raise ValueError(f"Row counts differ: silver {before}, gold {after}")
     ready = aligned(curated, GOLD_PARTITIONS) if align else curated

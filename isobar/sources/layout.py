@@ -85,6 +85,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def require_path(spark: SparkSession, path: str, what: str) -> None:
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"No {what} data at {path}")
+
+
+def swap_in(spark: SparkSession, written: str, path: str) -> None:
+    """Put a completely written folder in the place of an old one."""
+    files, target = _file_system(spark, path)
+    source = _file_system(spark, written)[1]
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise RuntimeError(f"Could not move {written} to {path}")
+
+
 def drop_scratch(spark: SparkSession, path: str, at_exit: bool = False) -> None:
     """Delete a scratch folder made by ``shared_dir``, now or when the session ends."""
     files, hadoop_path = _file_system(spark, path)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.schemas import SILVER, SILVER_PARTITIONS
-from isobar.sources.layout import aligned, only, overwrite_partitions, path_exists, read_parquet
+from isobar.sources.layout import (
+    aligned, only, overwrite_partitions, path_exists, read_parquet, require_path,
+)
 
 
 def read_silver(
@@ -18,6 +20,8 @@ def read_silver(
     locations: Iterable[str] | None = None,
     source: str | None = None,
 ) -> DataFrame:
+    """Silver rows; each predicate prunes folders before any file is opened."""
+    require_path(spark, root, "silver")
     return only(read_parquet(spark, root, SILVER), run_dates, locations, source)
 
 

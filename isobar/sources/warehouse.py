@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar import schemas as S
-from isobar.sources.layout import aligned, path_exists, read_parquet
+from isobar.sources.layout import aligned, path_exists, read_parquet, swap_in
 
 TABLES: dict[str, T.StructType] = {
     "raw_weather": S.RAW_WEATHER,
@@ -85,15 +86,20 @@ class Warehouse:
         return fact.withColumn(self.fact_folder, month)
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Overwrite a whole table. ``df`` must not read the table it replaces."""
+        """Overwrite a whole table.
+
+        Spark's overwrite deletes first and computes second. The new table is written
+        beside the old one and takes its place when it is complete, so a failed job
+        costs nothing, and ``df`` may read the table it replaces.
+        """
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema(table).fields])
+        incoming = f"{self.path(table)}-incoming-{uuid.uuid4().hex[:12]}"
         if table == FACT_TABLE:
             rows = aligned(self.with_fact_folder(rows), [self.fact_folder])
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-                self.fact_folder
-            ).parquet(self.path(table))
+            rows.write.partitionBy(self.fact_folder).parquet(incoming)
         else:
-            rows.write.mode("overwrite").parquet(self.path(table))
+            rows.write.parquet(incoming)
+        swap_in(self.spark, incoming, self.path(table))
 
     def append(self, table: str, df: DataFrame) -> None:
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema(table).fields])
@@ -104,11 +110,12 @@ class Warehouse:
         for table in ("raw_weather", "raw_weather_staging", FACT_TABLE, "dim_location", "dim_date"):
             self.replace(table, self.spark.createDataFrame([], self.schema(table)))
 
-    def view(self, table: str, name: str) -> DataFrame:
-        """Materialise as a view: named, computed on use."""
-        df = self.read(table)
-        df.createOrReplaceTempView(name)
-        return df
+    def register(self) -> list[str]:
+        """Name every table as a view, so SQL can be run on them; returns the names."""
+        present = [table for table in TABLES if self.exists(table)]
+        for table in present:
+            self.read(table).createOrReplaceTempView(table)
+        return present
 
 
 def replace_staging(df: DataFrame, warehouse: Warehouse, table: str = "raw_weather") -> None:

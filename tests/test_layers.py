@@ -60,9 +60,16 @@ def test_unknown_location(spark, folder):
         land_bronze(spark, folder("landed"), folder("bronze"), "s")
 
 
-def test_missing_bronze(spark, folder):
+@pytest.mark.parametrize("read", [read_bronze, read_silver, read_gold])
+def test_missing_layer(spark, folder, read):
     with pytest.raises(FileNotFoundError):
-        read_bronze(spark, folder("nowhere"))
+        read(spark, folder("nowhere"))
+
+
+def test_no_silver_for_the_date(spark, folder):
+    write_silver(silver(spark, TWO_DAYS), folder("silver"))
+    with pytest.raises(ValueError, match="no silver rows"):
+        jobs.curate_job(spark, folder("silver"), folder("gold"), ["1999-01-01"])
 
 
 def test_ingest_many_documents(spark, folder):

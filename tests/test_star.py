@@ -145,3 +145,30 @@ def test_upsert_reads_only_touched_folders(spark, folder):
     jobs.load_staged(warehouse, gold(spark, FIRST))
     plan = warehouse.read_fact_folders([20260125])._jdf.queryExecution().executedPlan().toString()
     assert "20260125" in plan.split("PartitionFilters")[1][:80]
+
+
+def test_failed_reload_keeps_the_old_tables(spark, folder):
+    warehouse = Warehouse(spark, folder("w"))
+    before = rows(jobs.load_full(warehouse, silver(spark, FIRST)).locations)
+    moved = silver(spark, FIRST[:1]).union(silver(spark, FIRST[1:2], coordinates=(1.0, 2.0)))
+    with pytest.raises(Exception, match="two coordinate pairs"):
+        jobs.load_full(warehouse, moved)
+    assert rows(warehouse.read("dim_location")) == before
+
+
+def test_a_table_can_be_replaced_from_itself(spark, folder):
+    warehouse = Warehouse(spark, folder("w"), "month")
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    warehouse.replace(FACT_TABLE, warehouse.read(FACT_TABLE).where("hour = 0"))
+    assert warehouse.read(FACT_TABLE).count() == 3
+
+
+def test_tables_answer_sql_by_name(spark, folder):
+    warehouse = Warehouse(spark, folder("w"))
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    assert set(warehouse.register()) >= {"dim_date", "dim_location", FACT_TABLE}
+    found = spark.sql(
+        "SELECT l.location_name, d.day, count(*) n FROM fact_weather_hourly f JOIN dim_date d USING (date_id) "
+        "JOIN dim_location l USING (location_id) GROUP BY ALL"
+    )
+    assert rows(found) == [("Boston", 1, 1), ("Boston", 24, 2), ("Boston", 25, 1)]
