@@ -67,7 +67,6 @@ def merge_fact(warehouse: Warehouse, source: DataFrame, days: DataFrame | None =
     copy for ``promote_fact``. A first load has nothing to lose and skips the copy.
     """
     spark, folder = warehouse.spark, warehouse.fact_folder
-    columns = warehouse.schema(FACT_TABLE).names
     stamped = source.withColumn("extraction_time", F.current_timestamp())
     days = source.select("date_id") if days is None else days.select("date_id")
     # Bounded by the calendar: one value per touched day or month.
@@ -75,7 +74,7 @@ def merge_fact(warehouse: Warehouse, source: DataFrame, days: DataFrame | None =
     touched = sorted(row[folder] for row in folders)
     if not touched:
         return 0
-    target = warehouse.read_fact_folders(touched).select(*columns)
+    target = warehouse.read_fact_folders(touched)
     merged = aligned(warehouse.with_fact_folder(upserted(target, stamped)), [folder])
     if not warehouse.exists(FACT_TABLE):
         return overwrite_partitions(merged, warehouse.path(FACT_TABLE), [folder])

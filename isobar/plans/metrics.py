@@ -57,9 +57,9 @@ DAILY_WEATHER = SemanticModel(
         measure.name: measure
         for measure in (
             Measure("total_precipitation", "total_precipitation_mm", "sum",
-                    "Sum of total precipitation in millimeters"),
-            Measure("avg_temperature", "avg_temp_c", "average", "Average temperature in Celsius"),
-            Measure("max_wind_speed", "max_wind_speed_kmh", "max", "Maximum wind speed in km/h"),
+                    "Rain in millimetres, added up"),
+            Measure("avg_temperature", "avg_temp_c", "average", "Mean of the daily mean temperatures"),
+            Measure("max_wind_speed", "max_wind_speed_kmh", "max", "Strongest wind in km/h"),
         )
     },
 )
@@ -68,11 +68,11 @@ METRICS = {
     metric.name: metric
     for metric in (
         Metric("average_daily_temperature", "Average Daily Temp (C)", "avg_temperature",
-               "The average daily temperature across locations."),
+               "Mean daily temperature over the places selected."),
         Metric("total_daily_precipitation", "Total Precipitation (mm)", "total_precipitation",
-               "The total daily precipitation across locations."),
+               "Rain over the places selected."),
         Metric("max_daily_wind_speed", "Max Wind Speed (km/h)", "max_wind_speed",
-               "The maximum recorded wind speed."),
+               "Strongest wind recorded."),
     )
 }
 GRAINS = ("day", "week", "month", "quarter", "year")

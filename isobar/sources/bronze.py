@@ -7,10 +7,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from isobar.schemas import BRONZE, BRONZE_PARTITIONS, KNOWN_LOCATIONS, LANDED
+from isobar.schemas import BRONZE, BRONZE_PARTITIONS, KNOWN_LOCATIONS, LANDED, VIOLATION
 from isobar.session import prepare
-from isobar.sources.layout import only, partition_from_path, require_path
+from isobar.sources.layout import date_folders, only, partition_from_path, require_path
 
 _SHOWN = 20
 
@@ -30,10 +31,16 @@ def read_bronze(
     """
     prepare(spark)
     require_path(spark, root, "bronze")
-    documents = spark.read.schema(BRONZE).text(root, wholetext=whole_files).select(
+    root = root.rstrip("/")
+    dates = None if run_dates is None else list(run_dates)
+    paths = [root] if dates is None else date_folders(spark, root, "source=*/", dates)
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*BRONZE.fields, VIOLATION["file_path"]]))
+    reader = spark.read.schema(BRONZE).option("basePath", root)
+    documents = reader.text(paths, wholetext=whole_files).select(
         "value", *BRONZE_PARTITIONS, F.col("_metadata.file_path").alias("file_path")
     )
-    return only(documents, run_dates, locations, source)
+    return only(documents, dates, locations, source)
 
 
 def known_locations(spark: SparkSession) -> DataFrame:

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from isobar.operators.curate import curate, row_counts
 from isobar.schemas import GOLD, GOLD_PARTITIONS
 from isobar.sources.layout import (
-    aligned, only, overwrite_partitions, partition_from_path, read_parquet, require_path,
+    aligned, date_folders, only, overwrite_partitions, partition_from_path, read_parquet, require_path,
 )
 
 
 def read_gold(spark: SparkSession, root: str, run_dates: Iterable[str] | None = None) -> DataFrame:
     """Gold rows in staging column order; ``run_dates`` prunes folders."""
     require_path(spark, root, "gold")
-    return only(read_parquet(spark, root, GOLD), run_dates)
+    dates = None if run_dates is None else list(run_dates)
+    folders = None if dates is None else date_folders(spark, root, "", dates)
+    return only(read_parquet(spark, root, GOLD, folders), dates)
 
 
 def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:

@@ -39,13 +39,29 @@ def only(
     return df
 
 
-def read_parquet(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Read a whole layer under its declared schema.
+def date_folders(spark: SparkSession, root: str, above: str, run_dates: Iterable[str]) -> list[str]:
+    """The folders of the given dates that exist; ``above`` is what lies between.
+
+    Reading these under ``basePath`` lists the wanted dates only. Reading the root and
+    filtering prunes as well, but lists every folder of the whole history first.
+    """
+    root = root.rstrip("/")
+    return existing(spark, [f"{root}/{above}run_date={day}" for day in dict.fromkeys(map(str, run_dates))])
+
+
+def read_parquet(
+    spark: SparkSession, root: str, schema: T.StructType, folders: list[str] | None = None
+) -> DataFrame:
+    """Read a layout, or some of its folders, under its declared schema.
 
     Partition columns are in the schema, so a location called ``7`` stays a string
     and no footer is opened to infer types.
     """
-    return spark.read.schema(schema).parquet(root.rstrip("/")).select(*schema.names)
+    root = root.rstrip("/")
+    if folders is not None and not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", root)
+    return reader.parquet(*(folders or [root])).select(*schema.names)
 
 
 def aligned(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,6 +101,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Those of the paths, which may hold wildcards, that match something."""
+    found = []
+    for path in paths:
+        files, hadoop_path = _file_system(spark, path)
+        if files.globStatus(hadoop_path):
+            found.append(path)
+    return found
+
+
 def require_path(spark: SparkSession, path: str, what: str) -> None:
     if not path_exists(spark, path):
         raise FileNotFoundError(f"No {what} data at {path}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.schemas import SILVER, SILVER_PARTITIONS
 from isobar.sources.layout import (
-    aligned, only, overwrite_partitions, path_exists, read_parquet, require_path,
+    aligned, date_folders, only, overwrite_partitions, path_exists, read_parquet, require_path,
 )
 
 
@@ -22,7 +22,9 @@ def read_silver(
 ) -> DataFrame:
     """Silver rows; each predicate prunes folders before any file is opened."""
     require_path(spark, root, "silver")
-    return only(read_parquet(spark, root, SILVER), run_dates, locations, source)
+    dates = None if run_dates is None else list(run_dates)
+    folders = None if dates is None else date_folders(spark, root, "source=*/", dates)
+    return only(read_parquet(spark, root, SILVER, folders), dates, locations, source)
 
 
 def write_silver(df: DataFrame, root: str, align: bool = True) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar import schemas as S
-from isobar.sources.layout import aligned, path_exists, read_parquet, swap_in
+from isobar.sources.layout import aligned, existing, path_exists, read_parquet, swap_in
 
 TABLES: dict[str, T.StructType] = {
     "raw_weather": S.RAW_WEATHER,
@@ -66,18 +66,16 @@ class Warehouse:
         return read_parquet(self.spark, self.path(table), schema)
 
     def read_fact_folders(self, values: Sequence[int]) -> DataFrame:
-        """Fact rows of the given folders only, with the folder column."""
-        schema = self.schema(FACT_TABLE)
-        columns = list(dict.fromkeys([*schema.names, self.fact_folder]))
-        if not self.exists(FACT_TABLE):
-            return self.with_fact_folder(self.spark.createDataFrame([], schema)).select(*columns)
-        return self._read_fact().where(F.col(self.fact_folder).isin(*values)).select(*columns)
+        """Fact rows of the given folders only; the others are not even listed."""
+        path = self.path(FACT_TABLE)
+        folders = existing(self.spark, [f"{path}/{self.fact_folder}={value}" for value in values])
+        return self._read_fact(folders).select(*self.schema(FACT_TABLE).names)
 
-    def _read_fact(self) -> DataFrame:
+    def _read_fact(self, folders: list[str] | None = None) -> DataFrame:
         schema = self.schema(FACT_TABLE)
         if self.fact_folder not in schema.names:
             schema = T.StructType([*schema.fields, T.StructField(self.fact_folder, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.path(FACT_TABLE))
+        return read_parquet(self.spark, self.path(FACT_TABLE), schema, folders)
 
     def with_fact_folder(self, fact: DataFrame) -> DataFrame:
         if self.fact_grain == "day":

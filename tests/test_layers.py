@@ -164,3 +164,22 @@ def test_reconcile_fails_before_the_write(spark, folder, monkeypatch):
     with pytest.raises(ValueError, match="silver 3, gold 4"):
         write_gold(silver(spark, TWO_DAYS), folder("gold"))
     assert not os.path.exists(folder("gold"))
+
+
+def test_given_dates_are_the_only_folders_listed(spark, folder):
+    write_silver(silver(spark, TWO_DAYS), folder("silver"))
+    jobs.curate_job(spark, folder("silver"), folder("gold"))
+    for read in (read_silver, read_gold):
+        found = read(spark, folder("silver" if read is read_silver else "gold"), ["2026-01-26", "1999-01-01"])
+        assert [str(r["run_date"]) for r in found.collect()] == ["2026-01-26"]
+        assert all("run_date=2026-01-26" in path for path in found.inputFiles())
+    assert read_silver(spark, folder("silver"), ["1999-01-01"]).count() == 0
+
+
+def test_bronze_for_given_dates(spark, folder):
+    for day in (DAY, "2026-01-26"):
+        land(folder("landed"), day, "Boston", COMPLETE)
+    land_bronze(spark, folder("landed"), folder("bronze"), "s")
+    assert read_bronze(spark, folder("bronze"), [DAY]).count() == 1
+    assert read_bronze(spark, folder("bronze"), ["1999-01-01"]).count() == 0
+    assert read_bronze(spark, folder("bronze"), None, ["Salem"]).count() == 0
