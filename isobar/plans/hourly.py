@@ -69,8 +69,12 @@ def q3(star: Star) -> DataFrame:
 
 
 def q4(star: Star) -> DataFrame:
-    """Weekend hours. The date filter prunes fact folders at run time."""
-    weekends = F.broadcast(star.dates.where("is_weekend"))
+    """Weekend hours. With one fact folder per day, other days are never opened.
+
+    Spark prunes folders at run time for filters it takes to be selective; a comparison
+    is one, a bare flag is not.
+    """
+    weekends = F.broadcast(star.dates.where(F.col("is_weekend") >= F.lit(True)))
     rows = star.with_locations(_readings(star, _TEMP).join(weekends, "date_id"))
     return rows.select(*_PLACE, "day_of_week", "hour", _TEMP).orderBy(
         _first("location_name"), _first("hour"), _first("date_value")

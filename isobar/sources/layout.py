@@ -101,6 +101,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and modification time: differs when the data below was rewritten."""
+    files, hadoop_path = _file_system(spark, path)
+    summary = files.getContentSummary(hadoop_path)
+    changed = files.getFileStatus(hadoop_path).getModificationTime()
+    return summary.getLength(), summary.getFileCount(), changed
+
+
 def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """Those of the paths, which may hold wildcards, that match something."""
     found = []

@@ -18,7 +18,7 @@ from isobar.operators.curate import curate
 from isobar.plans import jobs
 from isobar.schemas import GOLD, MEASURES, SILVER
 from isobar.session import prepare, shared_dir
-from isobar.sources.layout import drop_scratch, read_parquet
+from isobar.sources.layout import drop_scratch, path_state, read_parquet
 from isobar.sources.gold import read_gold
 from isobar.sources.silver import read_silver, write_silver
 from isobar.sources.warehouse import Warehouse
@@ -212,13 +212,7 @@ _LAKES: dict[tuple, Lake] = {}
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake of this session and input; rebuilt when the input's files change."""
-    state = []
-    for table in ("events", "lineitem"):
-        files = spark.read.parquet(f"{sf_dir}/{table}.parquet").select("_metadata.*")
-        row = files.agg(
-            F.count(F.lit(1)), F.max("file_modification_time"), F.max("file_size"), F.max("file_path")
-        ).first()
-        state.append(tuple(row))
+    state = [path_state(spark, f"{sf_dir}/{table}.parquet") for table in ("events", "lineitem")]
     key = (spark.sparkContext.applicationId, sf_dir, *state)
     if key not in _LAKES:
         _LAKES[key] = Lake(spark, sf_dir)

@@ -190,3 +190,47 @@ def test_tables_answer_sql_by_name(spark, folder):
         "JOIN dim_location l USING (location_id) GROUP BY ALL"
     )
     assert rows(found) == [("Boston", 1, 1), ("Boston", 24, 2), ("Boston", 25, 1)]
+
+
+def plan_of(df, capsys, mode="formatted"):
+    capsys.readouterr()
+    df.explain(mode)
+    return capsys.readouterr().out
+
+
+def test_plans(spark, folder, capsys):
+    """Filters and columns reach the scan, weekend days prune folders, no query crosses tables."""
+    from isobar.plans.hourly import QUESTIONS
+
+    warehouse = Warehouse(spark, folder("w"))
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    feed = jobs.read_star(warehouse).feed_named()
+    assert "LessThan(temp_celsius,0.0)" in plan_of(QUESTIONS["q2"](feed), capsys)
+    assert "GreaterThan(wind_speed_kmh,15.0)" in plan_of(QUESTIONS["q3"](feed), capsys)
+    assert "dynamicpruning" in plan_of(QUESTIONS["q4"](feed), capsys)
+    rain = plan_of(QUESTIONS["q7"](feed), capsys)
+    assert "ReadSchema: struct<location_id:int,precipitation_mm:double>" in rain
+    assert "TakeOrderedAndProject" in plan_of(QUESTIONS["q1"](feed), capsys)
+    for question in QUESTIONS.values():
+        plan = plan_of(question(feed), capsys)
+        assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_staging_types(spark, folder):
+    """Replacing staging keeps the declared types: a run date stays a date."""
+    warehouse = Warehouse(spark, folder("w"))
+    loose = silver(spark, FIRST).withColumn("run_date", F.col("run_date").cast("string"))
+    jobs.load_full(warehouse, loose)
+    types = dict(warehouse.read("raw_weather").dtypes)
+    assert (types["run_date"], types["time"], types["relative_humidity_2m"]) == ("date", "timestamp_ntz", "int")
+
+
+def test_zero_degrees(spark, folder):
+    """Zero is freezing in gold and not among the hours below freezing."""
+    from isobar.plans.hourly import QUESTIONS
+
+    zero = [("2026-01-24T00:00:00", 0.0, 50, 0.0, 1.0, "Boston")]
+    assert gold(spark, zero).first()["is_freezing"]
+    warehouse = Warehouse(spark, folder("w"))
+    jobs.load_staged(warehouse, gold(spark, zero))
+    assert QUESTIONS["q2"](jobs.read_star(warehouse).feed_named()).count() == 0
