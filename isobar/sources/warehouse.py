@@ -6,12 +6,14 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar import schemas as S
-from isobar.sources.layout import aligned, existing, path_exists, read_parquet, swap_in
+from isobar.sources.layout import (
+    aligned, drop_scratch, existing, path_exists, read_parquet, swap_in,
+)
 
 TABLES: dict[str, T.StructType] = {
     "raw_weather": S.RAW_WEATHER,
@@ -99,9 +101,20 @@ class Warehouse:
             rows.write.parquet(incoming)
         swap_in(self.spark, incoming, self.path(table))
 
-    def append(self, table: str, df: DataFrame) -> None:
+    def append(self, table: str, df: DataFrame) -> int:
+        """Add rows to a table; returns how many. Without rows no file is added.
+
+        The rows are computed once, beside the table, and then appended as they are.
+        """
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema(table).fields])
-        rows.write.mode("append").parquet(self.path(table))
+        incoming = f"{self.path(table)}-incoming-{uuid.uuid4().hex[:12]}"
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(incoming)
+        added = seen.get["rows"]
+        if added:
+            read_parquet(self.spark, incoming, self.schema(table)).write.mode("append").parquet(self.path(table))
+        drop_scratch(self.spark, incoming)
+        return added
 
     def rebuild(self) -> None:
         """Drop and re-create staging, dimensions and fact as empty tables."""

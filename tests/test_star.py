@@ -88,6 +88,14 @@ def test_merge_twice_changes_nothing(spark, folder):
     assert (facts(warehouse), rows(warehouse.read("dim_location")), rows(warehouse.read("dim_date"))) == before
 
 
+def test_merge_without_new_rows_adds_no_file(spark, folder):
+    warehouse = Warehouse(spark, folder("w"))
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    before = {t: sorted(os.listdir(warehouse.path(t))) for t in ("dim_date", "dim_location")}
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    assert {t: sorted(os.listdir(warehouse.path(t))) for t in before} == before
+
+
 def test_known_location_is_never_updated(spark, folder):
     warehouse = Warehouse(spark, folder("w"))
     merge_dim_location(warehouse, gold(spark, FIRST))
