@@ -62,7 +62,7 @@ def block_of(key: Column, blocks: int) -> Column:
     return F.floor(top * F.lit(blocks) / F.lit(2.0**31)).cast("int")
 
 
-def blocks_for(rows: int, rows_per_block: int = 20_000) -> int:
+def blocks_for(rows: int, rows_per_block: int = 4_000) -> int:
     return max(1, -(-rows // rows_per_block))
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import mixing, ring, token_files
+from isobar.llm import fm_index, line_dedup, minhash, mixing, quality, ring, token_files, trie_dedup
 from isobar.llm.common import documents, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,29 @@ END_ID = 2
 SHARDS = 8
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_dedup.exact_dedup(documents(spark, sf_dir), keep="largest")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    forest = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, forest, "score", ["doc_id"])
+    return scored.select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -33,6 +56,20 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), SEPARATOR)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.find_items(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    names = F.concat_ws(",", F.array_sort(F.transform("_items", lambda i: i.cast("string"))))
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), n_hit.alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+        F.sha2(names.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "sequences")
     files = token_files.write_sequences(documents(spark, sf_dir), folder, public_tokenizers.path(TOKENIZER), END_ID)
@@ -41,9 +78,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op2_line_dedup": op2_line_dedup,
+        "op3_quality": op3_quality,
         "op5_mixing": op5_mixing,
         "op6_sharding": op6_sharding,
         "op7_token_counts": op7_token_counts,
+        "op8_decontamination": op8_decontamination,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_token_files": op10_token_files,
     }
 

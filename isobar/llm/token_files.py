@@ -189,7 +189,7 @@ def documents_in_sequences(files: DataFrame, folder: str) -> DataFrame:
             for name, start in zip(listed.column("file").to_pylist(), listed.column("file_start").to_pylist()):
                 yield from _file_documents(open_sequences(folder, name), start)
 
-    return placed.repartition("file_no").mapInArrow(
+    return placed.repartition(max(1, files.count()), "file_no").mapInArrow(  # few rows, much work: not to be coalesced
         read, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
@@ -292,7 +292,7 @@ def scan_flat(
 
     earlier = Window.partitionBy("file_no").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     stitched = (
-        blocks.repartition("file_no", "block")
+        blocks.repartition(max(1, blocks.count()), "file_no", "block")  # few rows, much work: not to be coalesced
         .mapInArrow(search, "file_no int, block long, ends array<long>")
         .withColumn("n_before", F.coalesce(F.sum(F.size("ends")).over(earlier), F.lit(0)))
         .withColumn("last_before", F.coalesce(F.max(F.array_max("ends")).over(earlier), F.lit(-1)))
