@@ -41,9 +41,9 @@ class Forest:
             if node >= inner:
                 return f"{float(self.leaves[tree, node - inner])!r}D"
             left, right = branch(tree, 2 * node + 1), branch(tree, 2 * node + 2)
-            if left == right:
-                return left
             column, threshold = columns[self.features[tree, node]], float(self.thresholds[tree, node])
+            if left == right or threshold == float("inf"):
+                return left
             return f"IF({column} > {threshold!r}D, {right}, {left})"
 
         return " + ".join([f"{self.base!r}D", *(branch(t, 0) for t in range(len(self.features)))])

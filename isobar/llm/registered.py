@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import fm_index, line_dedup, minhash, mixing, quality, ring, token_files, trie_dedup
+from isobar.llm import fm_index, line_dedup, minhash, mixing, pii, quality, ring, token_files, trie_dedup
 from isobar.llm.common import documents, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(documents(spark, sf_dir)))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -81,6 +85,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op3_quality": op3_quality,
+        "op4_personal_data": op4_personal_data,
         "op5_mixing": op5_mixing,
         "op6_sharding": op6_sharding,
         "op7_token_counts": op7_token_counts,
