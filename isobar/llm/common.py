@@ -85,5 +85,5 @@ def running_before(
     inside = Window.partitionBy(*groups, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in [*groups, block]]
-    joined = rows.join(sums, same)
+    joined = rows.join(sums.hint("merge"), same)  # its files say little about its size
     return joined.select(*df.columns, (F.col("_inside") + F.col("_blocks_before")).alias(name))

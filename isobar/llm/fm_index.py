@@ -7,6 +7,7 @@ shortest phrase cannot hold one, so neither is indexed; equal stretches of a sha
 from __future__ import annotations
 
 import pickle
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
@@ -17,6 +18,7 @@ import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar.llm.common import shared_folder, ship
 
@@ -34,6 +36,10 @@ _WORD_BYTES = bytes(
 )
 
 
+# The same words in a text that is not lower-cased.
+_WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
+
+
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
@@ -262,8 +268,11 @@ def _search_index(instances: dict[bytes, list[int]], phrases: Phrases) -> Iterat
             yield flat[firsts[s][which] + copy] + o[which], p[which]
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, columns: list[str] | None = None) -> DataFrame:
-    """Where benchmark phrases stand in documents: the columns asked for, _n_words, _spans and _items.
+def find_items(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, columns: list[str] | None = None,
+    names: tuple[str, str, str] = ("_n_words", "_spans", "_items"),
+) -> DataFrame:
+    """Where benchmark phrases stand in documents: the columns asked for, _n_words, _spans and _items (or ``names``).
 
     Words are runs of digits, letters a-z (A-Z lower-cased) and anything beyond ASCII. A phrase is ``window`` consecutive words of an
     item, or all of a shorter one. ``_spans`` are the merged ranges (start, end) of words that lie in occurrences, end exclusive;
@@ -284,14 +293,13 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, colu
                     held = list(_first_two(folder))
                     blocks = held if len(held) < 2 else None
                 rows = _search_texts(part.column("text").to_pylist(), blocks if blocks is not None else _read_blocks(folder), window)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *rows], names=[*columns, "_n_words", "_spans", "_items"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *rows], names=[*columns, *names])
 
     kept = docs.select(*columns, *([] if "text" in columns else ["text"]))
-    kinds = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in columns)
-    item_type = benchmark.schema["item_id"].dataType.simpleString()
-    return kept.mapInArrow(
-        search, f"{kinds}, _n_words long, _spans array<struct<start: long, end: long>>, _items array<{item_type}>"
-    )
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    found = (T.LongType(), T.ArrayType(span), T.ArrayType(benchmark.schema["item_id"].dataType))
+    schema = T.StructType([*(kept.schema[c] for c in columns), *(T.StructField(n, k) for n, k in zip(names, found))])
+    return kept.mapInArrow(search, schema)
 
 
 def _first_two(folder: str) -> Iterator[Phrases]:
@@ -334,3 +342,36 @@ def _search_texts(texts: list[str | None], blocks, window: int) -> list[pa.Array
         pa.array(counts), pa.ListArray.from_arrays(pa.array(per_row), spans),
         pa.array([sorted(i) for i in items], pa.list_(pa.int64() if not any(isinstance(x, str) for i in items for x in i) else pa.string())),
     ]
+
+
+def without_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
+    """A text without the words of the spans and what stands between them; a space stays in the place of each."""
+    if not spans or text is None:
+        return text
+    places = [m.span() for m in _WORD.finditer(text)]
+    parts, at = [], 0
+    for start, end in spans:
+        parts.append(text[at : places[start][0]].rstrip())
+        at = places[end - 1][1]
+    return " ".join([*parts, text[at:].lstrip()]).strip()
+
+
+def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with the merged spans of benchmark phrases cut out of the texts; other texts stay as they are."""
+    taken = {c.lower() for c in docs.columns}
+    names = tuple(next(n for n in (f"{'_' * k}{base}" for k in range(1, 99)) if n not in taken) for base in ("n_words", "spans", "items"))
+    found = find_items(docs, benchmark, window, docs.columns, names)
+    kept = docs.columns
+    place = kept.index("text")
+
+    def cut(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                without_spans(t, [(s["start"], s["end"]) for s in spans])
+                for t, spans in zip(batch.column("text").to_pylist(), batch.column(names[1]).to_pylist())
+            ]
+            columns = [batch.column(c) for c in kept]
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=kept)
+
+    return found.mapInArrow(cut, docs.schema)

@@ -43,7 +43,7 @@ class PieceEncoder:
         self.cuts = self._cuts_at_spaces(path)
         line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cuts = self.cuts and len(line_break) == 1
-        self.line_break = line_break[0]
+        self.line_break = line_break[0] if self.cuts else None
         self.specials = [] if plain_specials else [
             t.content for t in self.tokenizer.get_added_tokens_decoder().values()
         ]

@@ -317,6 +317,6 @@ def token_counts(docs: DataFrame, tokenizer: str, separator: int) -> DataFrame:
     known = write_flat(docs, folder, tokenizer, separator)
     dtype = encoder(tokenizer, True).dtype
     counted = scan_flat(known.where("place IS NULL"), folder, separator, dtype)
-    return known.where("place IS NOT NULL").select("file_no", "place", "doc_id").join(
+    return known.where("place IS NOT NULL").select("file_no", "place", "doc_id").hint("merge").join(
         counted, ["file_no", "place"]
     ).select("doc_id", "file_no", "start", "n_tokens")
