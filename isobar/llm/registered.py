@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import fm_index, line_dedup, minhash, mixing, pii, quality, ring, token_files, trie_dedup
+from isobar.llm import expected, fm_index, line_dedup, minhash, mixing, pii, quality, ring, token_files, trie_dedup
 from isobar.llm.common import documents, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,4 +96,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    """SQL where there is any; the other queries are tested against brute force, round trips and held-out labels."""
+    return {
+        "op1_exact_dedup": expected.EXACT,
+        "op2_line_dedup": expected.LINES,
+        "op8_decontamination": expected.PHRASES,
+        "op9_near_duplicates": expected.NEAR,
+    }

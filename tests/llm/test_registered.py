@@ -1,0 +1,88 @@
+"""The registered queries: SQL where there is some, brute force for the digests of the others."""
+
+import hashlib
+import os
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from oracle import connect, difference
+
+import corpus_pipeline
+from isobar.llm import fm_index, registered
+from isobar.llm.common import documents
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+
+
+def test_one_query_for_each_operator():
+    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registered.llm_queries())
+    assert numbers == list(range(1, 11))
+    assert registered.llm_sql().keys() <= registered.llm_queries().keys()
+
+
+@pytest.mark.parametrize("name", list(registered.llm_sql()))
+def test_sql(spark, name):
+    query = registered.llm_queries()[name](spark, SF_DIR)
+    assert difference(query, connect(SF_DIR), registered.llm_sql()[name]) is None
+
+
+def test_digests(spark, docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    quality = registered.op3_quality(spark, SF_DIR).collect()
+    assert {r.doc_id for r in quality} == set(texts)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.3) for r in quality)
+    private = registered.op4_personal_data(spark, SF_DIR).collect()
+    assert {r.doc_id for r in private} == set(texts)
+    for r in private:
+        base = [s for s in r.spans.split(",") if s]
+        if sum((r.n_email, r.n_ip, r.n_card, r.n_phone)) == len(base):
+            assert hashlib.sha256(r.spans.encode()).hexdigest() == r.base_sha256
+    shards = registered.op6_sharding(spark, SF_DIR).collect()
+    assert {r.law for r in shards} == {"rows"} and {r.grown_shard for r in shards} == {None}
+    assert sorted(Counter(r.shard for r in shards)) == list(range(8))
+
+
+def test_pipeline_stage_by_stage(spark, docs):
+    """Each stage against what it has to do with its own input."""
+    names = docs.columns
+    before = documents(spark, SF_DIR)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, before, SF_DIR)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert after.columns == names
+            after = spark.createDataFrame(after.collect(), before.schema)
+        kept[name] = (before, after)
+        before = after
+    rows = {n: ([tuple(r) for r in a.collect()], [tuple(r) for r in b.collect()]) for n, (a, b) in kept.items()}
+    for given, left in list(rows.values())[:3]:
+        assert set(left) <= set(given) and 0 < len(left) <= len(given)
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    given, left = rows["benchmark decontamination"]
+    left_ids = {r[0] for r in left}
+    phrases = fm_index.Phrases.of([(r.item_id, r.text) for r in benchmark.collect()], 10)
+    known = {tuple(p[:n]) for p, n in zip(phrases.symbols.tolist(), phrases.lengths.tolist())}
+    for row in given:
+        coded = [phrases.vocabulary.get(w, 0) for w in fm_index.words(row[1])]
+        holds = any(tuple(coded[i : i + 10]) in known for i in range(len(coded)))
+        assert (row[0] in left_ids) != holds
+    given, left = rows["mixing sources to target weights"]
+    times = Counter(r[0] for r in left)
+    assert set(times) <= {r[0] for r in given} and max(times.values()) <= 3
+    given, written = rows["token-ID / binary output"]
+    assert Counter(r[0] for r in written) == Counter(r[0] for r in given)
+
+
+def test_pipeline_of_nothing_and_of_clashing_names(spark, odd, nothing):
+    for table in (odd, nothing):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF_DIR)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == table.columns
+                docs = spark.createDataFrame(docs.collect(), table.schema)
+        assert (docs.count() > 0) == (table is odd)
