@@ -24,9 +24,12 @@ def date_id(date: Column) -> Column:
 
 
 def fact_id(date: Column, location: Column, hour: Column) -> Column:
-    """The natural key packed into one BIGINT, the same on every rerun."""
-    return (
+    """The natural key packed into one BIGINT, the same on every rerun; a key that does not fit fails."""
+    fits = location.between(0, 2**LOCATION_BITS - 1) & hour.between(0, 2**HOUR_BITS - 1)
+    message = F.concat_ws(" ", F.lit("No fact id for location and hour"), location, hour)
+    packed = (
         F.shiftleft(date.cast("bigint"), LOCATION_BITS + HOUR_BITS)
         .bitwiseOR(F.shiftleft(location.cast("bigint"), HOUR_BITS))
         .bitwiseOR(hour.cast("bigint"))
     )
+    return F.when(~fits, F.raise_error(message)).otherwise(packed)

@@ -1,9 +1,9 @@
 """Sums and averages that do not depend on the order rows arrive in.
 
 A sum of doubles differs in its last bits from one run to the next, because
-partial sums meet in any order. The measures are decimal readings, so they are
-added as whole ten-thousandths: a BIGINT sum stays in generated code, needs no
-decimal objects, combines map-side, and is the same on every run.
+partial sums meet in any order. Values are added as decimals of their shortest text form, with 18
+places after the point: every digit of a double from 0.1 on, and less than its last digit of what is smaller. Such a
+sum combines map-side and is the same on every run. Values from 10 billion on fail the job.
 """
 
 from __future__ import annotations
@@ -11,20 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS = 10_000
+VALUE = "decimal(28,18)"
+# Sums keep every place; two digits less before the point leave room to halve and compare.
+_TOTAL = "decimal(36,18)"
+_COUNT = "decimal(18,2)"
 
 
-def units(value: Column) -> Column:
-    """A reading as whole ten-thousandths."""
-    return F.round(value * F.lit(float(UNITS))).cast("bigint")
-
-
-def from_units(total: Column) -> Column:
-    return total / F.lit(float(UNITS))
+def exact(value: Column) -> Column:
+    return value.cast(VALUE)
 
 
 def exact_sum(value: Column) -> Column:
-    return from_units(F.sum(units(value)))
+    return F.sum(exact(value)).cast("double")
 
 
 def exact_avg(value: Column) -> Column:
@@ -32,21 +30,25 @@ def exact_avg(value: Column) -> Column:
 
 
 def tenths(total: Column, count: Column | int) -> Column:
-    """``total`` units over ``count`` rows, to one decimal, halves away from zero."""
-    divisor = (F.lit(count) if isinstance(count, int) else count) * F.lit(UNITS // 10)
-    rounded = F.call_function("div", F.abs(total) * 2 + divisor, divisor * 2)
-    signed = F.when(total < 0, -rounded).otherwise(rounded)
-    return F.when(divisor > 0, signed / F.lit(10.0))
+    """``total``, a decimal, over ``count`` rows, to one decimal, halves away from zero.
+
+    Half a tenth of a row is added per row, and whole tenths counted: no quotient is rounded twice.
+    """
+    rows = F.lit(count) if isinstance(count, int) else count
+    total = total.cast(_TOTAL)
+    half, step = (rows * F.lit(0.05).cast("decimal(3,2)")).cast(_COUNT), (rows * F.lit(0.1).cast("decimal(3,2)")).cast(_COUNT)
+    whole = F.call_function("div", F.abs(total) + half, F.nullif(step, F.lit(0).cast(_COUNT)))
+    return F.when(total < 0, -whole).otherwise(whole) / F.lit(10.0)
 
 
 def avg_tenths(value: Column) -> Column:
-    return tenths(F.sum(units(value)), F.count(value))
+    return tenths(F.sum(exact(value)), F.count(value))
 
 
 def avg_of_avgs(value: Column) -> Column:
-    """Unweighted average of already averaged values; these have long fractions."""
-    return F.sum(value.cast("decimal(20,8)")).cast("double") / F.nullif(F.count(value), F.lit(0))
+    """Unweighted average of already averaged values."""
+    return exact_avg(value)
 
 
 def sum_of_sums(value: Column) -> Column:
-    return F.sum(value.cast("decimal(20,4)")).cast("double")
+    return exact_sum(value)

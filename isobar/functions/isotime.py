@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------- fixed values
 _USUAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2})?$"
 
 _DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?)"
@@ -27,7 +26,6 @@ _NAMES = (
     "year", "week", "weekday", "month", "day", "hour", "minute", "second", "fraction",
     "sign", "off_hour", "off_minute", "off_second", "off_fraction",
 )
-# -----------------------------------------------------------------------------
 
 
 def iso_timestamp(text: Column) -> Column:

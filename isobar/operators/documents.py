@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar.functions.isotime import iso_timestamp
-from isobar.schemas import BRONZE_PARTITIONS, MEASURES, REQUIRED_KEYS, VIOLATION
+from isobar.schemas import BRONZE_PARTITIONS, MEASURES, REQUIRED_KEYS, SILVER, VIOLATION
 
 _EXAMPLES = 5
 
@@ -35,9 +36,18 @@ def parse_documents(raw: DataFrame) -> DataFrame:
         _inside(F.col("_top")["longitude"], "double").alias("longitude"),
         F.zip_with(_inside(times, "array<string>"), kinds, _hour).alias("hours"),
         *[_measure(name) for name in MEASURES],
+        _other_lengths().alias("others"),
     )
 
 
+def _other_lengths() -> Column:
+    """Names and lengths of the hourly arrays that are not measures: (name, n) each."""
+    known = ("time", *MEASURES)
+    others = F.map_filter("_hourly", lambda name, _: ~name.isin(*known))
+    lengths = F.transform_values(others, lambda _, value: F.size(_inside(value, "array<variant>")))
+    return F.map_entries(F.map_filter(lengths, lambda _, n: n >= 0))
+
+
 def _inside(value: Column, kind: str) -> Column:
     return F.try_variant_get(value, "$", kind)
 
@@ -55,6 +65,8 @@ def _measure(name: str) -> Column:
     odd = F.when(
         numbers.isNull(), F.when(value.isNotNull() & ~F.is_variant_null(value), 1).otherwise(0)
     ).otherwise(_nulls(numbers) - _nulls(texts))
+    if SILVER[name].dataType == T.IntegerType():
+        odd = odd + F.coalesce(F.size(F.filter(numbers, lambda x: x != F.round(x))), F.lit(0))
     return F.struct(numbers.alias("numbers"), odd.alias("odd")).alias(name)
 
 
@@ -83,9 +95,15 @@ def with_findings(parsed: DataFrame) -> DataFrame:
                 lambda item: item["hour"]["stamp"].isNull(),
             ),
             "_repeated": n_hours - F.size(F.array_distinct(F.col("hours")["text"])),
-            "_uneven": F.filter(
-                F.array(*[F.when(F.size(values) != n_hours, F.lit(name)) for name, values in numbers.items()]),
-                lambda name: name.isNotNull(),
+            "_uneven": F.concat(
+                F.filter(
+                    F.array(*[F.when(F.size(values) != n_hours, F.lit(name)) for name, values in numbers.items()]),
+                    lambda name: name.isNotNull(),
+                ),
+                F.coalesce(
+                    F.transform(F.filter("others", lambda o: o["value"] != n_hours), lambda o: o["key"]),
+                    F.array().cast("array<string>"),
+                ),
             ),
             "_odd": sum((F.coalesce(F.col(name)["odd"], F.lit(0)) for name in MEASURES), F.lit(0)),
         }

@@ -9,9 +9,10 @@ from isobar.functions import calendar
 from isobar.functions.keys import dense_ids
 from isobar.operators.star import distinct_dates, distinct_locations, fail_if
 from isobar.schemas import DIM_DATE, DIM_LOCATION, FACT_KEYS
-from isobar.session import shared_dir
-from isobar.sources.layout import aligned, drop_scratch, overwrite_partitions
-from isobar.sources.warehouse import FACT_TABLE, Warehouse
+from isobar.sources.layout import (
+    aligned, beside, overwrite_partitions, promote_partitions, read_parquet,
+)
+from isobar.sources.warehouse import FACT_TABLE, Warehouse, with_fact_folder
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -62,34 +63,31 @@ def merge_fact(warehouse: Warehouse, source: DataFrame, days: DataFrame | None =
 
     Only folders the source touches are read and written. ``days`` names the touched
     ``date_id`` values where the caller knows them more cheaply than by evaluating
-    the source. The result is written to the shared folder first and then put in
-    place, so a job that dies half way leaves either the old folders or a complete
-    copy for ``promote_fact``. A first load has nothing to lose and skips the copy.
+    the source. The result is written beside the fact and counted; then its folders take the
+    place of the old ones. A job that dies before leaves the fact as it was, one that dies during the moves leaves
+    the rest of a complete copy for ``promote_fact``. A first load has nothing to lose and skips the copy.
     """
-    spark, folder = warehouse.spark, warehouse.fact_folder
+    known = warehouse.exists(FACT_TABLE)
+    folder = warehouse.fact_folder
     stamped = source.withColumn("extraction_time", F.current_timestamp())
     days = source.select("date_id") if days is None else days.select("date_id")
     # Bounded by the calendar: one value per touched day or month.
-    folders = warehouse.with_fact_folder(days).select(folder).distinct().collect()
-    touched = sorted(row[folder] for row in folders)
+    touched = sorted(row[folder] for row in with_fact_folder(days, folder).select(folder).distinct().collect())
     if not touched:
         return 0
-    target = warehouse.read_fact_folders(touched)
-    merged = aligned(warehouse.with_fact_folder(upserted(target, stamped)), [folder])
-    if not warehouse.exists(FACT_TABLE):
+    target = warehouse.read_fact_folders(folder, touched)
+    merged = aligned(with_fact_folder(upserted(target, stamped), folder), [folder])
+    if not known:
         return overwrite_partitions(merged, warehouse.path(FACT_TABLE), [folder])
-    staged = shared_dir(spark, "fact-merge")
+    staged = beside(warehouse.path(FACT_TABLE), "merged")
     expected = overwrite_partitions(merged, staged, [folder])
-    written = promote_fact(warehouse, staged)
-    if written != expected:
-        raise RuntimeError(f"Promoted {written} of {expected} fact rows; the copy is at {staged}")
-    drop_scratch(spark, staged)
-    return written
-
-
-def promote_fact(warehouse: Warehouse, staged: str) -> int:
-    """Put a complete staged copy of fact folders in place; may be repeated."""
-    empty = warehouse.spark.createDataFrame([], warehouse.schema(FACT_TABLE))
-    rows = warehouse.spark.read.schema(warehouse.with_fact_folder(empty).schema).parquet(staged)
-    # Staged files belong to one folder each, so no shuffle is needed again.
-    return overwrite_partitions(rows, warehouse.path(FACT_TABLE), [warehouse.fact_folder])
+    found = read_parquet(warehouse.spark, staged, warehouse.fact_schema(folder)).count()
+    if found != expected:
+        raise RuntimeError(f"Staged {found} of {expected} fact rows at {staged}; the fact is as it was")
+    promote_fact(warehouse, staged)
+    return expected
+
+
+def promote_fact(warehouse: Warehouse, staged: str) -> None:
+    """Put the folders of a complete staged copy in place, by name; may be repeated."""
+    promote_partitions(warehouse.spark, staged, warehouse.path(FACT_TABLE), 1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.functions import calendar
 from isobar.functions.keys import dense_ids
-from isobar.schemas import DIM_DATE, DIM_LOCATION, FACT, FACT_FEED, MEASURES
+from isobar.schemas import DIM_DATE, DIM_LOCATION, FACT, FACT_KEYS, MEASURES
 
 
 def fail_if(condition: Column, message: Column, value: Column) -> Column:
@@ -78,7 +78,8 @@ def fact_rows(staging: DataFrame, dates: DataFrame, locations: DataFrame) -> Dat
     broadcasts them below its size threshold only; beyond it they are merge-joined and
     AQE splits hot locations.
     """
-    measures = [name for name in staging.columns if name in MEASURES or name in MEASURES.values()]
+    staging = staging.withColumnsRenamed(MEASURES)
+    measures = [name for name in staging.columns if name in MEASURES.values()]
     keyed = staging.select(
         F.col("time").cast("date").alias("date_value"),
         F.col("location").alias("location_name"),
@@ -93,14 +94,19 @@ def fact_rows(staging: DataFrame, dates: DataFrame, locations: DataFrame) -> Dat
 
 
 def build_fact(staging: DataFrame, dates: DataFrame, locations: DataFrame) -> DataFrame:
-    rows = fact_rows(staging, dates, locations).withColumns(
+    """All fact rows of a reload; two staged rows for one key fail it, as they fail a merge."""
+    rows = fact_rows(staging, dates, locations)
+    single = rows.groupBy(*FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.max(name).alias(name) for name in MEASURES.values()]
+    )
+    message = F.concat_ws(" ", F.lit("Two source rows for fact key"), *FACT_KEYS)
+    hour = fail_if(F.col("_rows") > 1, message, F.col("hour"))
+    return single.withColumns(
         {
-            "fact_id": calendar.fact_id(F.col("date_id"), F.col("location_id"), F.col("hour")),
+            "fact_id": calendar.fact_id(F.col("date_id"), F.col("location_id"), hour),
             "extraction_time": F.current_timestamp(),
         }
-    )
-    names = FACT_FEED.names if "temperature_2m" in rows.columns else FACT.names
-    return rows.select(*names)
+    ).select(*FACT.names)
 
 
 @dataclass(frozen=True)
@@ -131,7 +137,3 @@ class Star:
         a dimension is too large to broadcast, is the grouped result.
         """
         return self.with_locations(self.with_dates(rows))
-
-
-def star(fact: DataFrame, dates: DataFrame, locations: DataFrame) -> Star:
-    return Star(fact, dates, locations)

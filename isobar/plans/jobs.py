@@ -15,6 +15,7 @@ from isobar.operators.star import (
 from isobar.plans.marts import daily_summary, mart_tests, staging_views, time_spine
 from isobar.sources.bronze import land_bronze, read_bronze
 from isobar.sources.gold import read_gold, write_gold
+from isobar.sources.layout import read_parquet
 from isobar.sources.silver import read_silver, write_silver
 from isobar.sources.warehouse import FACT_TABLE, Warehouse, replace_staging
 
@@ -25,6 +26,7 @@ def ingest(
     silver: str,
     run_dates: Iterable[str] | None = None,
     locations: Iterable[str] | None = None,
+    source: str | None = None,
 ) -> int:
     """Bronze to silver in one pass over the documents, without a shuffle.
 
@@ -33,7 +35,7 @@ def ingest(
     """
     dates = None if run_dates is None else list(run_dates)
     places = None if locations is None else list(locations)
-    raw = read_bronze(spark, bronze, dates, places)
+    raw = read_bronze(spark, bronze, dates, places, source)
     try:
         return write_silver(flatten_hourly(raw), silver, align=False)
     except ValueError:
@@ -44,26 +46,48 @@ def ingest(
 
 
 def curate_job(
-    spark: SparkSession, silver: str, gold: str, run_dates: Iterable[str] | None = None
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    run_dates: Iterable[str] | None = None,
+    locations: Iterable[str] | None = None,
+    source: str | None = None,
 ) -> int:
-    """Silver to gold for the given dates.
+    """Silver to gold for the given dates, locations and source.
 
     Silver files belong to one gold partition each, so nothing has to be shuffled.
     """
-    return write_gold(read_silver(spark, silver, run_dates), gold, align=False)
+    return write_gold(read_silver(spark, silver, run_dates, locations, source), gold, align=False)
+
+
+def load_full_from(
+    warehouse: Warehouse,
+    silver: str,
+    run_dates: Iterable[str] | None = None,
+    locations: Iterable[str] | None = None,
+    source: str | None = None,
+) -> Star:
+    """``load_full`` from silver folders of the given dates, locations and source."""
+    return load_full(warehouse, read_silver(warehouse.spark, silver, run_dates, locations, source))
 
 
 def load_full(warehouse: Warehouse, staged: DataFrame) -> Star:
-    """Replace staging with silver rows and rebuild the star from it."""
-    spark, root = warehouse.spark, warehouse.root
-    target = Warehouse(spark, root, warehouse.fact_grain, feed_names=True)
-    replace_staging(staged, target)
-    raw = target.read("raw_weather")
-    target.replace("dim_location", build_dim_location(raw))
-    target.replace("dim_date", build_dim_date(raw))
-    dates, locations = target.read("dim_date"), target.read("dim_location")
-    target.replace(FACT_TABLE, build_fact(raw, dates, locations))
-    return read_star(target)
+    """Replace staging with silver rows and rebuild the star from it.
+
+    All three tables are complete beside the old ones before the first is put in place: rows that fail the
+    load leave the star as it was.
+    """
+    replace_staging(staged, warehouse)
+    raw = warehouse.read("raw_weather")
+    ready = {
+        "dim_location": warehouse.stage("dim_location", build_dim_location(raw)),
+        "dim_date": warehouse.stage("dim_date", build_dim_date(raw)),
+    }
+    locations, dates = (read_parquet(warehouse.spark, path, warehouse.schema(table)) for table, path in ready.items())
+    ready[FACT_TABLE] = warehouse.stage(FACT_TABLE, build_fact(raw, dates, locations))
+    for table, path in ready.items():
+        warehouse.put(table, path)
+    return read_star(warehouse)
 
 
 def load_incremental(
@@ -118,16 +142,17 @@ def backfill(
     warehouse: Warehouse,
     start: str,
     end: str,
+    source: str | None = None,
 ) -> dict[str, DataFrame]:
     """Re-run a span of dates as one job per layer; rows are replaced, not repeated."""
     dates = run_dates_between(start, end)
-    ingest(spark, bronze, silver, dates)
-    curate_job(spark, silver, gold, dates)
+    ingest(spark, bronze, silver, dates, source=source)
+    curate_job(spark, silver, gold, dates, source=source)
     load_incremental(warehouse, gold, dates)
     return build_marts(warehouse)
 
 
 __all__ = [
-    "backfill", "build_marts", "curate_job", "ingest", "land_bronze", "load_full",
+    "backfill", "build_marts", "curate_job", "ingest", "land_bronze", "load_full", "load_full_from",
     "load_incremental", "load_staged", "merge_star", "read_star", "run_dates_between",
 ]

@@ -22,7 +22,6 @@ class Measure:
     name: str
     expr: str
     agg: str
-    description: str = ""
 
     def column(self) -> Column:
         return AGGREGATIONS[self.agg](F.col(self.expr))
@@ -33,7 +32,6 @@ class Metric:
     name: str
     label: str
     measure: str
-    description: str = ""
 
 
 @dataclass(frozen=True)
@@ -56,10 +54,9 @@ DAILY_WEATHER = SemanticModel(
     measures={
         measure.name: measure
         for measure in (
-            Measure("total_precipitation", "total_precipitation_mm", "sum",
-                    "Rain in millimetres, added up"),
-            Measure("avg_temperature", "avg_temp_c", "average", "Mean of the daily mean temperatures"),
-            Measure("max_wind_speed", "max_wind_speed_kmh", "max", "Strongest wind in km/h"),
+            Measure("total_precipitation", "total_precipitation_mm", "sum"),
+            Measure("avg_temperature", "avg_temp_c", "average"),
+            Measure("max_wind_speed", "max_wind_speed_kmh", "max"),
         )
     },
 )
@@ -67,17 +64,15 @@ DAILY_WEATHER = SemanticModel(
 METRICS = {
     metric.name: metric
     for metric in (
-        Metric("average_daily_temperature", "Average Daily Temp (C)", "avg_temperature",
-               "Mean daily temperature over the places selected."),
-        Metric("total_daily_precipitation", "Total Precipitation (mm)", "total_precipitation",
-               "Rain over the places selected."),
-        Metric("max_daily_wind_speed", "Max Wind Speed (km/h)", "max_wind_speed",
-               "Strongest wind recorded."),
+        Metric("average_daily_temperature", "Average Daily Temp (C)", "avg_temperature"),
+        Metric("total_daily_precipitation", "Total Precipitation (mm)", "total_precipitation"),
+        Metric("max_daily_wind_speed", "Max Wind Speed (km/h)", "max_wind_speed"),
     )
 }
-GRAINS = ("day", "week", "month", "quarter", "year")
 # -----------------------------------------------------------------------------
 
+GRAINS = ("day", "week", "month", "quarter", "year")
+
 
 def metric_query(
     mart: DataFrame,

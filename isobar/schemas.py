@@ -123,7 +123,7 @@ def _fact(names: tuple[str, ...]) -> T.StructType:
     )
 
 
-# The full reload keeps the feed's measure names, the incremental load gold's.
+# The hourly questions use the feed's measure names; the table has gold's.
 FACT_FEED = _fact(tuple(MEASURES))
 FACT = _fact(tuple(MEASURES.values()))
 

@@ -1,10 +1,7 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Settings the results depend on; they are safe to set on a running session.
@@ -43,16 +40,3 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in _RESULT_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the cluster's shared checkpoint folder.
-
-    Only where no such folder is configured (tests on one machine) a local
-    temporary folder is taken instead.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="isobar-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/isobar/{label}-{uuid.uuid4().hex[:12]}"

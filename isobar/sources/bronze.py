@@ -33,7 +33,7 @@ def read_bronze(
     require_path(spark, root, "bronze")
     root = root.rstrip("/")
     dates = None if run_dates is None else list(run_dates)
-    paths = [root] if dates is None else date_folders(spark, root, "source=*/", dates)
+    paths = [root] if dates is None else date_folders(spark, root, dates, by_source=True)
     if not paths:
         return spark.createDataFrame([], T.StructType([*BRONZE.fields, VIOLATION["file_path"]]))
     reader = spark.read.schema(BRONZE).option("basePath", root)
@@ -48,11 +48,14 @@ def known_locations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "location string, latitude double, longitude double")
 
 
-def landed_locations(spark: SparkSession, landed: str) -> DataFrame:
+def landed_locations(spark: SparkSession, landed: str, run_dates: Iterable[str] | None = None) -> DataFrame:
     """Locations with landed files, from the file names: no document is read."""
     require_path(spark, landed, "landed")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landed)
-    return files.select(partition_from_path(F.col("path"), "location").alias("location")).distinct()
+    folders = landed if run_dates is None else date_folders(spark, landed, run_dates)
+    if not folders:
+        return spark.createDataFrame([], "location string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+    return files.select(partition_from_path(F.col("path"), "location", is_uri=False).alias("location")).distinct()
 
 
 def unknown_locations(locations: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -82,9 +85,15 @@ def with_load_metadata(landed: DataFrame, source: str) -> DataFrame:
     return landed.withColumn("value", extended).withColumn("source", F.lit(source))
 
 
-def read_landed(spark: SparkSession, landed: str) -> DataFrame:
+def read_landed(
+    spark: SparkSession, landed: str, run_dates: Iterable[str] | None = None, locations: Iterable[str] | None = None
+) -> DataFrame:
     require_path(spark, landed, "landed")
-    return spark.read.schema(LANDED).text(landed, wholetext=True)
+    folders = [landed] if run_dates is None else date_folders(spark, landed, run_dates)
+    if not folders:
+        return spark.createDataFrame([], LANDED)
+    rows = spark.read.schema(LANDED).option("basePath", landed).text(folders, wholetext=True)
+    return only(rows, None, locations)
 
 
 def land_bronze(
@@ -93,16 +102,24 @@ def land_bronze(
     root: str,
     source: str,
     lookup: DataFrame | None = None,
+    run_dates: Iterable[str] | None = None,
+    locations: Iterable[str] | None = None,
 ) -> None:
-    """Load landed JSON files, ``run_date=/location=`` folders, into bronze."""
+    """Load landed JSON files, ``run_date=/location=`` folders, into bronze.
+
+    ``run_dates`` and ``locations`` choose among them; only the folders of these dates are listed, read and replaced.
+    """
     lookup = known_locations(spark) if lookup is None else lookup
-    missing = unknown_locations(landed_locations(spark, landed), lookup)
+    dates = None if run_dates is None else list(run_dates)
+    places = None if locations is None else list(locations)
+    wanted = only(landed_locations(spark, landed, dates), None, places)
+    missing = unknown_locations(wanted, lookup)
     unknown = [row["location"] for row in missing.limit(_SHOWN).collect()]
     if unknown:
         raise LookupError(f"No coordinates known for locations: {', '.join(map(str, unknown))}")
     # One file per document comes in, so tasks already write one file per partition.
     (
-        with_load_metadata(read_landed(spark, landed), source)
+        with_load_metadata(read_landed(spark, landed, dates, places), source)
         .select("value", *BRONZE_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.operators.curate import curate, row_counts
+from isobar.operators.curate import curate
 from isobar.schemas import GOLD, GOLD_PARTITIONS
 from isobar.sources.layout import (
-    aligned, date_folders, only, overwrite_partitions, partition_from_path, read_parquet, require_path,
+    aligned, beside, date_folders, drop_scratch, only, overwrite_partitions, partition_from_path, promote_partitions,
+    read_parquet, require_path,
 )
 
 
@@ -18,7 +19,7 @@ def read_gold(spark: SparkSession, root: str, run_dates: Iterable[str] | None =
     """Gold rows in staging column order; ``run_dates`` prunes folders."""
     require_path(spark, root, "gold")
     dates = None if run_dates is None else list(run_dates)
-    folders = None if dates is None else date_folders(spark, root, "", dates)
+    folders = None if dates is None else date_folders(spark, root, dates)
     return only(read_parquet(spark, root, GOLD, folders), dates)
 
 
@@ -37,18 +38,27 @@ def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:
 def write_gold(silver: DataFrame, root: str, align: bool = True) -> int:
     """Curate silver rows and replace their gold partitions.
 
-    Both sides are counted before anything is written. The counts need no data
-    column, so the scans read footers only; the write counts its rows as well.
+    Rows are counted on both sides of the projection by the one pass that writes them, beside the target; only if the
+    counts agree are the partitions put in place. Two sources for one run date and location would meet in one partition and double its rows: that fails
+    before anything is written; the check reads partition values only.
     """
-    curated = curate(silver)
-    counts = {row["layer"]: row["row_count"] for row in row_counts(silver, curated).collect()}
-    before, after = counts["silver"], counts["gold"]
-    if before == 0:
-        raise ValueError("There are no silver rows to curate")
-    if before != after:
-        raise ValueError(f"Row counts differ: silver {before}, gold {after}")
+    mixed = silver.groupBy(*GOLD_PARTITIONS).agg(F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b")
+    found = mixed.limit(1).collect()
+    if found:
+        row = found[0]
+        raise ValueError(f"Sources {row['a']} and {row['b']} meet in {row['run_date']}, {row['location']}: name one source")
+    seen = Observation()
+    curated = curate(silver.observe(seen, F.count(F.lit(1)).alias("rows")))
     ready = aligned(curated, GOLD_PARTITIONS) if align else curated
-    written = overwrite_partitions(ready, root, GOLD_PARTITIONS)
-    if written != before:
-        raise ValueError(f"Row counts differ: silver {before}, written {written}")
+    spark, staged = silver.sparkSession, beside(root, "staged")
+    try:
+        written = overwrite_partitions(ready, staged, GOLD_PARTITIONS)
+        before = seen.get["rows"]
+        if before == 0:
+            raise ValueError("There are no silver rows to curate")
+        if written != before:
+            raise ValueError(f"Row counts differ: silver {before}, gold {written}")
+        promote_partitions(spark, staged, root, len(GOLD_PARTITIONS))
+    finally:
+        drop_scratch(spark, staged)
     return written

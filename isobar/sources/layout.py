@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,16 +10,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Readers pass over names that begin with an underscore.
+_ASIDE = "_aside-"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def partition_path(root: str, source: str, run_date: str, location: str | None = None) -> str:
     path = f"{root.rstrip('/')}/source={source}/run_date={run_date}"
     return f"{path}/location={location}" if location else path
 
 
-def partition_from_path(path: Column, name: str) -> Column:
-    """A partition value taken from a file path, where it is percent-encoded."""
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    part = F.regexp_extract(plain, f"{name}=[^/]+", 0)
-    return F.nullif(F.split_part(part, F.lit("="), F.lit(2)), F.lit(""))
+def partition_from_path(path: Column, name: str, is_uri: bool = True) -> Column:
+    """A partition value taken from a file path.
+
+    The partition writer percent-encodes values in folder names, and a URI (``_metadata.file_path``) encodes the names once
+    more. The writer's name for a missing value is NULL.
+    """
+    value = F.regexp_extract(path, f"(?:^|/){name}=([^/]*)", 1)
+    for _ in range(2 if is_uri else 1):
+        value = F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)
+    return F.when(~value.isin("", _NO_VALUE), value)
 
 
 def only(
@@ -39,14 +50,21 @@ def only(
     return df
 
 
-def date_folders(spark: SparkSession, root: str, above: str, run_dates: Iterable[str]) -> list[str]:
-    """The folders of the given dates that exist; ``above`` is what lies between.
+def date_folders(
+    spark: SparkSession, root: str, run_dates: Iterable[str], by_source: bool = False, source: str | None = None
+) -> list[str]:
+    """The folders of the given dates that exist, below each source where there are sources.
 
-    Reading these under ``basePath`` lists the wanted dates only. Reading the root and
-    filtering prunes as well, but lists every folder of the whole history first.
+    One listing of the root, and one for each source, however many dates are asked for. Reading these folders under
+    ``basePath`` lists the wanted dates only; reading the root and filtering prunes as well, but lists every
+    folder of the whole history first.
     """
-    root = root.rstrip("/")
-    return existing(spark, [f"{root}/{above}run_date={day}" for day in dict.fromkeys(map(str, run_dates))])
+    root, wanted = root.rstrip("/"), {f"run_date={day}" for day in run_dates}
+    above = [root]
+    if by_source:
+        named = None if source is None else f"source={source}"
+        above = [f"{root}/{n}" for n in children(spark, root) if n.startswith("source=") and named in (None, n)]
+    return [f"{folder}/{name}" for folder in above for name in children(spark, folder) if name in wanted]
 
 
 def read_parquet(
@@ -109,32 +127,95 @@ def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     return summary.getLength(), summary.getFileCount(), changed
 
 
-def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Those of the paths, which may hold wildcards, that match something."""
-    found = []
-    for path in paths:
-        files, hadoop_path = _file_system(spark, path)
-        if files.globStatus(hadoop_path):
-            found.append(path)
-    return found
-
-
 def require_path(spark: SparkSession, path: str, what: str) -> None:
     if not path_exists(spark, path):
         raise FileNotFoundError(f"No {what} data at {path}")
 
 
+def beside(path: str, label: str) -> str:
+    """A new folder name next to ``path``, so that putting it in place moves names, not data."""
+    return f"{path.rstrip('/')}-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _aside(path: str) -> str:
+    above, name = path.rstrip("/").rsplit("/", 1)
+    return f"{above}/{_ASIDE}{name}"
+
+
 def swap_in(spark: SparkSession, written: str, path: str) -> None:
-    """Put a completely written folder in the place of an old one."""
+    """Put a completely written folder in the place of an old one.
+
+    The old folder is moved aside, and deleted when the new one is in place. If that fails it is moved
+    back, here or by the next ``restore``.
+    """
     files, target = _file_system(spark, path)
     source = _file_system(spark, written)[1]
-    files.delete(target, True)
-    if not files.rename(source, target):
+    aside = beside(_aside(path), "")
+    held = files.exists(target)
+    if held and not files.rename(target, _file_system(spark, aside)[1]):
+        raise RuntimeError(f"Could not move {path} aside")
+    if not (files.exists(source) and files.rename(source, target)):
+        restore(spark, path)
         raise RuntimeError(f"Could not move {written} to {path}")
+    if held:
+        files.delete(_file_system(spark, aside)[1], True)
+
+
+def restore(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, after moving back what a swap that was cut short had moved aside."""
+    files, target = _file_system(spark, path)
+    if files.exists(target):
+        return True
+    aside = files.globStatus(_file_system(spark, f"{_aside(path)}-*")[1])
+    if not aside:
+        return False
+    return files.rename(max(aside, key=lambda s: s.getModificationTime()).getPath(), target)
+
+
+def restore_children(spark: SparkSession, path: str) -> None:
+    """``restore`` for every folder below ``path`` that a swap had moved aside."""
+    for name in children(spark, path):
+        if name.startswith(_ASIDE):
+            restore(spark, f"{path.rstrip('/')}/{name.removeprefix(_ASIDE).rsplit('--', 1)[0]}")
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder, from one listing; none if it does not exist."""
+    files, hadoop_path = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(hadoop_path)) if files.exists(hadoop_path) else []
+
+
+def promote_partitions(spark: SparkSession, staged: str, root: str, depth: int) -> None:
+    """Put complete partition folders, ``depth`` levels deep, in the place of those of the same names; may be repeated.
+
+    Like the commit of a partitioned write this renames folder by folder.
+    """
+    if not path_exists(spark, root):
+        swap_in(spark, staged, root)
+        return
+    for name in children(spark, staged):
+        if "=" in name and not name.startswith(("_", ".")):
+            here, there = f"{staged}/{name}", f"{root.rstrip('/')}/{name}"
+            if depth > 1:
+                promote_partitions(spark, here, there, depth - 1)
+            else:
+                swap_in(spark, here, there)
+    drop_scratch(spark, staged)
+
+
+def move_files(spark: SparkSession, source: str, path: str) -> None:
+    """Move the data files of one folder into another. Spark's file names are unique."""
+    files, target = _file_system(spark, path)
+    files.mkdirs(target)
+    for name in children(spark, source):
+        if not name.startswith(("_", ".")):
+            here, there = (_file_system(spark, f"{folder}/{name}")[1] for folder in (source, path))
+            if not files.rename(here, there):
+                raise RuntimeError(f"Could not move {here} to {path}")
 
 
 def drop_scratch(spark: SparkSession, path: str, at_exit: bool = False) -> None:
-    """Delete a scratch folder made by ``shared_dir``, now or when the session ends."""
+    """Delete a scratch folder, now or when the session ends."""
     files, hadoop_path = _file_system(spark, path)
     if at_exit:
         files.deleteOnExit(hadoop_path)

@@ -23,7 +23,7 @@ def read_silver(
     """Silver rows; each predicate prunes folders before any file is opened."""
     require_path(spark, root, "silver")
     dates = None if run_dates is None else list(run_dates)
-    folders = None if dates is None else date_folders(spark, root, "source=*/", dates)
+    folders = None if dates is None else date_folders(spark, root, dates, by_source=True)
     return only(read_parquet(spark, root, SILVER, folders), dates, locations, source)
 
 
@@ -45,10 +45,12 @@ def mirror(df: DataFrame, root: str, check_exists: bool = False) -> None:
     """Copy silver rows to a second root.
 
     ``check_exists`` leaves partitions alone that the second root already has. Their
-    names come from a scan without data columns, which opens footers only.
+    names come from a scan without data columns of the dates in ``df``, which opens footers only.
     """
     spark = df.sparkSession
     if check_exists and path_exists(spark, root):
-        present = read_parquet(spark, root, SILVER).select(*SILVER_PARTITIONS).distinct()
+        dates = [row["run_date"] for row in df.select("run_date").distinct().collect()]  # bounded by the calendar
+        folders = date_folders(spark, root, dates, by_source=True)
+        present = read_parquet(spark, root, SILVER, folders).select(*SILVER_PARTITIONS).distinct()
         df = df.join(present, list(SILVER_PARTITIONS), "left_anti").select(*SILVER.names)
     overwrite_partitions(aligned(df.select(*SILVER.names), SILVER_PARTITIONS), root, SILVER_PARTITIONS)

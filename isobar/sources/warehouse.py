@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from isobar import schemas as S
 from isobar.sources.layout import (
-    aligned, drop_scratch, existing, path_exists, read_parquet, swap_in,
+    aligned, beside, children, drop_scratch, move_files, read_parquet, restore, restore_children, swap_in,
 )
 
 TABLES: dict[str, T.StructType] = {
@@ -30,33 +29,46 @@ FACT_TABLE = "fact_weather_hourly"
 FACT_FOLDERS = {"day": "date_id", "month": "month_id"}
 
 
+def with_fact_folder(fact: DataFrame, folder: str) -> DataFrame:
+    if folder != FACT_FOLDERS["month"]:
+        return fact
+    return fact.withColumn(folder, F.call_function("div", F.col("date_id"), F.lit(100)).cast("int"))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Tables as Parquet folders under one root; one writer at a time is assumed.
 
-    ``feed_names`` says that the fact keeps the feed's measure names (full reload)
-    instead of gold's (incremental load).
+    ``fact_grain``, ``day`` or ``month``, is how a new fact is laid out. An existing one keeps its layout; asking
+    for another is an error. The fact has gold's measure names however it was loaded.
     """
 
     spark: SparkSession
     root: str
-    fact_grain: str = "day"
-    feed_names: bool = False
+    fact_grain: str | None = None
 
     @property
     def fact_folder(self) -> str:
-        return FACT_FOLDERS[self.fact_grain]
+        """Folder column of the fact, from the table itself where there is one."""
+        asked = FACT_FOLDERS[self.fact_grain] if self.fact_grain else None
+        names = {name.split("=")[0] for name in children(self.spark, self.path(FACT_TABLE)) if "=" in name}
+        found = next((folder for folder in FACT_FOLDERS.values() if folder in names), None)
+        if found and asked and found != asked:
+            raise ValueError(f"The fact at {self.path(FACT_TABLE)} is laid out by {found}, not by {asked}")
+        return found or asked or FACT_FOLDERS["day"]
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def schema(self, table: str) -> T.StructType:
-        if table == FACT_TABLE and self.feed_names:
-            return S.FACT_FEED
         return TABLES[table]
 
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self.path(table))
+        if not restore(self.spark, self.path(table)):
+            return False
+        if table == FACT_TABLE:
+            restore_children(self.spark, self.path(table))
+        return True
 
     def read(self, table: str) -> DataFrame:
         """A table by name; one that was never written reads as empty."""
@@ -64,55 +76,62 @@ class Warehouse:
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
         if table == FACT_TABLE:
-            return self._read_fact().select(*schema.names)
+            return self._read_fact(self.fact_folder).select(*schema.names)
         return read_parquet(self.spark, self.path(table), schema)
 
-    def read_fact_folders(self, values: Sequence[int]) -> DataFrame:
-        """Fact rows of the given folders only; the others are not even listed."""
+    def read_fact_folders(self, folder: str, values: Sequence[int]) -> DataFrame:
+        """Fact rows of the given folders only; no file of the others is listed."""
         path = self.path(FACT_TABLE)
-        folders = existing(self.spark, [f"{path}/{self.fact_folder}={value}" for value in values])
-        return self._read_fact(folders).select(*self.schema(FACT_TABLE).names)
+        present = set(children(self.spark, path))
+        folders = [f"{path}/{name}" for name in (f"{folder}={value}" for value in values) if name in present]
+        return self._read_fact(folder, folders).select(*self.schema(FACT_TABLE).names)
 
-    def _read_fact(self, folders: list[str] | None = None) -> DataFrame:
+    def fact_schema(self, folder: str) -> T.StructType:
         schema = self.schema(FACT_TABLE)
-        if self.fact_folder not in schema.names:
-            schema = T.StructType([*schema.fields, T.StructField(self.fact_folder, T.IntegerType())])
-        return read_parquet(self.spark, self.path(FACT_TABLE), schema, folders)
+        if folder in schema.names:
+            return schema
+        return T.StructType([*schema.fields, T.StructField(folder, T.IntegerType())])
 
-    def with_fact_folder(self, fact: DataFrame) -> DataFrame:
-        if self.fact_grain == "day":
-            return fact
-        month = F.call_function("div", F.col("date_id"), F.lit(100)).cast("int")
-        return fact.withColumn(self.fact_folder, month)
+    def _read_fact(self, folder: str, folders: list[str] | None = None) -> DataFrame:
+        return read_parquet(self.spark, self.path(FACT_TABLE), self.fact_schema(folder), folders)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Overwrite a whole table.
 
         Spark's overwrite deletes first and computes second. The new table is written
-        beside the old one and takes its place when it is complete, so a failed job
-        costs nothing, and ``df`` may read the table it replaces.
+        beside the old one and takes its place when it is complete; ``df`` may read the table
+        it replaces.
         """
+        self.put(table, self.stage(table, df))
+
+    def stage(self, table: str, df: DataFrame) -> str:
+        """Write a whole table beside the present one; returns where."""
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema(table).fields])
-        incoming = f"{self.path(table)}-incoming-{uuid.uuid4().hex[:12]}"
+        incoming = beside(self.path(table), "incoming")
+        self.exists(table)
         if table == FACT_TABLE:
-            rows = aligned(self.with_fact_folder(rows), [self.fact_folder])
-            rows.write.partitionBy(self.fact_folder).parquet(incoming)
+            folder = self.fact_folder
+            aligned(with_fact_folder(rows, folder), [folder]).write.partitionBy(folder).parquet(incoming)
         else:
             rows.write.parquet(incoming)
-        swap_in(self.spark, incoming, self.path(table))
+        return incoming
+
+    def put(self, table: str, staged: str) -> None:
+        """Put a staged table in place."""
+        swap_in(self.spark, staged, self.path(table))
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to a table; returns how many. Without rows no file is added.
 
-        The rows are computed once, beside the table, and then appended as they are.
+        The rows are written once, beside the table, and their files moved into it.
         """
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema(table).fields])
-        incoming = f"{self.path(table)}-incoming-{uuid.uuid4().hex[:12]}"
+        incoming = beside(self.path(table), "incoming")
         seen = Observation()
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(incoming)
         added = seen.get["rows"]
         if added:
-            read_parquet(self.spark, incoming, self.schema(table)).write.mode("append").parquet(self.path(table))
+            move_files(self.spark, incoming, self.path(table))
         drop_scratch(self.spark, incoming)
         return added
 

@@ -15,8 +15,8 @@ from isobar.plans import dashboard, jobs, marts, metrics
 from isobar.plans.hourly import QUESTIONS
 from isobar.schemas import DIM_LOCATION, FACT, FACT_FEED, MEASURES, RAW_WEATHER
 from isobar.sources.bronze import read_bronze
-from isobar.sources.gold import read_gold, read_gold_by_path
-from isobar.sources.silver import mirror, read_silver
+from isobar.sources.gold import read_gold, read_gold_by_path, write_gold
+from isobar.sources.silver import mirror, read_silver, write_silver
 from isobar.sources.warehouse import Warehouse, replace_staging
 from registry.inputs import Lake, event_samples, lake, lineitem_samples, readings
 
@@ -131,6 +131,41 @@ def _(lk: Lake) -> DataFrame:
     return rows.groupBy("location", "run_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_NAMES = ["St. John's", "A:B", "50%", "a=b", "x+y z", "run_date=5", None]
+
+
+@_key("path_names")
+def _(lk: Lake) -> DataFrame:
+    """Locations whose names have to be encoded in folder names, read back from the paths."""
+    root = lk.new_dir("odd-names")
+    names = F.array(*[F.lit(name) for name in _NAMES])
+    number = F.regexp_extract("location", "[0-9]+$", 0).cast("int") % len(_NAMES)
+    rows = lk.silver_rows().withColumn("location", F.get(names, number))
+    write_gold(rows.withColumn("run_date", F.to_date(F.lit("2024-01-01"))), root)
+    by_path = read_gold_by_path(lk.spark, root).groupBy("location", "run_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    by_value = read_gold(lk.spark, root).groupBy("location").agg(F.count(F.lit(1)).alias("n_by_value"))
+    return by_path.join(by_value.withColumnRenamed("location", "_name"), F.col("location").eqNullSafe(F.col("_name"))).drop("_name")
+
+
+@_key("one_source_of_two")
+def _(lk: Lake) -> DataFrame:
+    """Silver with two sources for the same dates and locations, of which one is curated and loaded."""
+    silver, gold = lk.new_dir("two-silver"), lk.new_dir("two-gold")
+    rows = lk.silver_rows()
+    other = rows.withColumns({"source": F.lit("model"), "temperature_2m": F.col("temperature_2m") + 1000})
+    write_silver(rows.unionByName(other), silver)
+    try:
+        jobs.curate_job(lk.spark, silver, gold)
+        raise AssertionError("two sources were curated into one partition")
+    except ValueError:
+        pass
+    jobs.curate_job(lk.spark, silver, gold, source="stations")
+    warehouse = Warehouse(lk.spark, lk.new_dir("two-warehouse"), fact_grain="month")
+    jobs.load_incremental(warehouse, gold)
+    star = jobs.read_star(warehouse)
+    return star.name(star.fact).select("date_value", "location_name", "hour", "temp_celsius")
+
+
 @_key("dq_row_reconcile")
 def _(lk: Lake) -> DataFrame:
     return row_counts(lk.silver_rows(), lk.gold_rows())
@@ -176,7 +211,7 @@ def _(lk: Lake) -> DataFrame:
 
 @_key("star_reload_fact")
 def _(lk: Lake) -> DataFrame:
-    return _without_clock(_reloaded(lk).fact.select(*FACT_FEED.names))
+    return _without_clock(_reloaded(lk).feed_named().fact.select(*FACT_FEED.names))
 
 
 def _first_day_then_all(lk: Lake, label: str) -> Warehouse:
@@ -206,15 +241,15 @@ def _(lk: Lake) -> DataFrame:
 def _(lk: Lake) -> DataFrame:
     """A history loaded from first estimates, then corrected for its last months.
 
-    The first load holds the lowest sample of each hour up to the last month; the
-    second brings the highest sample from the month before on, so one month is
+    The first load holds the first sample of each hour up to the last month; the
+    second brings the last sample from the month before on, so one month is
     updated and one is new.
     """
     warehouse = Warehouse(lk.spark, lk.new_dir("upsert"), fact_grain="month")
     samples = lineitem_samples(lk.spark, lk.sf_dir)
     month = F.trunc(F.lit(lk.line_readings.agg(F.max("run_date").alias("d")).first()["d"]), "month")
     day = F.col("run_date")
-    jobs.load_staged(warehouse, curate(readings(samples, F.min).where(day < month)))
+    jobs.load_staged(warehouse, curate(readings(samples, F.min_by).where(day < month)))
     jobs.load_staged(warehouse, curate(lk.line_readings.where(day >= F.add_months(month, -1))))
     star = jobs.read_star(warehouse)
     return star.name(star.fact).select(
@@ -222,6 +257,58 @@ def _(lk: Lake) -> DataFrame:
     )
 
 
+def _reload_then_merge(lk: Lake) -> tuple[jobs.Star, object]:
+    """A full reload of all months but the last and an upsert of the last two, through one object."""
+    warehouse = Warehouse(lk.spark, lk.new_dir("reload-merge"), fact_grain="month")
+    samples = lineitem_samples(lk.spark, lk.sf_dir)
+    month = F.trunc(F.lit(lk.line_readings.agg(F.max("run_date").alias("d")).first()["d"]), "month")
+    day = F.col("run_date")
+    reloaded = jobs.load_full(warehouse, readings(samples, F.min_by).where(day < month))
+    loaded = reloaded.fact.agg(F.max("extraction_time").alias("t")).first()["t"]
+    jobs.load_staged(warehouse, curate(lk.line_readings.where(day >= F.add_months(month, -1))))
+    return jobs.read_star(warehouse), loaded
+
+
+@_key("reload_then_merge")
+def _(lk: Lake) -> DataFrame:
+    star, _loaded = _reload_then_merge(lk)
+    return star.name(star.fact).select("date_value", "location_name", "hour", *MEASURES.values())
+
+
+@_key("extraction_time")
+def _(lk: Lake) -> DataFrame:
+    """Every row has a load time; rows that a merge brings have a newer one than the reload before."""
+    star, loaded = _reload_then_merge(lk)
+    stamp = F.col("extraction_time")
+    return star.name(star.fact).select(
+        "date_value", "location_name", "hour", stamp.isNotNull().alias("stamped"), (stamp > F.lit(loaded)).alias("newer")
+    )
+
+
+@_key("named_tables")
+def _(lk: Lake) -> DataFrame:
+    """Tables by name in SQL."""
+    lk.warehouse.register()
+    return lk.spark.sql(
+        "SELECT location_name, COUNT(*) AS n FROM fact_weather_hourly JOIN dim_location USING (location_id) GROUP BY location_name"
+    )
+
+
+@_key("rebuild_then_load")
+def _(lk: Lake) -> DataFrame:
+    """Tables dropped and made anew hold what is loaded afterwards and nothing else."""
+    warehouse = Warehouse(lk.spark, lk.new_dir("rebuild"), fact_grain="month")
+    rows = curate(lk.line_readings)
+    newest = lk.line_readings.agg(F.max("run_date").alias("d")).first()["d"]
+    jobs.load_staged(warehouse, rows)
+    warehouse.rebuild()
+    emptied = {t: warehouse.read(t).count() for t in ("dim_date", "dim_location", "fact_weather_hourly")}
+    jobs.load_staged(warehouse, rows.where(F.col("run_date") == F.lit(newest)))
+    after = {t: warehouse.read(t).count() for t in emptied}
+    found = [(t, emptied[t], after[t]) for t in emptied]
+    return lk.spark.createDataFrame(found, "table_name string, emptied long, reloaded long")
+
+
 # ------------------------------------------------------------------ hourly questions
 def _question(name: str) -> None:
     @_key(name)
@@ -262,7 +349,7 @@ def _(lk: Lake) -> DataFrame:
 @_key("time_spine")
 def _(lk: Lake) -> DataFrame:
     """The spine's days with the number of readings on each, none included."""
-    per_day = lk.event_readings.groupBy(F.col("run_date").alias("date_day")).agg(
+    per_day = lk.event_readings.groupBy(F.col("time").cast("date").alias("date_day")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return marts.time_spine(lk.spark).join(per_day, "date_day", "left").select(

@@ -14,10 +14,10 @@ _GOLD = "temp_celsius, humidity_percent, precipitation_mm, wind_speed_kmh"
 
 EVENT_SAMPLES = """
 ev_samples AS (
-  SELECT CAST(ts AS DATE) AS date_value, CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS hour,
-    event_type || '_' || CAST(user_id % 2 AS VARCHAR) AS location,
-    40 + (user_id % 2) / 2e0 AS latitude, -(70e0 + LENGTH(event_type)) AS longitude,
-    CASE WHEN event_id % 97 <> 0 THEN (CAST(ROUND(value * 100) AS BIGINT) % 500 - 100) / 1e1 END AS temperature_2m,
+  SELECT event_id AS sample, CAST(ts AS DATE) AS date_value, CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS hour,
+    'user_' || CAST(user_id AS VARCHAR) AS location,
+    (user_id % 180) / 2e0 AS latitude, -CAST(user_id % 360 AS DOUBLE) / 2e0 AS longitude,
+    CASE WHEN event_id % 97 <> 0 THEN ((CAST(ROUND(value * 100) AS BIGINT) % 500 - 100) * 10000 + event_id % 7) / 1e5 END AS temperature_2m,
     CAST(30 + event_id % 70 AS INTEGER) AS relative_humidity_2m,
     CASE WHEN event_id % 101 <> 0
       THEN CASE WHEN event_id % 3 = 0 THEN (event_id % 50) / 1e1 ELSE 0e0 END END AS precipitation,
@@ -26,28 +26,29 @@ ev_samples AS (
 
 LINE_SAMPLES = """
 li_samples AS (
-  SELECT CAST(l_shipdate AS DATE) AS date_value, CAST(l_orderkey % 24 AS INTEGER) AS hour,
+  SELECT l_orderkey * 100 + l_linenumber AS sample, CAST(l_shipdate AS DATE) AS date_value, CAST(l_orderkey % 24 AS INTEGER) AS hour,
     'loc_' || CAST(l_suppkey AS VARCHAR) AS location,
     CAST(l_suppkey % 90 AS DOUBLE) AS latitude, CAST(l_suppkey % 180 AS DOUBLE) AS longitude,
     CASE WHEN l_partkey % 97 <> 0
-      THEN (CAST(ROUND(l_extendedprice * 100) AS BIGINT) % 500 - 100) / 1e1 END AS temperature_2m,
+      THEN ((CAST(ROUND(l_extendedprice * 100) AS BIGINT) % 500 - 100) * 10000 + l_partkey % 7) / 1e5 END AS temperature_2m,
     CAST(30 + l_partkey % 70 AS INTEGER) AS relative_humidity_2m,
     CASE WHEN l_partkey % 101 <> 0
-      THEN CASE WHEN l_linenumber % 3 = 0 THEN (l_partkey % 50) / 1e1 ELSE 0e0 END END AS precipitation,
+      THEN CASE WHEN l_linenumber % 3 = 0 THEN ((l_partkey % 50) * 10000 + l_partkey % 3) / 1e5 ELSE 0e0 END END AS precipitation,
     CAST(ROUND(l_quantity * 10) AS BIGINT) % 350 / 1e1 AS wind_speed_10m
   FROM lineitem)"""
 
 
-def _readings(name: str, samples: str, pick: str = "MAX") -> str:
-    picked = ", ".join(f"{pick}({m}) AS {m}" for m in _FEED)
+def _readings(name: str, samples: str, last: str = "DESC", run_date: str = "date_value") -> str:
     return f"""
 {name} AS (
-  SELECT date_value, hour, location, latitude, longitude, {picked},
+  SELECT date_value, {run_date} AS run_date, hour, location, latitude, longitude, {", ".join(_FEED)},
     CAST(date_value AS TIMESTAMP) + TO_HOURS(hour) AS time
-  FROM {samples} GROUP BY date_value, hour, location, latitude, longitude)"""
+  FROM {samples}
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY date_value, hour, location ORDER BY sample {last}) = 1)"""
 
 
-EV = EVENT_SAMPLES + "," + _readings("ev", "ev_samples")
+# Documents cover a week each, so folders stay few while they grow with the table.
+EV = EVENT_SAMPLES + "," + _readings("ev", "ev_samples", run_date="CAST(DATE_TRUNC('week', date_value) AS DATE)")
 LI = LINE_SAMPLES + "," + _readings("li", "li_samples")
 
 _DATE_ID = "CAST(YEAR({d}) * 10000 + MONTH({d}) * 100 + DAY({d}) AS INTEGER)".replace("{d}", "date_value")
@@ -76,26 +77,32 @@ STAR = f"{LI},{DIMS},{FACT}"
 
 
 def _units(value: str) -> str:
-    return f"CAST(ROUND({value} * 10000) AS BIGINT)"
+    """A double's shortest text as a whole number of 10^-18: integers add up the same in any order."""
+    return f"CAST(REPLACE(CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def _double(units: str) -> str:
+    return f"CAST(CAST({units} AS VARCHAR) || 'e-18' AS DOUBLE)"
 
 
 def _tenths(total: str, count: str) -> str:
+    step = f"(CAST({count} AS HUGEINT) * 100000000000000000)"
     return (
-        f"CASE WHEN {count} > 0 THEN SIGN({total}) * "
-        f"((2 * ABS({total}) + {count} * 1000) // (2 * {count} * 1000)) / 1e1 END"
+        f"CASE WHEN {count} > 0 THEN (CASE WHEN {total} < 0 THEN -1 ELSE 1 END) * "
+        f"CAST((2 * ABS({total}) + {step}) // (2 * {step}) AS BIGINT) / 1e1 END"
     )
 
 
 def _sum(value: str, over: str = "") -> str:
-    return f"CAST(SUM({_units(value)}) {over} AS BIGINT) / 1e4"
+    return _double(f"SUM({_units(value)}) {over}")
 
 
 def _avg_of_avgs(value: str) -> str:
-    return f"CAST(SUM(CAST({value} AS DECIMAL(20,8))) AS DOUBLE) / NULLIF(COUNT({value}), 0)"
+    return f"{_sum(value)} / NULLIF(COUNT({value}), 0)"
 
 
 def _sum_of_sums(value: str) -> str:
-    return f"CAST(SUM(CAST({value} AS DECIMAL(20,4))) AS DOUBLE)"
+    return _sum(value)
 
 
 MART = f"""
@@ -131,7 +138,7 @@ def _rolling(window: str) -> str:
     return f"""
 SELECT {_PLACE}, hour, temperature_2m, {_tenths("t", "c")} AS moving_avg_3hr FROM (
   SELECT *, COUNT(temperature_2m) OVER ({window} {_FRAME}) AS c,
-    CAST(SUM({_units("temperature_2m")}) OVER ({window} {_FRAME}) AS BIGINT) AS t
+    SUM({_units("temperature_2m")}) OVER ({window} {_FRAME}) AS t
   FROM star) a
 ORDER BY location_name, date_value, hour"""
 
@@ -156,7 +163,7 @@ WHERE wind_speed_10m > 15 ORDER BY wind_speed_10m DESC""",
 WHERE is_weekend ORDER BY location_name, hour""",
     "q5": f"""SELECT {_PLACE}, hours_recorded, {_tenths("t", "c")} AS avg_temp FROM (
   SELECT {_PLACE}, COUNT(*) AS hours_recorded, COUNT(temperature_2m) AS c,
-    CAST(SUM({_units("temperature_2m")}) AS BIGINT) AS t
+    SUM({_units("temperature_2m")}) AS t
   FROM star GROUP BY {_PLACE}) a ORDER BY avg_temp DESC NULLS FIRST""",
     "q6": f"""SELECT {_PLACE}, min_temp, max_temp, temp_variance FROM {_EXTREMES}
 ORDER BY temp_variance DESC NULLS FIRST""",
@@ -182,9 +189,9 @@ assert _QUESTION_SQL.keys() == QUESTIONS.keys()
 
 # ------------------------------------------------------------------ layers
 _SILVER_EV = f"""SELECT time, {", ".join(_FEED)}, latitude, longitude, 'stations' AS source,
-  date_value AS run_date, location FROM ev"""
+  run_date, location FROM ev"""
 _STAGE_LI = f"""SELECT time, {", ".join(_FEED)}, latitude, longitude, location, 'stations' AS source,
-  date_value AS run_date FROM li"""
+  run_date FROM li"""
 
 
 def _gold(readings: str) -> str:
@@ -192,13 +199,13 @@ def _gold(readings: str) -> str:
   wind_speed_10m AS wind_speed_kmh, precipitation AS precipitation_mm,
   ROUND(temperature_2m * 9 / 5 + 32, 2) AS temp_fahrenheit,
   COALESCE(temperature_2m <= 0, FALSE) AS is_freezing, latitude, longitude, location,
-  date_value AS run_date FROM {readings}"""
+  run_date FROM {readings}"""
 
 
 def _documents(keys: int) -> str:
-    return f"""SELECT 'stations' AS source, date_value AS run_date, location, latitude, longitude,
+    return f"""SELECT 'stations' AS source, run_date, location, latitude, longitude,
   {keys} AS n_keys, CAST(COUNT(*) AS INTEGER) AS n_hours
-FROM ev GROUP BY date_value, location, latitude, longitude"""
+FROM ev GROUP BY run_date, location, latitude, longitude"""
 
 
 _KEYS_LANDED = len(REQUIRED_KEYS) + 2
@@ -206,18 +213,18 @@ _KEYS_LANDED = len(REQUIRED_KEYS) + 2
 # The faults put into documents: see the input adapter.
 _FAULTY = """
 faulty AS (
-  SELECT *, DAY(date_value) % 5 = 0 AS no_keys,
-    location LIKE '%\\_1' ESCAPE '\\' AND DAY(date_value) % 6 = 1 AS no_hours,
+  SELECT *, DAY(run_date) % 5 = 0 AS no_keys,
+    location LIKE '%1' AND DAY(run_date) % 6 = 1 AS no_hours,
     CASE WHEN relative_humidity_2m % 23 = 0 THEN 'at ' || CAST(hour AS VARCHAR)
       ELSE STRFTIME(time, '%Y-%m-%dT%H:%M') END AS text,
     relative_humidity_2m % 23 = 0 AS bad
   FROM ev, LATERAL (SELECT UNNEST(CASE WHEN CAST(ROUND(wind_speed_10m * 10) AS INTEGER) % 19 = 0
     THEN [1, 2] ELSE [1] END) AS copy) c),
 placed AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY date_value, location ORDER BY hour, copy) - 1 AS pos
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY run_date, location ORDER BY time, copy) - 1 AS pos
   FROM faulty WHERE NOT no_hours)"""
 
-_HEAD = "'stations' AS source, date_value AS run_date, location"
+_HEAD = "'stations' AS source, run_date, location"
 
 _DOCUMENT_CHECKS = {
     "dq_required_keys": f"""SELECT DISTINCT {_HEAD}, 'required_keys' AS check_name,
@@ -229,12 +236,12 @@ FROM faulty WHERE no_keys""",
   'Found ' || CAST(COUNT(*) AS VARCHAR) || ' unparseable timestamps. Examples: ' || STRING_AGG(
     CASE WHEN nth <= 5 THEN '[' || CAST(pos AS VARCHAR) || '] ' || text END, '; ' ORDER BY pos) AS detail,
   COUNT(*) AS n
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date_value, location ORDER BY pos) AS nth
-  FROM placed WHERE bad) b GROUP BY date_value, location""",
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY run_date, location ORDER BY pos) AS nth
+  FROM placed WHERE bad) b GROUP BY run_date, location""",
     "dq_duplicates_bronze": f"""SELECT {_HEAD}, 'duplicates' AS check_name,
   'Data contains ' || CAST(COUNT(*) - COUNT(DISTINCT text) AS VARCHAR) || ' duplicates on natural key' AS detail,
   COUNT(*) - COUNT(DISTINCT text) AS n
-FROM placed GROUP BY date_value, location HAVING COUNT(*) > COUNT(DISTINCT text)""",
+FROM placed GROUP BY run_date, location HAVING COUNT(*) > COUNT(DISTINCT text)""",
 }
 
 _DATE_COLUMNS = "date_id, date_value, year, month, day, day_of_week, is_weekend"
@@ -254,7 +261,7 @@ FROM (
   SELECT * FROM li WHERE date_value >= (SELECT start FROM changed)
   UNION ALL
   SELECT * FROM li_first WHERE date_value < (SELECT start FROM changed)) u"""
-_UPSERT_CTES = f"""{LI},{_readings("li_first", "li_samples", "MIN")},
+_UPSERT_CTES = f"""{LI},{_readings("li_first", "li_samples", "ASC")},
 changed AS (
   SELECT CAST(DATE_TRUNC('month', MAX(date_value)) - INTERVAL 1 MONTH AS DATE) AS start FROM li)"""
 
@@ -301,10 +308,10 @@ def _on_mart(body: str) -> str:
     return _with(f"{STAR},{MART}", body)
 
 
-def _layer_counts(layers: dict[str, str]) -> str:
+def _layer_counts(layers: dict[str, tuple[str, str]]) -> str:
     return "\nUNION ALL ".join(
-        f"SELECT '{layer}' AS layer, date_value AS run_date, {count} AS row_count FROM ev GROUP BY date_value"
-        for layer, count in layers.items()
+        f"SELECT '{layer}' AS layer, {day} AS run_date, {count} AS row_count FROM ev GROUP BY {day}"
+        for layer, (day, count) in layers.items()
     )
 
 
@@ -322,10 +329,19 @@ def expected_sql() -> dict[str, str]:
         "gold_overwrite_idempotent": _with(EV, _gold("ev")),
         "gold_copy_full": _with(EV, _gold("ev")),
         "gold_copy_incremental": _with(
-            EV, _gold("ev WHERE date_value = (SELECT MAX(date_value) FROM ev)")
+            EV, _gold("ev WHERE run_date = (SELECT MAX(run_date) FROM ev)")
         ),
         "path_metadata": _with(
-            EV, "SELECT location, date_value AS run_date, COUNT(*) AS n_rows FROM ev GROUP BY location, date_value"
+            EV, "SELECT location, run_date, COUNT(*) AS n_rows FROM ev GROUP BY location, run_date"
+        ),
+        "path_names": _with(
+            EV,
+            """SELECT location, DATE '2024-01-01' AS run_date, COUNT(*) AS n_rows, COUNT(*) AS n_by_value FROM (
+  SELECT ['St. John''s', 'A:B', '50%', 'a=b', 'x+y z', 'run_date=5', NULL]
+    [1 + CAST(REGEXP_EXTRACT(location, '[0-9]+$') AS INTEGER) % 7] AS location FROM ev) x GROUP BY location""",
+        ),
+        "one_source_of_two": _with(
+            EV, "SELECT date_value, location AS location_name, hour, temperature_2m AS temp_celsius FROM ev"
         ),
         "dq_row_reconcile": _with(
             EV, "SELECT layer, COUNT(*) AS row_count FROM ev, (VALUES ('silver'), ('gold')) v(layer) GROUP BY layer"
@@ -347,6 +363,20 @@ def expected_sql() -> dict[str, str]:
             "wind_speed_10m AS wind_speed_kmh FROM fact",
         ),
         "merge_fact_upsert": _with(_UPSERT_CTES, _UPSERT),
+        "reload_then_merge": _with(_UPSERT_CTES, _UPSERT),
+        "extraction_time": _with(
+            _UPSERT_CTES,
+            """SELECT date_value, location AS location_name, hour, TRUE AS stamped,
+  date_value >= (SELECT start FROM changed) AS newer FROM li""",
+        ),
+        "named_tables": _with(LI, "SELECT location AS location_name, COUNT(*) AS n FROM li GROUP BY location"),
+        "rebuild_then_load": _with(
+            LI,
+            """SELECT table_name, CAST(0 AS BIGINT) AS emptied, n AS reloaded FROM (
+  SELECT 'dim_date' AS table_name, COUNT(DISTINCT date_value) AS n FROM li WHERE date_value = (SELECT MAX(date_value) FROM li)
+  UNION ALL SELECT 'dim_location', COUNT(DISTINCT location) FROM li WHERE date_value = (SELECT MAX(date_value) FROM li)
+  UNION ALL SELECT 'fact_weather_hourly', COUNT(*) FROM li WHERE date_value = (SELECT MAX(date_value) FROM li)) x""",
+        ),
         "mart_daily_summary": _on_mart("SELECT * FROM mart"),
         "mart_scan": _on_mart("SELECT * FROM mart ORDER BY summary_date DESC"),
         "time_spine": _with(
@@ -443,8 +473,8 @@ FROM ev GROUP BY date_value""",
         "backfill_counts": _with(
             EV,
             _layer_counts(
-                {"silver": "COUNT(*)", "gold": "COUNT(*)", "fact": "COUNT(*)",
-                 "mart": "COUNT(DISTINCT location)"}
+                {"silver": ("run_date", "COUNT(*)"), "gold": ("run_date", "COUNT(*)"),
+                 "fact": ("date_value", "COUNT(*)"), "mart": ("date_value", "COUNT(DISTINCT location)")}
             ),
         ),
     }

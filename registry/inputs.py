@@ -1,23 +1,25 @@
 """Weather-shaped inputs made by Spark from the given tables.
 
 ``lineitem`` feeds the star: a supplier is a location, so locations, days and rows
-all grow with the table. ``events`` feeds the folder layers (bronze, silver, gold),
-whose layout has one folder per location and day. An hourly reading is the highest
-of the samples in its hour, a plain hash aggregation that combines map-side however
-many samples one hour holds.
+all grow with the table. ``events`` feeds the folder layers (bronze, silver, gold): a user is a
+location, and a document covers a week, so documents grow with the table while folders stay few. An hourly
+reading is the last of the samples in its hour (the one with the highest number), a plain hash aggregation that
+combines map-side however many samples one hour holds.
 """
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.operators.curate import curate
 from isobar.plans import jobs
 from isobar.schemas import GOLD, MEASURES, SILVER
-from isobar.session import prepare, shared_dir
+from isobar.session import prepare
 from isobar.sources.layout import drop_scratch, path_state, read_parquet
 from isobar.sources.gold import read_gold
 from isobar.sources.silver import read_silver, write_silver
@@ -31,17 +33,23 @@ def _tenths(value, modulus: int, shift: int = 0):
     return (value % modulus - shift) / F.lit(10.0)
 
 
+def _fine(tenths, rest):
+    """Tenths and some hundred-thousandths: finer than any fixed four places."""
+    return (tenths * 10_000 + rest) / F.lit(100_000.0)
+
+
 def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    eid, station = F.col("event_id"), F.col("user_id") % 2
+    eid, user = F.col("event_id"), F.col("user_id")
+    cents = F.round(F.col("value") * 100).cast("bigint")
     return events.select(
+        eid.alias("sample"),
         F.to_date("ts").alias("date_value"),
         F.hour("ts").alias("hour"),
-        F.concat("event_type", F.lit("_"), station.cast("string")).alias("location"),
-        (40 + station / F.lit(2.0)).alias("latitude"),
-        (-(F.lit(70.0) + F.length("event_type"))).alias("longitude"),
-        F.when(eid % 97 != 0, _tenths(F.round(F.col("value") * 100).cast("bigint"), 500, 100))
-        .alias("temperature_2m"),
+        F.concat(F.lit("user_"), user.cast("string")).alias("location"),
+        (user % 180 / F.lit(2.0)).alias("latitude"),
+        (-((user % 360).cast("double")) / F.lit(2.0)).alias("longitude"),
+        F.when(eid % 97 != 0, _fine(cents % 500 - 100, eid % 7)).alias("temperature_2m"),
         (30 + eid % 70).cast("int").alias("relative_humidity_2m"),
         F.when(eid % 101 != 0, F.when(eid % 3 == 0, _tenths(eid, 50)).otherwise(0.0)).alias("precipitation"),
         _tenths(F.col("user_id") * 7 + eid, 350).alias("wind_speed_10m"),
@@ -51,39 +59,40 @@ def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return lines.select(
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("sample"),
         F.to_date("l_shipdate").alias("date_value"),
         (F.col("l_orderkey") % 24).cast("int").alias("hour"),
         F.concat(F.lit("loc_"), supplier.cast("string")).alias("location"),
         (supplier % 90).cast("double").alias("latitude"),
         (supplier % 180).cast("double").alias("longitude"),
-        F.when(part % 97 != 0, _tenths(F.round(F.col("l_extendedprice") * 100).cast("bigint"), 500, 100))
-        .alias("temperature_2m"),
+        F.when(part % 97 != 0, _fine(cents % 500 - 100, part % 7)).alias("temperature_2m"),
         (30 + part % 70).cast("int").alias("relative_humidity_2m"),
-        F.when(part % 101 != 0, F.when(F.col("l_linenumber") % 3 == 0, _tenths(part, 50)).otherwise(0.0))
+        F.when(part % 101 != 0, F.when(F.col("l_linenumber") % 3 == 0, _fine(part % 50, part % 3)).otherwise(0.0))
         .alias("precipitation"),
         _tenths(F.round(F.col("l_quantity") * 10).cast("bigint"), 350).alias("wind_speed_10m"),
     )
 
 
-def readings(samples: DataFrame, pick=F.max) -> DataFrame:
-    """Silver-shaped hourly rows: one per location, day and hour."""
+def readings(samples: DataFrame, pick=F.max_by, run_date: Column | None = None) -> DataFrame:
+    """Silver-shaped hourly rows, one sample per location, day and hour: the last, or with ``min_by`` the first."""
     hourly = samples.groupBy(*_SLOT).agg(
-        *[pick(name).alias(name) for name in MEASURES],
-        F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"),
+        *[pick(name, "sample").alias(name) for name in (*MEASURES, "latitude", "longitude")],
     )
+    run_date = F.col("date_value") if run_date is None else run_date
     time = F.col("date_value").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("hour"))
     return hourly.select(
         time.alias("time"), *MEASURES, "latitude", "longitude",
-        F.lit(SOURCE).alias("source"), F.col("date_value").alias("run_date"), "location",
+        F.lit(SOURCE).alias("source"), run_date.alias("run_date"), "location",
     ).select(*SILVER.names)
 
 
 def documents(hourly: DataFrame, faulty: bool = False) -> DataFrame:
-    """JSON documents, one per location and day, of at most 24 readings each.
+    """JSON documents, one per location and run date, of the readings it covers.
 
     With ``faulty``, documents are spoilt by their own values: keys left out on days
-    divisible by five, no hours for station 1 on some days, unreadable times and
+    divisible by five, no hours for some locations on some days, unreadable times and
     repeated hours depending on the reading.
     """
     day = F.dayofmonth("run_date")
@@ -95,7 +104,7 @@ def documents(hourly: DataFrame, faulty: bool = False) -> DataFrame:
         rows = rows.withColumn("_at", F.when(bad_time, F.concat(F.lit("at "), F.hour("time"))).otherwise(F.col("_at")))
         rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(twice, 2).otherwise(1))))
         no_keys = day % 5 == 0
-        no_hours = F.col("location").endswith("_1") & (day % 6 == 1)
+        no_hours = F.col("location").endswith("1") & (day % 6 == 1)
     else:
         rows = rows.withColumn("_copy", F.lit(1))
     grouped = rows.groupBy("run_date", "location", "latitude", "longitude").agg(
@@ -124,6 +133,20 @@ def write_landed(docs: DataFrame, root: str) -> None:
     docs.write.mode("overwrite").partitionBy("run_date", "location").text(root)
 
 
+def shared_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below the cluster's shared checkpoint folder.
+
+    A local session without such a folder gets a temporary one; on a cluster that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="isobar-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/isobar/{label}-{uuid.uuid4().hex[:12]}"
+
+
 class Lake:
     """Layers built once per session and input, in the shared folder."""
 
@@ -142,7 +165,8 @@ class Lake:
 
     @cached_property
     def event_readings(self) -> DataFrame:
-        return self._kept("event-readings", readings(event_samples(self.spark, self.sf_dir)))
+        week = F.trunc("date_value", "week")
+        return self._kept("event-readings", readings(event_samples(self.spark, self.sf_dir), run_date=week))
 
     @cached_property
     def lookup(self) -> DataFrame:
