@@ -117,3 +117,17 @@ def test_flatten_keeps_order_of_values(spark):
 def test_flatten_refuses_a_bad_document(spark):
     with pytest.raises(Exception, match="Dataset is empty"):
         flatten_hourly(raw(spark, COMPLETE, document(hours()))).count()
+
+
+def test_every_hourly_array_has_its_length_checked(spark):
+    times = ("2026-01-25T12:00", "2026-01-25T13:00")
+    even, short, scalar = (document(hours(*times, gusts=values)) for values in ([1, 2], [1], 7))
+    good, bad, other = found(spark, even, short, scalar)
+    assert good == {} and other == {}
+    assert bad == {"array_lengths": (1, "Arrays differ in length from time: gusts")}
+
+
+def test_humidity_that_is_not_whole_is_a_finding(spark):
+    times = ("2026-01-25T12:00", "2026-01-25T13:00")
+    whole, half = (document(hours(*times, relative_humidity_2m=values)) for values in ([50.0, None], [50.5, 51]))
+    assert found(spark, whole, half) == [{}, {"measure_types": (1, "1 values are not numbers")}]

@@ -173,3 +173,14 @@ def test_earlier_values_across_blocks(spark, n):
         for i, row in enumerate(values):
             expected.append((*row, *[values[i - k][3] if i >= k else None for k in range(1, n + 1)]))
     assert rows(found) == sorted(expected, key=repr)
+
+
+def test_sums_keep_every_place(spark):
+    from isobar.functions.exact import avg_tenths, exact_avg, exact_sum
+
+    table = spark.createDataFrame([(0.00004,), (0.00004,), (0.00004,), (None,)], "x double")
+    x = F.col("x")
+    assert tuple(table.select(exact_sum(x), exact_avg(x)).first()) == (0.00012, 0.00004)
+    halves = spark.createDataFrame([(0.25,), (-0.25,), (0.2499999999,)], "x double")
+    assert [r[0] for r in halves.groupBy("x").agg(avg_tenths(x).alias("r")).orderBy("x").select("r").collect()] == [-0.3, 0.2, 0.3]
+    assert table.where("x IS NULL").select(avg_tenths(x)).first()[0] is None

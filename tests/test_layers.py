@@ -183,3 +183,34 @@ def test_bronze_for_given_dates(spark, folder):
     assert read_bronze(spark, folder("bronze"), [DAY]).count() == 1
     assert read_bronze(spark, folder("bronze"), ["1999-01-01"]).count() == 0
     assert read_bronze(spark, folder("bronze"), None, ["Salem"]).count() == 0
+
+
+def test_dated_reads_list_once_however_many_dates(spark, folder, monkeypatch):
+    from isobar.sources import layout
+
+    write_silver(silver(spark, [("2026-01-25 10:00:00", 1.0, 50, 0.0, 1.0, "Boston")]), folder("silver"))
+    calls = []
+    plain = layout._file_system
+    monkeypatch.setattr(layout, "_file_system", lambda *a: calls.append(a) or plain(*a))
+    counts = []
+    for n in (10, 1000):
+        calls.clear()
+        days = [f"{2000 + i // 12}-{i % 12 + 1:02d}-25" for i in range(n)]
+        found = layout.date_folders(spark, folder("silver"), [*days, "2026-01-25"], by_source=True)
+        assert [path.rsplit("/", 1)[1] for path in found] == ["run_date=2026-01-25"]
+        counts.append(len(calls))
+    assert counts[0] == counts[1] <= 2
+
+
+@pytest.mark.parametrize("is_uri", [True, False])
+def test_names_from_paths(spark, is_uri):
+    from isobar.sources.layout import partition_from_path
+
+    names = {
+        "St. John's": ("St. John%27s", "St.%20John%2527s"), "A:B": ("A%3AB", "A%253AB"), "50%": ("50%25", "50%2525"),
+        "a=b": ("a%3Db", "a%253Db"), "x+y z": ("x+y z", "x+y%20z"), None: ("__HIVE_DEFAULT_PARTITION__",) * 2,
+    }
+    paths = [(name, f"file:/r/run_date=2026-01-25/location={pair[is_uri]}/part-0.parquet") for name, pair in names.items()]
+    table = spark.createDataFrame(paths, "name string, path string")
+    found = table.select("name", partition_from_path(F.col("path"), "location", is_uri)).collect()
+    assert all(row[0] == row[1] for row in found)
