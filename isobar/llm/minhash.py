@@ -134,7 +134,8 @@ def _salted_stars(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """For pairs (pivot, node): both sizes, the size of the intersection, and which of the pivot's shingles the node has.
 
-    ``sets`` has (node, n, shingles). One set at a time is held beside the pivot's.
+    ``rest`` marks the node's other shingles by hash, in four bits for each shingle of the pivot. ``sets`` has (node, n, shingles).
+    One set at a time is held beside the pivot's.
     """
     ship(pairs.sparkSession)
 
@@ -151,19 +152,22 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 if number != pivot:
                     raise ValueError(f"the set of pivot {number} is missing")
                 at = np.minimum(np.searchsorted(own, found), len(own) - 1)
-                at = at[own[at] == found]
-                mask = np.zeros(len(own), bool)
-                mask[at] = True
-                rows.append((number, node, len(own), len(found), len(at), np.packbits(mask).tobytes()))
-            kinds = [pa.int64()] * 5 + [pa.binary()]
-            cells = list(zip(*rows)) or [[]] * 6
+                same = own[at] == found
+                mask, rest = np.zeros(len(own), bool), np.zeros(4 * len(own), bool)
+                mask[at[same]] = True
+                rest[_mixed(found[~same]) % _U(len(rest))] = True
+                bits = [np.packbits(b).tobytes() for b in (mask, rest)]
+                rows.append((number, node, len(own), len(found), int(same.sum()), *bits))
+            kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+            cells = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cells, kinds)], names=["pivot", "node", "n_pivot", "n_node", "shared", "mask"]
+                [pa.array(c, k) for c, k in zip(cells, kinds)],
+                names=["pivot", "node", "n_pivot", "n_node", "shared", "mask", "rest"],
             )
 
     dealt = _salted_stars(pairs, sets).repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.desc("is_pivot"), "node")
     return dealt.mapInArrow(
-        compare, "pivot long, node long, n_pivot long, n_node long, shared long, mask binary"
+        compare, "pivot long, node long, n_pivot long, n_node long, shared long, mask binary, rest binary"
     )
 
 
@@ -174,26 +178,27 @@ def _linked(shared, n_a, n_b, percent: int):
 def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between members of a star in different components: (a, b, sure).
 
-    What two members share is at least what both share with the pivot, and at most as much more as the smaller of their
-    remainders. The first is enough for most links and the second against most others; a pair in between is not sure. For a member at most one
-    sure link to each component comes out. Large stars are compared block against block.
+    What two members share is at least what both share with the pivot. Beyond it they share at most one shingle for each bit that
+    both have in ``rest``, and as many more as one of them has shingles without a bit of their own. The first is enough for most links and
+    the second against nearly all others; a pair in between is not sure. For a member at most one sure link to each component
+    comes out. Large stars are compared block against block.
     """
     ship(stars.sparkSession)
-    labelled = stars.join(labels, "node").select("pivot", "node", "component", F.col("n_node").alias("n"), "shared", "mask")
+    labelled = stars.join(labels, "node").select("pivot", "node", "component", F.col("n_node").alias("n"), "shared", "mask", "rest")
     groups = labelled.groupBy("pivot").agg(
         F.count("*").alias("_size"), (F.min("component") != F.max("component")).alias("_open")
     ).where("_open").select("pivot", F.ceil(F.col("_size") / _BLOCK).cast("int").alias("_blocks"))
     rows = labelled.join(groups, "pivot").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rows = rows.select(
-        "pivot", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "node", "component", "n", "shared", "mask"
+        "pivot", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "node", "component", "n", "shared", "mask", "rest"
     )
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         key = None
         for batch in batches:
-            names = ("pivot", "i", "j", "_own", "node", "component", "n", "shared", "mask")
+            names = ("pivot", "i", "j", "_own", "node", "component", "n", "shared", "mask", "rest")
             for row in zip(*(batch.column(n).to_pylist() for n in names)):
                 if row[:3] != key:
                     if len(held) > 1:
@@ -207,12 +212,18 @@ def _across(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long, sure boolean")
 
 
+def _matrix(rows: list[bytes]) -> np.ndarray:
+    """Bit strings of one length as rows of 64-bit words."""
+    width = -(-len(rows[0]) // 8) * 8
+    return np.frombuffer(b"".join(r.ljust(width, b"\0") for r in rows), np.uint64).reshape(len(rows), -1)
+
+
 def _block_links(rows: list[tuple], percent: int) -> Iterator[pa.RecordBatch]:
-    _, i, j, own, nodes, component, n, shared, masks = (list(c) for c in zip(*rows))
-    width = -(-len(masks[0]) // 8) * 8
-    bits = np.frombuffer(b"".join(m.ljust(width, b"\0") for m in masks), np.uint64).reshape(len(rows), -1)
+    _, i, j, own, nodes, component, n, shared, masks, rests = (list(c) for c in zip(*rows))
+    bits, others_bits = (_matrix(m) for m in (masks, rests))
     nodes, component, n, shared, own = (np.array(x, np.int64) for x in (nodes, component, n, shared, own))
     rest = n - shared
+    crowded = rest - np.bitwise_count(others_bits).sum(axis=1).astype(np.int64)
     values, counts = np.unique(component, return_counts=True)
     if len(values) == 1:
         return
@@ -230,7 +241,9 @@ def _block_links(rows: list[tuple], percent: int) -> Iterator[pa.RecordBatch]:
         sure = _linked(common, n[u], n[v], percent)
         seen, first = np.unique(component[v[sure]], return_index=True)
         links.extend((int(nodes[u]), int(x), True) for x in nodes[v[sure][first]])
-        open_ = _linked(common + np.minimum(rest[u], rest[v]), n[u], n[v], percent) & ~np.isin(component[v], seen)
+        more = np.bitwise_count(others_bits[v] & others_bits[u]).sum(axis=1).astype(np.int64) + np.minimum(crowded[u], crowded[v])
+        more = np.minimum(more, np.minimum(rest[u], rest[v]))
+        open_ = _linked(common + more, n[u], n[v], percent) & ~np.isin(component[v], seen)
         links.extend((int(nodes[u]), int(x), False) for x in nodes[v[open_]])
     if links:
         a, b, known = zip(*links)
@@ -238,6 +251,21 @@ def _block_links(rows: list[tuple], percent: int) -> Iterator[pa.RecordBatch]:
 
 
 # ------------------------------------------------------------------ the operator
+def _star_pairs(nodes: DataFrame) -> DataFrame:
+    """(pivot, node): all members of a bucket with the one among them that meets most nodes over all its buckets.
+
+    Such a node is near the middle of its neighbours: it links most of them by itself, and is the pivot of most of their buckets, so that
+    a node has few pivots however many bands there are.
+    """
+    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(keys.join(sizes, ["band", "key"]), "buckets")
+    met = members.groupBy("node").agg(F.sum("size").alias("met"))
+    best = members.join(met, "node").groupBy("band", "key").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"))).alias("best"))
+    pivots = best.select("band", "key", (-F.col("best.minus")).alias("pivot"))
+    return members.join(pivots, ["band", "key"]).where("node <> pivot").select("pivot", "node").distinct()
+
+
 def _shingles_of(docs: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
     """(node, n, shingles) of the texts that represent nodes (node, h1, h2)."""
     ship(docs.sparkSession)
@@ -269,7 +297,7 @@ def near_duplicates(
     one without words has the empty set and no links. Texts are linked when 100 * shared >= ``percent`` * united, decided on
     whole sets of 64-bit shingle hashes. ``component_id`` is the smallest doc_id reachable over links.
 
-    Equal sets are grouped first. The members of a bucket that share a band are compared with its smallest doc_id, the pivot; then the
+    Equal sets are grouped first. The members of a bucket that share a band are compared with its most central one, the pivot; then the
     members of different components below one pivot with each other. Two texts at 85 % share none of 32 bands once in some 4 million
     times; such a link would be missed unless others join the two.
 
@@ -281,11 +309,7 @@ def near_duplicates(
         F.min("doc_id").alias("node"), F.first("bands").alias("bands")
     )
     nodes = written(groups.where("node IS NOT NULL"), "sets")
-    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = keys.groupBy("band", "key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot <> _last")
-    pairs = written(
-        keys.join(buckets.drop("_last"), ["band", "key"]).where("node <> pivot").select("pivot", "node").distinct(), "pairs"
-    )
+    pairs = written(_star_pairs(nodes), "pairs")
     used = pairs.select(F.col("node").alias("_used")).union(pairs.select("pivot")).distinct()
     hashes = nodes.select("node", "h1", "h2").join(used, F.col("node") == F.col("_used"), "left_semi")
     sets = written(_shingles_of(docs, hashes, length), "shingles")
