@@ -28,10 +28,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df`` as a table in the shared folder: computed once, safe from lost executors."""
+def written(df: DataFrame, label: str, compression: str = "none") -> DataFrame:
+    """The rows of ``df`` as a table in the shared folder: computed once, safe from lost executors.
+
+    What operators keep is mostly hashes, which do not compress; without a codec the many small files of a short table need no
+    buffers outside the heap either.
+    """
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
