@@ -83,5 +83,5 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.split()[0].lower())
+        docs = written(stage(spark, docs, sf_dir), name.split()[0].lower(), "zstd")
     return STAGES[-1][1](spark, docs, sf_dir)
