@@ -37,7 +37,7 @@ DATA = history()
 def star(spark):
     staged = silver(spark, DATA).cache()
     dates, locations = build_dim_date(staged), build_dim_location(staged)
-    return Star(build_fact(staged, dates, locations), dates, locations)
+    return Star(build_fact(staged, dates, locations), dates, locations).feed_named()
 
 
 def by_location(order):
