@@ -42,12 +42,13 @@ _HINTS = {
     "card": "card|visa|master|amex|credit|debit|payment|carte|karte|tarjeta",
     "phone": "phone|tel|call|fax|mobile|cell|dial|whatsapp",
 }
-#: Every feature and how many values it has; cells of them are what comes to the driver.
-FEATURES = {
-    "f_kind": 4, "f_digits": 8, "f_groups": 5, "f_luhn": 2, "f_octets": 2, "f_at": 2, "f_dots": 2,
-    "f_blanks": 2, "f_dashes": 2, "f_brackets": 2, "f_glued": 2, "f_hint": 2,
-}
-
+#: Every feature of the trees and how many values it has; cells of them are what comes to the driver. None tells which separators or
+#: sign a span has: what base patterns confirm has theirs alone, and the trees would learn nothing else. Digits are counted from the
+#: least of the kind; shapes are the lengths, up to 5, of a phone's last three groups, the same with and without a country code.
+FEATURES = {"f_kind": 4, "f_digits": 16, "f_shape": 216, "f_valid": 2, "f_long": 2, "f_glued": 2, "f_hint": 2}
+#: Chance of a number that is none to pass: Luhn's check, and 100 to 255 among numbers of three digits. As odds.
+_LUCK = {"card": 1 / 9, "ip": 156 / 744}
+_LEAST_ALIKE = 5
 
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
@@ -63,6 +64,11 @@ def _luhn(digits: Column) -> Column:
 
 _OCTETS = "^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})" + "[.,:]0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})" * 3 + "$"
 
+_HOST = r"(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z]{2,}$"  # the last label; what is before it has matched a pattern already
+_DATE = r"^\(?(?:(?:19|20)[0-9]{2}[\x20./-][0-9]{1,2}[\x20./-][0-9]|[0-9]{1,2}[\x20./-][0-9]{1,2}[\x20./-](?:19|20)[0-9]{2}(?![0-9]))"
+#: What base patterns do not allow inside a number.
+_WIDE = {"email": r"\x20|\[|\(", "ip": "[,:]", "card": "[._/]", "phone": "."}
+
 
 def _found(docs: DataFrame) -> DataFrame:
     """Base and candidate matches: _row, doc_id, is_base, kind, start, end, match, before, after; a row with NULL kind for a text without any.
@@ -118,16 +124,23 @@ def spans(docs: DataFrame) -> DataFrame:
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     hint = _by_kind({k: F.lower("before").rlike(h) for k, h in _HINTS.items()})
     glued = F.col("before").rlike("[A-Za-z0-9_]$") | F.col("after").rlike("^[A-Za-z0-9_]")
-    shape = lambda pattern: flag(F.col("match").rlike(pattern))
+    groups = F.regexp_extract_all("match", F.lit("[0-9]+"), F.lit(0))
+    # What speaks for the kind whatever the separators are. A run of digits alone or a date is no phone.
+    speaks = _by_kind({
+        "email": F.col("match").rlike(_HOST), "ip": F.col("octets"), "card": F.col("luhn"),
+        "phone": n.between(8, 15) & (F.size(groups) > 1) & ~F.col("match").rlike(_DATE),
+    })
+    last = lambda i: F.least(F.lit(5), F.coalesce(F.length(F.get(groups, F.size(groups) - i)), F.lit(0)))
+    wide = _by_kind({k: F.col("match").rlike(w) if k != "card" else F.col("match").rlike(w) | ~n.between(16, 19) for k, w in _WIDE.items()})
+    counted = F.when(_of_kind("ip"), n - _DIGITS["ip"][0]).when(_of_kind("card"), n - _DIGITS["card"][0]).otherwise(0)
     featured = rows.select(
         "_row", "doc_id", "is_base", "kind", "start", "end",
         F.when(F.col("is_base"), valid).otherwise(likely).alias("_holds"),
         F.col("kind").alias("f_kind"),
-        F.least(F.lit(7), F.greatest(F.lit(0), (n / 3).cast("int"))).alias("f_digits"),
-        F.least(F.lit(4), F.size(F.regexp_extract_all("match", F.lit("[0-9]+"), F.lit(0)))).alias("f_groups"),
-        flag(F.col("luhn")).alias("f_luhn"), flag(F.col("octets")).alias("f_octets"),
-        shape("@").alias("f_at"), shape(r"\.").alias("f_dots"), shape(r"\x20").alias("f_blanks"), shape("-").alias("f_dashes"),
-        shape(r"[()\[\]]").alias("f_brackets"), flag(glued).alias("f_glued"), flag(hint).alias("f_hint"),
+        F.least(F.lit(15), F.greatest(F.lit(0), counted)).alias("f_digits"),
+        F.when(_of_kind("phone"), last(3) * 36 + last(2) * 6 + last(1)).otherwise(0).alias("f_shape"),
+        flag(speaks).alias("f_valid"), flag(_of_kind("ip") & F.col("match").rlike("[0-9]{3}")).alias("f_long"),
+        flag(glued).alias("f_glued"), flag(hint).alias("f_hint"), flag(wide).alias("_wide"),
     )
     marks = featured.where("kind IS NOT NULL AND _holds").drop("_holds")
     # Every text has one row for the base pattern of email, with or without a match: these make the empty rows.
@@ -146,6 +159,33 @@ def _near_base(same_kind: bool) -> Column:
     return F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
 
 
+def _likely_true(x: np.ndarray, wide: np.ndarray, unconfirmed: np.ndarray, confirmed: np.ndarray) -> np.ndarray:
+    """How many of each cell's unconfirmed candidates are expected to be real, from evidence that no separator bears on.
+
+    Cards, and addresses with a number of three digits: those that pass the check without glued edges, less those that pass by
+    luck, as told by how many alike fail it. Others: those that speak for the kind, less as many as are alike but glued, if base spans
+    confirm some of the same shape. Base and wider forms are counted apart.
+    """
+    kind, digits, shape, speaks, long, glued, hint = (x[:, i] for i in range(len(FEATURES)))
+    real = np.zeros(len(x))
+    for c in np.flatnonzero((speaks == 1) & (glued == 0) & (unconfirmed > 0)):
+        name = KINDS[int(kind[c])]
+        if name == "card" or (name == "ip" and long[c]):
+            alike = (kind == kind[c]) & (digits == digits[c]) & (long == long[c]) & (wide == wide[c]) & (glued == 0)
+            wrong = (1 + unconfirmed[alike & (speaks == 0)].sum()) * _LUCK[name]
+            all_ = unconfirmed[alike & (speaks == 1)].sum()
+        else:
+            alike = (kind == kind[c]) & (shape == shape[c]) & (speaks == 1)
+            if name == "ip":
+                alike &= hint == 1
+            if confirmed[alike & (glued == 0)].sum() < _LEAST_ALIKE or (name == "ip" and not hint[c]):
+                continue
+            alike &= wide == wide[c]
+            wrong, all_ = unconfirmed[alike & (glued == 1)].sum(), unconfirmed[alike & (glued == 0)].sum()
+        real[c] = unconfirmed[c] * max(0.0, 1 - wrong / all_)
+    return real
+
+
 @dataclass(frozen=True)
 class Chooser:
     """Trees over candidate features, and the log-odds from which a candidate of each kind counts."""
@@ -155,24 +195,28 @@ class Chooser:
 
     @staticmethod
     def learn(marks: DataFrame, precision: float = PRECISION) -> Chooser:
-        """Fit on all candidates. What a base span of the kind confirms is positive; all others are negative, if only for want of a base pattern.
+        """Fit on all candidates, counted by cells of features: a table with a bounded number of rows for any corpus.
 
-        Candidates are counted by cells of features, so the counts of the whole corpus are a table with a bounded number of rows. A kind's
-        threshold is the lowest at which ``precision`` of the candidates above it are confirmed, and never under even odds.
+        What a base span of the kind confirms is positive. Others are not negative for want of a base pattern: of those that
+        ``_likely_true`` finds real, as many are positive. A kind's threshold is the lowest at which ``precision`` of the
+        unconfirmed candidates above it, those that would be added, are expected to be real, and never under even odds.
         """
         names = list(FEATURES)
-        cells = marks.where("kind IS NOT NULL AND NOT is_base").groupBy(*names).agg(
+        cells = marks.where("kind IS NOT NULL AND NOT is_base").groupBy(*names, "_wide").agg(
             F.count("*").alias("n"), F.sum(F.col("_confirmed").cast("long")).alias("yes")
-        ).orderBy(*names).collect()
+        ).orderBy(*names, "_wide").collect()
         x = np.array([[c[name] for name in names] for c in cells], float).reshape(len(cells), len(names))
         n, yes = (np.array([c[k] for c in cells], float) for k in ("n", "yes"))
-        forest = fit(np.concatenate([x, x]), np.repeat([1.0, 0.0], len(x)), np.concatenate([yes, n - yes]), trees=40, depth=4, bins=8)
+        real = _likely_true(x, np.array([c["_wide"] for c in cells], float), n - yes, yes)
+        positive = yes + real
+        forest = fit(np.concatenate([x, x]), np.repeat([1.0, 0.0], len(x)), np.concatenate([positive, n - positive]), trees=40, depth=4, bins=256)
         margins = forest.margins(x)
         least = {}
         for number, kind in enumerate(KINDS):
-            own = np.flatnonzero(x[:, 0] == number)
+            own = np.flatnonzero((x[:, 0] == number) & (n > yes))
             own = own[np.argsort(-margins[own], kind="stable")]
-            good = np.flatnonzero(np.cumsum(yes[own]) >= precision * np.cumsum(n[own]))
+            last = np.append(margins[own][1:] != margins[own][:-1], True)[: len(own)]  # equal margins are taken together
+            good = np.flatnonzero(last & (np.cumsum(real[own]) >= precision * np.cumsum((n - yes)[own])))
             least[kind] = max(0.0, float(margins[own[good[-1]]])) if len(good) else float("inf")
         return Chooser(forest, least)
 
