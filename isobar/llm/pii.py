@@ -85,8 +85,8 @@ def _found(docs: DataFrame) -> DataFrame:
         )
         for is_base, kind, pattern in specs
     ])
-    # Most texts have neither a digit nor an @: one quick search leaves them out.
-    rows = rows.withColumn("tries", F.when(F.col("text").rlike("[0-9@]"), tries)).drop("text")
+    # Most texts have no digit, @ or [at]: one quick search leaves them out, none of which a pattern could match.
+    rows = rows.withColumn("tries", F.when(F.col("text").rlike(r"[0-9@]|[\[(]at[\])]"), tries)).drop("text")
     rows = rows.select("_row", "doc_id", F.explode_outer("tries").alias("t"))
     rows = rows.select("_row", "doc_id", "t.is_base", "t.kind", F.col("t.matches").alias("m"), F.col("t.between").alias("s"))
     rows = rows.where("kind IS NULL OR size(m) > 0 OR (is_base AND kind = 0)")  # each text keeps a row

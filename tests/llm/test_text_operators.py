@@ -276,3 +276,11 @@ def test_cards_need_no_base_span(spark):
         rows.append((1000 + i, "so " + "".join(rng.choice("0123456789") for _ in range(13)) + " end"))
     found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id for r in found if r.spans} == set(range(200))
+
+
+def test_addresses_without_digit_or_sign(spark):
+    """An address written out is found in a text that has neither a digit nor an @."""
+    rows = [(i, "so anna@example.org end") for i in range(20)]
+    rows += [(100 + i, "so otto [at] example [dot] org end" if i % 2 else "so otto(at)example.org end") for i in range(20)]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(len(r.spans) == 1 and r.spans[0].is_base == (r.doc_id < 100) for r in found)
