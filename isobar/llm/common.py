@@ -91,3 +91,32 @@ def running_before(
     same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in [*groups, block]]
     joined = rows.join(sums.hint("merge"), same)  # its files say little about its size
     return joined.select(*df.columns, (F.col("_inside") + F.col("_blocks_before")).alias(name))
+
+
+def in_order(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
+    """``df``, better a written table, sorted by ``order`` over all parts and written, with _part and, within it, _place."""
+    at = F.monotonically_increasing_id()  # the part's number above 33 bits, the row's place in it below
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(dealt.select("*", F.shiftright(at, 33).alias("_part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")), label)
+
+
+def numbered(ordered: DataFrame, groups: Sequence[str], name: str, by_group: DataFrame | None = None) -> DataFrame:
+    """A table of ``in_order`` whose order begins with ``groups``, with ``name``: a row's number, from 0, in its group.
+
+    ``by_group`` has a row for each group; its other columns are added too. Rows meet them by group and part, so that no
+    group, however large, is in one task. Without groups there is one number for each part, few enough for every task.
+    """
+    kept = [c for c in ordered.columns if c not in ("_part", "_place")]
+    counts = ordered.groupBy(*groups, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        *[F.col(c).alias(f"_g_{c}") for c in groups], F.col("_part").alias("_g_part"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    more = [c for c in by_group.columns if c not in groups] if by_group is not None else []
+    if more:
+        known = by_group.select(*[F.col(c).alias(f"_h_{c}") for c in groups], *more)
+        starts = starts.join(known.hint("merge"), [F.col(f"_g_{c}").eqNullSafe(F.col(f"_h_{c}")) for c in groups])
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in groups] + [F.col("_part") == F.col("_g_part")]
+    joined = ordered.join(starts.hint("merge") if groups else F.broadcast(starts), same)
+    return joined.select(*kept, (F.col("_place") + F.col("_shift")).alias(name), *more)

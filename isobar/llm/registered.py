@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import expected, fm_index, line_dedup, minhash, mixing, pii, quality, ring, token_files, trie_dedup
+from isobar.llm import expected, fm_index, likelihood, line_dedup, merkle, minhash, mixing, pii, quality, resampling, ring, token_files, trie_dedup
 from isobar.llm.common import documents, shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -80,6 +80,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_in_sequences(files, folder)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = likelihood.apply_rules(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plain = [F.col(c) for c in merkle.COLUMNS]
+    changed = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in merkle.COLUMNS]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, merkle.leaf_of(changed)).otherwise(merkle.leaf_of(plain))
+    return merkle.prove(merkle.build(documents(spark, sf_dir), carried={"tampered": tampered}), claimed="tampered")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -92,6 +110,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_token_files": op10_token_files,
+        "op11_quality_rules": op11_quality_rules,
+        "op12_resampling": op12_resampling,
+        "op13_manifest": op13_manifest,
     }
 
 
@@ -102,4 +123,7 @@ def llm_sql() -> dict[str, str]:
         "op2_line_dedup": expected.LINES,
         "op8_decontamination": expected.PHRASES,
         "op9_near_duplicates": expected.NEAR,
+        "op11_quality_rules": expected.RULES,
+        "op12_resampling": expected.RESAMPLING,
+        "op13_manifest": expected.MANIFEST,
     }

@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in registered.llm_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert registered.llm_sql().keys() <= registered.llm_queries().keys()
 
 
