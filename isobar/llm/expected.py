@@ -122,7 +122,7 @@ trusted AS (
 counted AS (
   SELECT bucket, count(*) AS s, count(*) FILTER (r IN (SELECT r FROM trusted)) AS t FROM runs GROUP BY bucket),
 gain AS (
-  SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 65536) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 65536)))) AS BIGINT) AS g
+  SELECT bucket, CAST(floor(1000 * ln((t + 10::DOUBLE) / (s::DOUBLE * (sum(t) OVER ())::DOUBLE / (sum(s) OVER ())::DOUBLE + 10))) AS BIGINT) AS g
   FROM counted),
 ratios AS (
   SELECT r, sum(g) AS total, count(*) AS n FROM runs JOIN gain USING (bucket) GROUP BY r),
@@ -133,7 +133,7 @@ judged AS (
          CAST(floor(coalesce(total, 0) / CAST(coalesce(n, 0) + 20 AS DOUBLE)) AS BIGINT) AS ratio
   FROM d LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r) LEFT JOIN ratios USING (r))
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ratio >= -350 AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ratio >= -125 AS kept
 FROM judged
 """
 

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import ship, written
-from isobar.llm.resampling import bucket_counts, gains
+from isobar.llm.common import ship
 
 BUCKETS = 1 << 16
 PAIR_FACTOR = 1_000_003
 #: A text goes if its words are on average this much less likely in trusted documents, in thousandths of a log unit.
-LEAST_MEAN = -350
+LEAST_MEAN = -125
+#: Added to how often a bucket stands in trusted documents and to how often it would if they were like all: rare buckets say little.
+PSEUDO_COUNT = 10.0
 #: As many runs of average likelihood are added to each text, so that a few rare words do not decide over a short one.
 PRIOR_RUNS = 20
 LEAST_WORDS = 10
@@ -47,46 +48,70 @@ def _repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     return int(covered.sum())
 
 
-def _measure(raw: bytes) -> tuple[tuple[int, ...], bytes]:
-    """The counts of _COUNTS, and the buckets of all words and pairs of words, of one text."""
+def _buckets(raw: bytes) -> np.ndarray:
+    """The buckets of all words (A-Z lower-cased) and pairs of neighbours."""
+    words = raw.lower().split()
+    crc = np.fromiter(map(crc32, words), np.int64, len(words))
+    return np.concatenate([crc, crc[:-1] * PAIR_FACTOR + crc[1:]]) % BUCKETS
+
+
+def _counts(raw: bytes) -> tuple[int, ...]:
+    """The numbers of _COUNTS for one text."""
     words = raw.split()
     kinds = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     points = len(raw) - int(kinds[0x80:0xC0].sum())
     lines = [line for line in raw.split(b"\n") if line and not line.isspace()]
-    crc = np.fromiter(map(crc32, raw.lower().split()), np.int64, len(words))
-    pairs = (crc[:-1] * PAIR_FACTOR + crc[1:]) % BUCKETS
-    packed = np.concatenate([crc % BUCKETS, pairs]).astype("<u2").tobytes()
-    counts = (
+    return (
         len(words), points - int(kinds[_BLANKS].sum()), int(kinds[_SYMBOLS].sum()), len(lines) - len(set(lines)), _repeated_words(words),
     )
-    return counts, packed
 
 
-def measured(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns``, the counts of the text and its buckets. NULL and empty texts have zeros and no buckets."""
-    clash = {*_COUNTS, "buckets"} & set(columns)
-    if clash:
-        raise ValueError(f"{sorted(clash)} are names of results")
+def _bytes(text: pa.Scalar) -> bytes:
+    return text.as_buffer().to_pybytes() if text.is_valid else b""
+
+
+def gains(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Of each bucket, 1000 times the log ratio of its shares of the trusted and of all runs, rounded down.
+
+    Both multinomials are smoothed at the size of the trusted one, so that neither is flatter than the other. Without trusted
+    documents all gains are 0.
+    """
+    expected = raw.astype(float) * float(good.sum()) / max(1.0, float(raw.sum()))
+    return np.floor(1000.0 * np.log((good + PSEUDO_COUNT) / (expected + PSEUDO_COUNT))).astype(np.int64)
+
+
+def corpus_counts(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket stands in all documents, and in trusted ones.
+
+    Buckets, two bytes for each word and pair, meet the trusted ids in a join; each task then counts its rows, and one number for each
+    bucket comes to the driver.
+    """
     ship(docs.sparkSession)
 
-    def measure(batches) -> Iterator[pa.RecordBatch]:
+    def scan(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: list[tuple[int, ...]] = []
-            packed: list[bytes] = []
-            for text in batch.column("text"):
-                raw = text.as_buffer()
-                found = _measure(raw.to_pybytes() if raw is not None else b"")
-                counts.append(found[0])
-                packed.append(found[1])
-            cells = list(zip(*counts)) or [[]] * len(_COUNTS)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), *(pa.array(c, pa.int64()) for c in cells), pa.array(packed, pa.binary())],
-                names=[*columns, *_COUNTS, "buckets"],
-            )
+            packed = [_buckets(_bytes(t)).astype("<u2").tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "buckets"])
 
-    read = docs.select(*columns, *([] if "text" in columns else ["text"]))
-    found = [*(T.StructField(n, T.LongType()) for n in _COUNTS), T.StructField("buckets", T.BinaryType())]
-    return read.mapInArrow(measure, T.StructType([*(read.schema[c] for c in columns), *found]))
+    def count(batches) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, BUCKETS), np.int64)
+        for batch in batches:
+            for packed, trusted in zip(batch.column("buckets"), batch.column("trusted").to_pylist()):
+                found = np.bincount(np.frombuffer(packed.as_buffer(), "<u2"), minlength=BUCKETS)
+                total[0] += found
+                if trusted:
+                    total[1] += found
+        some = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *map(pa.array, total[:, some])], names=["bucket", "raw", "good"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    runs = docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, buckets binary")
+    marked = runs.join(trusted_ids(labels), F.col("doc_id") == F.col("_trusted"), "left")
+    counts = marked.select("buckets", F.col("_trusted").isNotNull().alias("trusted")).mapInArrow(count, "bucket int, raw long, good long")
+    summed = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
+    made = np.zeros((2, BUCKETS), np.int64)
+    made[:, summed.column("bucket").to_numpy()] = [summed.column(c).to_numpy() for c in ("raw", "good")]
+    return made[0], made[1]
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -101,34 +126,35 @@ def apply_rules(docs: DataFrame, labels: DataFrame, columns: list[str] | None =
 
     Words are split at ASCII white space. Base rules: fewer than LEAST_WORDS words, or more than MOST_REPEATED_PERCENT % of
     them in windows of REPEAT_WINDOW words that the text holds more than once. The others are judged by ``ratio``: words and pairs of words
-    (A-Z lower-cased) fall into BUCKETS buckets; a bucket's gain is 1000 times the log ratio of its smoothed share of the trusted documents' runs
-    to that of the whole corpus' runs, rounded down; ratio is the sum of a text's gains over its number of runs and PRIOR_RUNS, rounded
-    down. A text stays from ``least_mean`` on. No chance is in it: a rerun gives the same for every document.
+    (A-Z lower-cased) fall into BUCKETS buckets, each with the gain of ``gains``; ratio is the sum of a text's gains over its number of
+    runs and PRIOR_RUNS, rounded down. A text stays from ``least_mean`` on. No chance is in it: a rerun gives the same for every document.
 
-    Both multinomials count all rows: the corpus is ``docs``, the trusted ones its rows whose id the labels call good. Without any,
-    all shares of the target are equal and common words count against a text. Repeated rows count again; a NULL id
-    is never trusted. An empty table gives no rows.
+    Both multinomials count all rows: the corpus is ``docs``, the trusted ones its rows whose id the labels call good. Without any
+    no text is worse than another, and only the base rules decide. Repeated rows count again; a NULL id is never trusted. An empty
+    table gives no rows.
     """
     columns = ["doc_id"] if columns is None else columns
-    if {"base_failed", "ratio", "kept"} & set(columns):
-        raise ValueError("base_failed, ratio and kept are names of results")
-    known = written(measured(docs, ["doc_id", *(c for c in columns if c != "doc_id")]), "measured")
-    good = known.select("doc_id", "buckets").join(trusted_ids(labels), F.col("doc_id") == F.col("_trusted"), "left_semi")
-    gain = gains(bucket_counts(known, BUCKETS), bucket_counts(good, BUCKETS))
+    clash = {*_COUNTS, "base_failed", "ratio", "kept"} & set(columns)
+    if clash:
+        raise ValueError(f"{sorted(clash)} are names of results")
+    gain = gains(*corpus_counts(docs, labels))
     sent = docs.sparkSession.sparkContext.broadcast(gain)
 
     def judge(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ratios = []
-            for packed in batch.column("buckets"):
-                found = np.frombuffer(packed.as_buffer(), "<u2")
-                ratios.append(int(sent.value[found].sum()) // (len(found) + PRIOR_RUNS))
+            rows = []
+            for text in batch.column("text"):
+                raw = _bytes(text)
+                found = _buckets(raw)
+                rows.append((*_counts(raw), int(sent.value[found].sum()) // (len(found) + PRIOR_RUNS)))
+            cells = list(zip(*rows)) or [[]] * (len(_COUNTS) + 1)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in [*columns, *_COUNTS]), pa.array(ratios, pa.int64())], names=[*columns, *_COUNTS, "ratio"]
+                [*(batch.column(c) for c in columns), *(pa.array(c, pa.int64()) for c in cells)], names=[*columns, *_COUNTS, "ratio"]
             )
 
-    schema = T.StructType([*(known.schema[c] for c in [*columns, *_COUNTS]), T.StructField("ratio", T.LongType())])
-    judged = known.select(*dict.fromkeys([*columns, *_COUNTS, "buckets"])).mapInArrow(judge, schema)
+    read = docs.select(*columns, *([] if "text" in columns else ["text"]))
+    schema = T.StructType([*(read.schema[c] for c in columns), *(T.StructField(n, T.LongType()) for n in (*_COUNTS, "ratio"))])
+    judged = read.mapInArrow(judge, schema)
     few = F.col("n_words") < LEAST_WORDS
     repeated = 100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     return judged.withColumn("base_failed", few | repeated).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least_mean))
