@@ -36,11 +36,28 @@ def written(df: DataFrame, label: str, compression: str = "none") -> DataFrame:
     """
     path = shared_folder(df.sparkSession, label)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.kept_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing reads any more; what was made from it has to be written by then."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Arrow batches to and from Python workers are cut at so many bytes; Spark's own default, and no other setting, gives way to it.
+BATCH_BYTES = 4 << 20
+_DEFAULT_BATCH_BYTES = 64 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application, and have whole texts travel in small batches."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit).rstrip("b") == str(_DEFAULT_BATCH_BYTES):
+        spark.conf.set(limit, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

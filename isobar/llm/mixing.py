@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.common import block_of, blocks_for, running_before, written
@@ -39,6 +39,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_
     )
 
 
+def _key(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", F.crc32(F.encode("text", "UTF-8")))
+
+
 def mix(docs: DataFrame, seed: int = 42, weights: tuple[float, ...] = WEIGHTS, most_epochs: float = MOST_EPOCHS) -> DataFrame:
     """Words taken of each document: doc_id, source, size, source_size, target, taken, copies.
 
@@ -50,12 +54,17 @@ def mix(docs: DataFrame, seed: int = 42, weights: tuple[float, ...] = WEIGHTS, m
     NULL texts have size 0, a NULL source is a source, NULL and repeated doc_ids are documents like others (equal rows are
     in no particular order, which changes nothing). An empty table gives no rows.
     """
+    return _mixed(docs, seed, weights, most_epochs).drop("key")
+
+
+def _mixed(docs: DataFrame, seed: int, weights: tuple[float, ...], most_epochs: float) -> DataFrame:
+    """The rows of ``mix`` with the random key."""
     compact = written(
         docs.select(
             "doc_id",
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.lit(seed), "doc_id", F.crc32(F.encode("text", "UTF-8"))).alias("key"),
+            _key(seed).alias("key"),
         ),
         "mix",
     )
@@ -72,7 +81,34 @@ def mix(docs: DataFrame, seed: int = 42, weights: tuple[float, ...] = WEIGHTS, m
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     in_last = (F.col("before") < rest).cast("int")
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", "key",
         (per_epoch * F.col("size") + last).cast("long").alias("taken"),
         (per_epoch + in_last).cast("int").alias("copies"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame, seed: int = 42, weights: tuple[float, ...] = WEIGHTS, most_epochs: float = MOST_EPOCHS
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as ``mix`` takes them; the one at a source's cut is taken whole.
+
+    Rows get their copies by id, source and key, so that rows that share an id, or have none, each take their own. Rows equal in all three
+    follow each other in the mix; only where a source's cut lies among such rows do their copies differ. All of them then
+    take the lesser number, and one of them what remains.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", _key(seed).alias("key")
+    )
+    groups = _mixed(docs, seed, weights, most_epochs).groupBy(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("key").alias("_key")
+    ).agg(F.min("copies").alias("least"), (F.sum("copies") - F.count("*") * F.min("copies")).cast("int").alias("more"))
+    groups = written(groups, "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("key") == F.col("_key"))
+
+    def repeated(table: DataFrame, times: str) -> DataFrame:
+        return table.select("row", F.explode(F.sequence(F.lit(1), times)).alias("_copy")).select("row.*")
+
+    each = repeated(rows.join(groups.where("least > 0").hint("merge"), same), "least")
+    # At most one group of a source.
+    cut = rows.join(groups.where("more > 0"), same).groupBy("_id", "_source", "_key").agg(F.first("row").alias("row"), F.first("more").alias("more"))
+    return each.unionByName(repeated(cut, "more"))

@@ -92,3 +92,34 @@ def test_ring_is_searched_as_bisect_does(spark):
     table = spark.createDataFrame([(p, p) for p in probes], "at long, position int")
     found = {r["at"]: r["arc"] for r in ring._with_arc(table, starts).collect()}
     assert found == {p: ring.place_of(p, points) for p in probes}
+
+
+def test_documents_of_a_mix_row_by_row(spark, odd, hot, nothing):
+    """A third of the rows without an id, ids and texts repeated: each source still takes its words, up to the one document at the cut."""
+    import random
+
+    rng = random.Random(6)
+    rows = []
+    for i in range(600):
+        text = " ".join(f"w{rng.randrange(99)}" for _ in range(20)) if i % 5 else "the same text for all of us here"
+        rows.append((None if i % 3 == 0 else rng.randrange(150), text, rng.choice(["a", "a", "b", None]), i))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies long")
+    for table in (docs, odd, hot, nothing):
+        mixed = mixing.mix(table).collect()
+        found = mixing.mixed_documents(table)
+        assert found.columns == table.columns
+        times, words = Counter(), Counter()
+        for r in found.collect():
+            times[r.doc_id, r.source, r.text] += 1
+            words[r.source] += len((r.text or "").encode().split())
+        expected = Counter()
+        by_rank = {}
+        for r in mixed:
+            expected[r.doc_id, r.source, r.size] += r.copies
+            by_rank[r.source] = max(by_rank.get(r.source, 0), r.size)
+        short = Counter()
+        for (doc_id, source, text), n in times.items():
+            short[doc_id, source, len((text or "").encode().split())] += n
+        assert short == +expected
+        for r in mixed:
+            assert 0 <= words[r.source] - round(r.target) < max(1, by_rank[r.source])
