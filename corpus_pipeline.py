@@ -5,7 +5,7 @@ stage returns to the shared folder and reads it again for the next one, so a sta
 no earlier stage.
 
 NULL and empty texts go through all stages by the rules of the operators; rows without a doc_id are never removed as
-duplicates, and rows that share a doc_id are kept, removed and repeated alike. Other columns are carried along, whatever their
+duplicates; rows that share a doc_id are removed as duplicates together and mixed each by itself. Other columns are carried along, whatever their
 names. An empty table gives an empty result.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm import fm_index, minhash, mixing, quality, token_files
-from isobar.llm.common import documents, shared_folder, written
+from isobar.llm.common import discard, documents, shared_folder, written
 from isobar.llm.registered import END_ID, TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -62,10 +62,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole: the document at a source's cut is not shortened."""
-    mixed, copies, copy = (_unused(docs, n) for n in ("_mixed", "_copies", "_copy"))
-    counts = mixing.mix(docs).groupBy(F.col("doc_id").alias(mixed)).agg(F.max("copies").alias(copies))
-    taken = docs.join(counts.hint("merge"), docs["doc_id"].eqNullSafe(counts[mixed])).where(F.col(copies) > 0)
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,6 +86,8 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.split()[0].lower(), "zstd")
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), name.split()[0].lower(), "zstd")
+        if number:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
