@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from isobar.functions.exact import VALUE, avg_tenths, exact, exact_sum, tenths
+from isobar.functions.exact import avg_tenths, combined_tenths, exact_sum, exact_total
 from isobar.operators.neighbours import with_earlier
 from isobar.operators.star import Star
 
@@ -153,7 +153,7 @@ def _by_place(star: Star, rows: DataFrame, *columns: Column | str) -> DataFrame:
 
 def _change(star: Star, rows: DataFrame) -> DataFrame:
     previous = F.col("before_1")
-    change = tenths(exact(F.col(_TEMP)) - exact(previous), 1)
+    change = combined_tenths([(1, F.col(_TEMP)), (-1, previous)], 1)
     return _by_place(star, rows, _TEMP, previous.alias("prev_hour_temp"), change.alias("temp_change"))
 
 
@@ -169,9 +169,10 @@ def q9_daily(star: Star) -> DataFrame:
 
 def _rolling(star: Star, rows: DataFrame) -> DataFrame:
     three = [F.col(_TEMP), F.col("before_1"), F.col("before_2")]
-    total = sum((F.coalesce(exact(value), F.lit(0).cast(VALUE)) for value in three), F.lit(0).cast(VALUE))
-    present = sum((value.isNotNull().cast("int") for value in three), F.lit(0))
-    return _by_place(star, rows, _TEMP, tenths(total, present).alias("moving_avg_3hr"))
+    average = combined_tenths(
+        [(1, F.coalesce(value, F.lit(0.0))) for value in three], sum((value.isNotNull().cast("int") for value in three), F.lit(0))
+    )
+    return _by_place(star, rows, _TEMP, average.alias("moving_avg_3hr"))
 
 
 def q10(star: Star) -> DataFrame:
@@ -200,7 +201,7 @@ def q12(star: Star) -> DataFrame:
     24 hourly sums of a location. They are joined back to the rows.
     """
     hourly = star.fact.groupBy("location_id", "hour").agg(
-        F.sum(exact(F.col("precipitation"))).alias("_total")
+        exact_total(F.col("precipitation")).alias("_total")
     )
     upto = W.partitionBy("location_id").orderBy("hour").rowsBetween(W.unboundedPreceding, W.currentRow)
     running = hourly.select(
@@ -213,7 +214,7 @@ def q12(star: Star) -> DataFrame:
 def q12_daily(star: Star) -> DataFrame:
     """Running rain total within each day."""
     day = W.partitionBy(*_KEYS).orderBy("hour").rangeBetween(W.unboundedPreceding, W.currentRow)
-    total = F.sum(exact(F.col("precipitation"))).over(day).cast("double")
+    total = exact_sum(F.col("precipitation"), day)
     rows = _readings(star, "precipitation").withColumn("cumulative_precip", total)
     return _by_place(star, rows, "precipitation", "cumulative_precip")
 

@@ -6,6 +6,7 @@ from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isobar.operators.curate import curate
@@ -184,3 +185,46 @@ def test_sums_keep_every_place(spark):
     halves = spark.createDataFrame([(0.25,), (-0.25,), (0.2499999999,)], "x double")
     assert [r[0] for r in halves.groupBy("x").agg(avg_tenths(x).alias("r")).orderBy("x").select("r").collect()] == [-0.3, 0.2, 0.3]
     assert table.where("x IS NULL").select(avg_tenths(x)).first()[0] is None
+
+
+def _as_decimal(x):
+    return Decimal(repr(x)).quantize(Decimal(1).scaleb(-18), ROUND_HALF_UP)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_are_those_of_the_texts(spark, ansi):
+    """Millionths and other values, large ones and small ones, in any number of parts, with ANSI mode on and off."""
+    from isobar.functions.exact import avg_tenths, combined_tenths, exact, exact_avg, exact_sum
+
+    rng = random.Random(4)
+    makers = [
+        lambda: rng.randrange(-10**9, 10**9) / 10 ** rng.randrange(0, 7), lambda: rng.uniform(-50, 50), lambda: rng.uniform(-1e9, 1e10 - 1),
+        lambda: rng.randrange(10**15) / 10**6, lambda: rng.random() / 10 ** rng.randrange(20), lambda: -0.0, lambda: None,
+    ]
+    data = [(i % 7, makers[rng.randrange(len(makers)) if i % 7 else 0]()) for i in range(4000)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for parts in (1, 9):
+            table = spark.createDataFrame(data, "g int, x double").repartition(parts)
+            found = table.groupBy("g").agg(exact_sum(F.col("x")).alias("s"), exact_avg(F.col("x")).alias("a"), avg_tenths(F.col("x")).alias("t")).collect()
+            for g, total, average, in_tenths in found:
+                values = [_as_decimal(x) for k, x in data if k == g and x is not None]
+                assert total == float(sum(values)) and average == float(sum(values)) / len(values)
+                assert in_tenths == float((sum(values) / len(values)).quantize(Decimal("0.1"), ROUND_HALF_UP))
+        table = spark.createDataFrame(data, "g int, x double")
+        for x, got in table.select("x", exact(F.col("x"))).collect():
+            assert got == (None if x is None else _as_decimal(x))
+        day = W.partitionBy("g").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        assert {(r.g, r.s) for r in table.select("g", exact_sum(F.col("x"), day).alias("s")).collect()} == {(r.g, r.s) for r in found}
+        pairs = table.select("x", F.lit(0.25).alias("y"))
+        for x, got in pairs.select("x", combined_tenths([(1, F.col("x")), (-1, F.col("y"))], 1)).collect():
+            exactly = None if x is None else (_as_decimal(x) - Decimal("0.25")).quantize(Decimal("0.1"), ROUND_HALF_UP)
+            assert got == (None if x is None else float(exactly))
+        for odd in (1e10, -1e10, 1e300, float("inf"), float("nan")):
+            bad = spark.createDataFrame([(odd,), (1.0,), (1e-19,), (None,)], "x double")
+            for question in (exact_sum, exact_avg, avg_tenths):
+                with pytest.raises(Exception, match="Too large to be added"):
+                    bad.agg(question(F.col("x"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
