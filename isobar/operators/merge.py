@@ -9,9 +9,8 @@ from isobar.functions import calendar
 from isobar.functions.keys import dense_ids
 from isobar.operators.star import distinct_dates, distinct_locations, fail_if
 from isobar.schemas import DIM_DATE, DIM_LOCATION, FACT_KEYS
-from isobar.sources.layout import (
-    aligned, beside, overwrite_partitions, promote_partitions, read_parquet,
-)
+from isobar.sources import snapshots
+from isobar.sources.layout import aligned, drop_scratch, read_parquet
 from isobar.sources.warehouse import FACT_TABLE, Warehouse, with_fact_folder
 
 
@@ -63,11 +62,10 @@ def merge_fact(warehouse: Warehouse, source: DataFrame, days: DataFrame | None =
 
     Only folders the source touches are read and written. ``days`` names the touched
     ``date_id`` values where the caller knows them more cheaply than by evaluating
-    the source. The result is written beside the fact and counted; then its folders take the
-    place of the old ones. A job that dies before leaves the fact as it was, one that dies during the moves leaves
-    the rest of a complete copy for ``promote_fact``. A first load has nothing to lose and skips the copy.
+    the source. The result is written as a version of the fact that nobody reads, counted, and published: all its folders take the
+    place of the old ones in one step. A job that dies before leaves the fact as it was.
     """
-    known = warehouse.exists(FACT_TABLE)
+    spark, path = warehouse.spark, warehouse.path(FACT_TABLE)
     folder = warehouse.fact_folder
     stamped = source.withColumn("extraction_time", F.current_timestamp())
     days = source.select("date_id") if days is None else days.select("date_id")
@@ -77,17 +75,16 @@ def merge_fact(warehouse: Warehouse, source: DataFrame, days: DataFrame | None =
         return 0
     target = warehouse.read_fact_folders(folder, touched)
     merged = aligned(with_fact_folder(upserted(target, stamped), folder), [folder])
-    if not known:
-        return overwrite_partitions(merged, warehouse.path(FACT_TABLE), [folder])
-    staged = beside(warehouse.path(FACT_TABLE), "merged")
-    expected = overwrite_partitions(merged, staged, [folder])
-    found = read_parquet(warehouse.spark, staged, warehouse.fact_schema(folder)).count()
-    if found != expected:
-        raise RuntimeError(f"Staged {found} of {expected} fact rows at {staged}; the fact is as it was")
-    promote_fact(warehouse, staged)
-    return expected
-
-
-def promote_fact(warehouse: Warehouse, staged: str) -> None:
-    """Put the folders of a complete staged copy in place, by name; may be repeated."""
-    promote_partitions(warehouse.spark, staged, warehouse.path(FACT_TABLE), 1)
+    written = snapshots.write_version(merged, path, [folder])
+    schema = warehouse.fact_schema(folder)
+    found = read_parquet(spark, f"{path}/{written.name}", schema).count()
+    if found != written.rows:
+        drop_scratch(spark, f"{path}/{written.name}")
+        raise RuntimeError(f"Wrote {found} of {written.rows} fact rows; the fact is as it was")
+    promote_fact(warehouse, written.name)
+    return written.rows
+
+
+def promote_fact(warehouse: Warehouse, version: str) -> None:
+    """Publish a version of the fact that was written completely; may be repeated."""
+    snapshots.publish(warehouse.spark, warehouse.path(FACT_TABLE), version, [warehouse.fact_folder])

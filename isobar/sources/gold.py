@@ -1,4 +1,4 @@
-"""Gold: curated rows under run_date/location folders."""
+"""Gold: curated rows under run_date/location folders, published as snapshots."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from isobar.operators.curate import curate
 from isobar.schemas import GOLD, GOLD_PARTITIONS
+from isobar.sources import snapshots
 from isobar.sources.layout import (
-    aligned, beside, date_folders, drop_scratch, only, overwrite_partitions, partition_from_path, promote_partitions,
-    read_parquet, require_path,
+    aligned, date_folders, drop_scratch, only, partition_from_path, path_exists, read_parquet, require_path,
 )
 
 
@@ -19,13 +19,17 @@ def read_gold(spark: SparkSession, root: str, run_dates: Iterable[str] | None =
     """Gold rows in staging column order; ``run_dates`` prunes folders."""
     require_path(spark, root, "gold")
     dates = None if run_dates is None else list(run_dates)
+    if snapshots.has_snapshots(spark, root):
+        wanted = None if dates is None else F.col("run_date").isin([str(day) for day in dates]) if dates else F.lit(False)
+        return only(snapshots.read(spark, root, GOLD, GOLD_PARTITIONS, wanted), dates)
     folders = None if dates is None else date_folders(spark, root, dates)
     return only(read_parquet(spark, root, GOLD, folders), dates)
 
 
 def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:
     """The same rows, location and run date cut out of the file path instead."""
-    data = spark.read.schema(GOLD).parquet(root.rstrip("/"))
+    require_path(spark, root, "gold")
+    data = read_gold(spark, root)
     path = F.col("_metadata.file_path")
     measured = [name for name in GOLD.names if name not in GOLD_PARTITIONS]
     return data.select(
@@ -38,8 +42,8 @@ def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:
 def write_gold(silver: DataFrame, root: str, align: bool = True) -> int:
     """Curate silver rows and replace their gold partitions.
 
-    Rows are counted on both sides of the projection by the one pass that writes them, beside the target; only if the
-    counts agree are the partitions put in place. Two sources for one run date and location would meet in one partition and double its rows: that fails
+    Rows are counted on both sides of the projection by the one pass that writes them, as a version that nobody reads; only if the
+    counts agree is it published, in one step for all its partitions. Two sources for one run date and location would meet in one partition and double its rows: that fails
     before anything is written; the check reads partition values only.
     """
     mixed = silver.groupBy(*GOLD_PARTITIONS).agg(F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b")
@@ -50,15 +54,19 @@ def write_gold(silver: DataFrame, root: str, align: bool = True) -> int:
     seen = Observation()
     curated = curate(silver.observe(seen, F.count(F.lit(1)).alias("rows")))
     ready = aligned(curated, GOLD_PARTITIONS) if align else curated
-    spark, staged = silver.sparkSession, beside(root, "staged")
+    spark, fresh = silver.sparkSession, not path_exists(silver.sparkSession, root)
+    unpublished = root
     try:
-        written = overwrite_partitions(ready, staged, GOLD_PARTITIONS)
+        written = snapshots.write_version(ready, root, GOLD_PARTITIONS)
+        unpublished = root if fresh else f"{root.rstrip('/')}/{written.name}"
         before = seen.get["rows"]
         if before == 0:
             raise ValueError("There are no silver rows to curate")
-        if written != before:
-            raise ValueError(f"Row counts differ: silver {before}, gold {written}")
-        promote_partitions(spark, staged, root, len(GOLD_PARTITIONS))
-    finally:
-        drop_scratch(spark, staged)
-    return written
+        if written.rows != before:
+            raise ValueError(f"Row counts differ: silver {before}, gold {written.rows}")
+        snapshots.publish(spark, root, written.name, GOLD_PARTITIONS)
+    except Exception:
+        if fresh or unpublished != root:
+            drop_scratch(spark, unpublished)
+        raise
+    return written.rows

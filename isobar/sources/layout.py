@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -172,35 +173,34 @@ def restore(spark: SparkSession, path: str) -> bool:
     return files.rename(max(aside, key=lambda s: s.getModificationTime()).getPath(), target)
 
 
-def restore_children(spark: SparkSession, path: str) -> None:
-    """``restore`` for every folder below ``path`` that a swap had moved aside."""
-    for name in children(spark, path):
-        if name.startswith(_ASIDE):
-            restore(spark, f"{path.rstrip('/')}/{name.removeprefix(_ASIDE).rsplit('--', 1)[0]}")
-
-
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names right below a folder, from one listing; none if it does not exist."""
     files, hadoop_path = _file_system(spark, path)
     return sorted(s.getPath().getName() for s in files.listStatus(hadoop_path)) if files.exists(hadoop_path) else []
 
 
-def promote_partitions(spark: SparkSession, staged: str, root: str, depth: int) -> None:
-    """Put complete partition folders, ``depth`` levels deep, in the place of those of the same names; may be repeated.
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, made in one step; one of that name must not exist."""
+    files, target = _file_system(spark, path)
+    if not files.createNewFile(target):
+        raise FileExistsError(path)
+
+
+def leaf_folders(spark: SparkSession, roots: Sequence[str], keys: Sequence[str], above: str | None = None) -> DataFrame:
+    """Partition folders with data files below ``roots``: (folder, values), the folder as its last names, one for each key.
 
-    Like the commit of a partitioned write this renames folder by folder.
+    The files' names are rows that Spark lists in parallel; no file is opened. ``above`` leaves out what lies in a
+    folder of a key of that name.
     """
-    if not path_exists(spark, root):
-        swap_in(spark, staged, root)
-        return
-    for name in children(spark, staged):
-        if "=" in name and not name.startswith(("_", ".")):
-            here, there = f"{staged}/{name}", f"{root.rstrip('/')}/{name}"
-            if depth > 1:
-                promote_partitions(spark, here, there, depth - 1)
-            else:
-                swap_in(spark, here, there)
-    drop_scratch(spark, staged)
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .load(list(roots)).select("path")
+    )
+    if above:
+        files = files.where(~F.col("path").contains(f"/{above}="))
+    values = [partition_from_path(F.col("path"), key, is_uri=False).alias(key) for key in keys]
+    names = "/".join(f"{re.escape(key)}=[^/]*" for key in keys)
+    return files.select(F.regexp_extract("path", f"({names})/[^/]*$", 1).alias("folder"), *values).where("folder <> ''").distinct()
 
 
 def move_files(spark: SparkSession, source: str, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.schemas import SILVER, SILVER_PARTITIONS
 from isobar.sources.layout import (
-    aligned, date_folders, only, overwrite_partitions, path_exists, read_parquet, require_path,
+    aligned, date_folders, leaf_folders, only, overwrite_partitions, path_exists, read_parquet, require_path,
 )
 
 
@@ -44,13 +44,14 @@ def write_silver(df: DataFrame, root: str, align: bool = True) -> int:
 def mirror(df: DataFrame, root: str, check_exists: bool = False) -> None:
     """Copy silver rows to a second root.
 
-    ``check_exists`` leaves partitions alone that the second root already has. Their
-    names come from a scan without data columns of the dates in ``df``, which opens footers only.
+    ``check_exists`` leaves partitions alone that the second root already has. Their names come from a listing of the
+    dates in ``df``; no file of the second root is opened.
     """
     spark = df.sparkSession
     if check_exists and path_exists(spark, root):
         dates = [row["run_date"] for row in df.select("run_date").distinct().collect()]  # bounded by the calendar
         folders = date_folders(spark, root, dates, by_source=True)
-        present = read_parquet(spark, root, SILVER, folders).select(*SILVER_PARTITIONS).distinct()
-        df = df.join(present, list(SILVER_PARTITIONS), "left_anti").select(*SILVER.names)
+        if folders:
+            present = leaf_folders(spark, folders, SILVER_PARTITIONS).drop("folder").withColumn("run_date", F.col("run_date").cast("date"))
+            df = df.join(present, list(SILVER_PARTITIONS), "left_anti").select(*SILVER.names)
     overwrite_partitions(aligned(df.select(*SILVER.names), SILVER_PARTITIONS), root, SILVER_PARTITIONS)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar import schemas as S
+from isobar.sources import snapshots
 from isobar.sources.layout import (
-    aligned, beside, children, drop_scratch, move_files, read_parquet, restore, restore_children, swap_in,
+    aligned, beside, children, drop_scratch, move_files, path_exists, read_parquet, restore, swap_in,
 )
 
 TABLES: dict[str, T.StructType] = {
@@ -39,8 +40,8 @@ def with_fact_folder(fact: DataFrame, folder: str) -> DataFrame:
 class Warehouse:
     """Tables as Parquet folders under one root; one writer at a time is assumed.
 
-    ``fact_grain``, ``day`` or ``month``, is how a new fact is laid out. An existing one keeps its layout; asking
-    for another is an error. The fact has gold's measure names however it was loaded.
+    The fact is published as snapshots: its folders change all at once. ``fact_grain``, ``day`` or ``month``, is how a new one is
+    laid out. An existing one keeps its layout; asking for another is an error. The fact has gold's measure names however it was loaded.
     """
 
     spark: SparkSession
@@ -51,10 +52,16 @@ class Warehouse:
     def fact_folder(self) -> str:
         """Folder column of the fact, from the table itself where there is one."""
         asked = FACT_FOLDERS[self.fact_grain] if self.fact_grain else None
-        names = {name.split("=")[0] for name in children(self.spark, self.path(FACT_TABLE)) if "=" in name}
-        found = next((folder for folder in FACT_FOLDERS.values() if folder in names), None)
+        path = self.path(FACT_TABLE)
+        if snapshots.has_snapshots(self.spark, path):
+            found = snapshots.keys_of(self.spark, path)[0]
+            if asked and found != asked and not any(snapshots.folders(self.spark, path, [found])):
+                found = asked  # an empty table can be laid out anew
+        else:
+            names = {name.split("=")[0] for name in children(self.spark, path) if "=" in name}
+            found = next((folder for folder in FACT_FOLDERS.values() if folder in names), None)
         if found and asked and found != asked:
-            raise ValueError(f"The fact at {self.path(FACT_TABLE)} is laid out by {found}, not by {asked}")
+            raise ValueError(f"The fact at {path} is laid out by {found}, not by {asked}")
         return found or asked or FACT_FOLDERS["day"]
 
     def path(self, table: str) -> str:
@@ -64,11 +71,14 @@ class Warehouse:
         return TABLES[table]
 
     def exists(self, table: str) -> bool:
+        """Whether the table was written; a fact that was never published was not."""
         if not restore(self.spark, self.path(table)):
             return False
-        if table == FACT_TABLE:
-            restore_children(self.spark, self.path(table))
-        return True
+        return table != FACT_TABLE or snapshots.has_snapshots(self.spark, self.path(table)) or bool(self._plain_folders())
+
+    def _plain_folders(self) -> list[str]:
+        """Folders of a fact without snapshots."""
+        return [n for n in children(self.spark, self.path(FACT_TABLE)) if n.split("=")[0] in FACT_FOLDERS.values()]
 
     def read(self, table: str) -> DataFrame:
         """A table by name; one that was never written reads as empty."""
@@ -81,10 +91,7 @@ class Warehouse:
 
     def read_fact_folders(self, folder: str, values: Sequence[int]) -> DataFrame:
         """Fact rows of the given folders only; no file of the others is listed."""
-        path = self.path(FACT_TABLE)
-        present = set(children(self.spark, path))
-        folders = [f"{path}/{name}" for name in (f"{folder}={value}" for value in values) if name in present]
-        return self._read_fact(folder, folders).select(*self.schema(FACT_TABLE).names)
+        return self._read_fact(folder, list(values)).select(*self.schema(FACT_TABLE).names)
 
     def fact_schema(self, folder: str) -> T.StructType:
         schema = self.schema(FACT_TABLE)
@@ -92,33 +99,41 @@ class Warehouse:
             return schema
         return T.StructType([*schema.fields, T.StructField(folder, T.IntegerType())])
 
-    def _read_fact(self, folder: str, folders: list[str] | None = None) -> DataFrame:
-        return read_parquet(self.spark, self.path(FACT_TABLE), self.fact_schema(folder), folders)
+    def _read_fact(self, folder: str, values: list[int] | None = None) -> DataFrame:
+        path, schema = self.path(FACT_TABLE), self.fact_schema(folder)
+        if snapshots.has_snapshots(self.spark, path):
+            wanted = None if values is None else F.col(folder).isin([str(v) for v in values]) if values else F.lit(False)
+            return snapshots.read(self.spark, path, schema, [folder], wanted)
+        if values is None:
+            return read_parquet(self.spark, path, schema)
+        present = {f"{folder}={v}" for v in values} & set(self._plain_folders() if path_exists(self.spark, path) else [])
+        return read_parquet(self.spark, path, schema, [f"{path}/{name}" for name in sorted(present)])
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Overwrite a whole table.
 
-        Spark's overwrite deletes first and computes second. The new table is written
-        beside the old one and takes its place when it is complete; ``df`` may read the table
-        it replaces.
+        Spark's overwrite deletes first and computes second. The new table is written where nobody reads it
+        and takes the old one's place when it is complete; ``df`` may read the table it replaces.
         """
         self.put(table, self.stage(table, df))
 
     def stage(self, table: str, df: DataFrame) -> str:
-        """Write a whole table beside the present one; returns where."""
+        """Write a whole table, unseen; returns where: a folder beside the present one, or the name of a version of the fact."""
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema(table).fields])
-        incoming = beside(self.path(table), "incoming")
         self.exists(table)
         if table == FACT_TABLE:
             folder = self.fact_folder
-            aligned(with_fact_folder(rows, folder), [folder]).write.partitionBy(folder).parquet(incoming)
-        else:
-            rows.write.parquet(incoming)
+            return snapshots.write_version(aligned(with_fact_folder(rows, folder), [folder]), self.path(table), [folder]).name
+        incoming = beside(self.path(table), "incoming")
+        rows.write.parquet(incoming)
         return incoming
 
     def put(self, table: str, staged: str) -> None:
         """Put a staged table in place."""
-        swap_in(self.spark, staged, self.path(table))
+        if table == FACT_TABLE:
+            snapshots.publish(self.spark, self.path(table), staged, [self.fact_folder], whole=True)
+        else:
+            swap_in(self.spark, staged, self.path(table))
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to a table; returns how many. Without rows no file is added.
