@@ -16,19 +16,19 @@ FROM d WINDOW same AS (PARTITION BY t)
 
 LINES = f"""
 WITH l AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 p AS (
-  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM l),
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM l),
 k AS (
   SELECT *, translate(trim(line, {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM p),
 held AS (
   SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 20
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+  GROUP BY key HAVING count(DISTINCT r) >= 3),
 kept AS (
-  SELECT k.*, owner IS NOT NULL AND doc_id <> owner AS dropped FROM k LEFT JOIN held USING (key))
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  SELECT k.*, held.key IS NOT NULL AND doc_id IS DISTINCT FROM owner AS dropped FROM k LEFT JOIN held USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
-FROM kept GROUP BY doc_id
+FROM kept GROUP BY r
 """
 
 PHRASES = f"""

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm.common import ship, written
@@ -17,18 +17,20 @@ BLANK = " \t\n\x0b\x0c\r"
 LEAST_LENGTH = 20
 LEAST_DOCUMENTS = 3
 KEYS_PER_SHARD = 1 << 20
-MOST_FILTER_BYTES = 64 << 20
+#: So many lines at most, on average, meet one copy of a shard's filter.
+LINES_PER_COPY = 1 << 20
 _SLOTS = 4
 _KICKS = 500
 _KEY = ["h1", "h2"]
 _FILTER_SCHEMA = "shard int, n_keys long, slots binary"
+_REFS_SCHEMA = "h1 long, h2 long, doc_id long, row long"
 
 
 # ------------------------------------------------------------------ cuckoo filter
 class CuckooFilter:
     """16-bit fingerprints in buckets of four; a key is in one of two buckets. Only what was inserted may be deleted."""
 
-    def __init__(self, n_keys: int, slots: bytes | None = None):
+    def __init__(self, n_keys: int, slots=None):
         buckets = 1 << max(0, (int(n_keys / 0.8) // _SLOTS).bit_length())
         held = np.zeros(buckets * _SLOTS, np.uint16) if slots is None else np.frombuffer(slots, np.uint16).copy()
         self.slots = held.reshape(-1, _SLOTS)
@@ -85,28 +87,6 @@ def _with_keys(n_keys: int, h1: np.ndarray, h2: np.ndarray) -> CuckooFilter:
         n_keys = n_keys * 2 + 1
 
 
-class _ShardedFilters:
-    """All shards' filters in one array, for tests of many keys at once."""
-
-    def __init__(self, shards: int, stored: list[tuple[int, bytes]]):
-        parts = {shard: np.frombuffer(slots, np.uint16).reshape(-1, _SLOTS) for shard, slots in stored}
-        empty = np.zeros((1, _SLOTS), np.uint16)
-        tables = [parts.get(s, empty) for s in range(shards)]
-        self.slots = np.concatenate(tables)
-        self.buckets = np.array([len(t) for t in tables])
-        self.offsets = np.cumsum(self.buckets) - self.buckets
-
-    def contains(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        shard = _shard(h1, len(self.buckets))
-        mark, first, second = CuckooFilter.places(h1, h2, self.buckets[shard])
-        at = self.offsets[shard]
-        return ((self.slots[at + first] == mark[:, None]) | (self.slots[at + second] == mark[:, None])).any(axis=1)
-
-
-def _shard(h1: np.ndarray, shards: int) -> np.ndarray:
-    return np.asarray(h1, np.int64) % shards  # numpy's remainder, like pmod, is never negative
-
-
 # ------------------------------------------------------------------ lines and keys
 def line_keys(text: str | None, least_length: int = LEAST_LENGTH) -> tuple[list[str], list[bytes | None]]:
     """Lines of a text and, of those long enough, 128-bit hashes of their keys (stripped, A-Z lower-cased)."""
@@ -124,11 +104,10 @@ def _halves(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def line_refs(docs: DataFrame, least_length: int = LEAST_LENGTH, filters: _ShardedFilters | None = None) -> DataFrame:
-    """(h1, h2, doc_id) for each row and distinct key in it; with ``filters`` only keys they may hold."""
+def line_refs(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
+    """(h1, h2, doc_id, row) for each row and distinct key in it; ``row`` is a hash of the text, which tells rows of one id apart."""
     spark = docs.sparkSession
     ship(spark)
-    sent = spark.sparkContext.broadcast(filters) if filters is not None else None
 
     def refs(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,24 +119,57 @@ def line_refs(docs: DataFrame, least_length: int = LEAST_LENGTH, filters: _Shard
                 found.extend(sorted(keys))
                 counts.append(len(keys))
             h1, h2 = _halves(found)
-            row = np.repeat(np.arange(batch.num_rows), counts)
-            if sent is not None:
-                held = sent.value.contains(h1, h2)
-                h1, h2, row = h1[held], h2[held], row[held]
-            ids = batch.column("doc_id").cast(pa.int64()).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), ids], names=[*_KEY, "doc_id"])
-
-    return docs.select("doc_id", "text").mapInArrow(refs, "h1 long, h2 long, doc_id long")
+            held = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            ids = batch.column("doc_id").cast(pa.int64()).take(held)
+            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), ids, batch.column("row").take(held)], names=[*_KEY, "doc_id", "row"])
+
+    return docs.select("doc_id", "text", _row_hash().alias("row")).mapInArrow(refs, _REFS_SCHEMA)
+
+
+def _row_hash() -> Column:
+    return F.xxhash64("text")
+
+
+def _updated(filters: DataFrame, changes: DataFrame, repeated: DataFrame, shards: int) -> DataFrame:
+    """Each shard's filter after its keys have changed; rebuilt from the exact table's keys where there is none or it is full."""
+    ship(changes.sparkSession)
+    shard = F.pmod("h1", F.lit(shards)).cast("int").alias("shard")
+    rows = (
+        changes.select(shard, *_KEY, F.when(F.col("enters"), 1).otherwise(2).alias("kind"), F.lit(None).cast("binary").alias("slots"))
+        .unionByName(repeated.select(shard, *_KEY, F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("slots")))
+        .unionByName(filters.select("shard", F.lit(None).cast("long").alias("h1"), F.lit(None).cast("long").alias("h2"), F.lit(3).alias("kind"), "slots"))
+    )
+
+    def update(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy()
+        h1, h2 = (table.column(n).fill_null(0).to_numpy() for n in _KEY)
+        old = [x for x in table.column("slots").to_pylist() if x is not None]
+        keys = kind == 0
+        made = None
+        if old:
+            made = CuckooFilter(0, old[0])
+            made.delete(h1[kind == 2], h2[kind == 2])
+            if not made.insert(h1[kind == 1], h2[kind == 1]):
+                made = None
+        if made is None:
+            made = _with_keys(int(keys.sum()), h1[keys], h2[keys])
+        return pa.table({
+            "shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
+            "n_keys": pa.array([int(keys.sum())], pa.int64()),
+            "slots": pa.array([made.bytes()], pa.binary()),
+        })
+
+    return rows.groupBy("shard").applyInArrow(update, _FILTER_SCHEMA)
 
 
 @dataclass(frozen=True)
 class LineIndex:
     """A version of the index: which documents hold which keys, and the keys that are repeated.
 
-    ``refs`` (h1, h2, doc_id) is the exact reference table; ``repeated`` (h1, h2, n_docs, owner) has the counts of keys in at least
-    ``least_documents`` documents, and the largest doc_id among them; ``filters`` has a cuckoo filter over these keys for each shard.
-    All are tables in the shared folder. ``insert`` and ``remove`` give a new version and leave this one as it is; removing what
-    was inserted gives back the results of before.
+    ``refs`` (h1, h2, doc_id, row) is the exact reference table; ``repeated`` (h1, h2, n_docs, owner) has the counts of keys in at least
+    ``least_documents`` documents, and the largest doc_id among them; ``filters`` has a cuckoo filter over these keys for each shard. Shards
+    are doubled when their keys are more than ``keys_per_shard`` on average. All are tables in the shared folder. ``insert`` and ``remove`` give
+    a new version and leave this one as it is; removing what was inserted gives back the results of before.
     """
 
     refs: DataFrame
@@ -166,14 +178,18 @@ class LineIndex:
     shards: int
     least_length: int = LEAST_LENGTH
     least_documents: int = LEAST_DOCUMENTS
+    keys_per_shard: int = KEYS_PER_SHARD
 
     @staticmethod
-    def empty(spark: SparkSession, shards: int = 16, least_length: int = LEAST_LENGTH, least_documents: int = LEAST_DOCUMENTS) -> LineIndex:
+    def empty(
+        spark: SparkSession, shards: int = 16, least_length: int = LEAST_LENGTH, least_documents: int = LEAST_DOCUMENTS,
+        keys_per_shard: int = KEYS_PER_SHARD,
+    ) -> LineIndex:
         return LineIndex(
-            spark.createDataFrame([], "h1 long, h2 long, doc_id long"),
+            spark.createDataFrame([], _REFS_SCHEMA),
             spark.createDataFrame([], "h1 long, h2 long, n_docs long, owner long"),
             spark.createDataFrame([], _FILTER_SCHEMA),
-            shards, least_length, least_documents,
+            shards, least_length, least_documents, keys_per_shard,
         )
 
     def insert(self, docs: DataFrame) -> LineIndex:
@@ -196,78 +212,83 @@ class LineIndex:
         now = counted.groupBy(*_KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("owner"))
         now = written(now.where(F.col("n_docs") >= self.least_documents), "line-counts")
         if first:
-            # Only now it is known how many keys there are to be held.
-            shards = max(self.shards, -(-now.count() // KEYS_PER_SHARD))
-            self = replace(self, shards=shards)
             repeated, entered, left = now, now, now.limit(0)
         else:
             repeated = written(self.repeated.join(keys, _KEY, "left_anti").unionByName(now), "line-repeated")
             entered = now.join(self.repeated, _KEY, "left_anti")
             left = self.repeated.join(keys, _KEY, "left_semi").join(now, _KEY, "left_anti")
+        shards, n_keys = self.shards, repeated.count()
+        while n_keys > shards * self.keys_per_shard:
+            shards *= 2
+        old = self.filters
+        if shards > self.shards:  # other shards: all are made anew from the exact table
+            old, entered, left = old.limit(0), now.limit(0), now.limit(0)
         changes = entered.select(*_KEY, F.lit(True).alias("enters")).unionByName(left.select(*_KEY, F.lit(False).alias("enters")))
-        filters = written(self._filters(changes, repeated), "line-filters")
-        return LineIndex(refs, repeated, filters, self.shards, self.least_length, self.least_documents)
-
-    def _filters(self, changes: DataFrame, repeated: DataFrame) -> DataFrame:
-        """Each shard's filter after its keys have changed; rebuilt from the exact table's keys where it is full."""
-        ship(changes.sparkSession)
-        shard = F.pmod("h1", F.lit(self.shards)).cast("int").alias("shard")
-        rows = (
-            changes.select(shard, *_KEY, F.when(F.col("enters"), 1).otherwise(2).alias("kind"), F.lit(None).cast("binary").alias("slots"))
-            .unionByName(repeated.select(shard, *_KEY, F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("slots")))
-            .unionByName(self.filters.select("shard", F.lit(None).cast("long").alias("h1"), F.lit(None).cast("long").alias("h2"), F.lit(3).alias("kind"), "slots"))
-        )
+        filters = written(_updated(old, changes, repeated, shards), "line-filters")
+        return replace(self, refs=refs, repeated=repeated, filters=filters, shards=shards)
+
+    def _maybe_repeated(self, refs: DataFrame) -> DataFrame:
+        """Those of ``refs``, a written table, whose key the filter of its shard may hold.
 
-        def update(table: pa.Table) -> pa.Table:
-            kind = table.column("kind").to_numpy()
-            h1, h2 = (table.column(n).fill_null(0).to_numpy() for n in _KEY)
-            old = [s for s in table.column("slots").to_pylist() if s is not None]
-            keys = kind == 0
-            made = None
-            if old:
-                made = CuckooFilter(0, old[0])
-                made.delete(h1[kind == 2], h2[kind == 2])
-                if not made.insert(h1[kind == 1], h2[kind == 1]):
-                    made = None
-            if made is None:
-                made = _with_keys(int(keys.sum()), h1[keys], h2[keys])
-            return pa.table({
-                "shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
-                "n_keys": pa.array([int(keys.sum())], pa.int64()),
-                "slots": pa.array([made.bytes()], pa.binary()),
-            })
-
-        return rows.groupBy("shard").applyInArrow(update, _FILTER_SCHEMA)
-
-    def _loaded(self, most_bytes: int) -> _ShardedFilters | None:
-        """The filters to send to all tasks, or None if they are larger than ``most_bytes`` together."""
-        size = self.filters.agg(F.sum(F.octet_length("slots"))).first()[0] or 0
-        if size > most_bytes:
-            return None
-        stored = [(r["shard"], bytes(r["slots"])) for r in self.filters.select("shard", "slots").collect()]
-        return _ShardedFilters(self.shards, stored)
-
-    def dropped(self, docs: DataFrame, most_filter_bytes: int = MOST_FILTER_BYTES) -> DataFrame:
-        """(doc_id, keys): keys whose lines a document loses, with both halves of each.
-
-        Filters of up to ``most_filter_bytes`` go to all tasks, and just the keys they may hold are looked up in the exact
-        table; beyond that all keys are.
+        Lines are dealt by shard, and in a large table by several parts of a shard, so that a line that many documents share is
+        not in one task. A task reads the copy of the filter first and then tests the lines as they come.
         """
-        candidates = line_refs(docs, self.least_length, self._loaded(most_filter_bytes))
-        hits = candidates.join(self.repeated.select(*_KEY, "owner"), _KEY)
+        ship(refs.sparkSession)
+        copies = max(1, -(-refs.count() // (self.shards * LINES_PER_COPY)))
+        lines = refs.select(
+            F.pmod("h1", F.lit(self.shards)).cast("int").alias("shard"), F.pmod(F.xxhash64("doc_id", "row"), F.lit(copies)).cast("int").alias("part"),
+            F.lit(None).cast("binary").alias("slots"), *_KEY, "doc_id", "row",
+        )
+        held = self.filters.select(
+            "shard", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("part"), "slots",
+            *[F.lit(None).cast("long").alias(c) for c in (*_KEY, "doc_id", "row")],
+        )
+
+        def test(batches) -> Iterator[pa.RecordBatch]:
+            shard, held = None, None
+            for batch in batches:
+                shards = batch.column("shard").to_numpy()
+                slots = batch.column("slots")
+                starts = np.flatnonzero(slots.is_valid().to_numpy(zero_copy_only=False)).tolist()
+                h1, h2 = (batch.column(c).fill_null(0).to_numpy() for c in _KEY)
+                kept = np.zeros(batch.num_rows, bool)
+                for begin, end in zip([-1, *starts], [*starts, batch.num_rows]):
+                    if begin >= 0:
+                        shard, held = shards[begin], CuckooFilter(0, slots[begin].as_buffer())
+                    own = np.arange(begin + 1, end)
+                    own = own[shards[begin + 1 : end] == shard] if shard is not None else own[:0]
+                    if len(own):
+                        kept[own] = held.contains(h1[own], h2[own])
+                chosen = pa.array(np.flatnonzero(kept))
+                yield pa.RecordBatch.from_arrays([batch.column(c).take(chosen) for c in (*_KEY, "doc_id", "row")], names=[*_KEY, "doc_id", "row"])
+
+        dealt = held.unionByName(lines).repartition("shard", "part")
+        # The filter comes first: its slots are not NULL.
+        return dealt.sortWithinPartitions("shard", "part", F.col("slots").isNull()).mapInArrow(test, _REFS_SCHEMA)
+
+    def dropped(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, row, keys): keys whose lines a row loses, with both halves of each."""
+        return self._lost(written(line_refs(docs, self.least_length), "line-refs"))
+
+    def _lost(self, refs: DataFrame) -> DataFrame:
+        """``dropped`` of the rows that a table of line references is of."""
+        hits = self._maybe_repeated(refs).join(self.repeated.select(*_KEY, "owner"), _KEY)
         lost = hits.where(~F.col("doc_id").eqNullSafe(F.col("owner")))
-        return lost.groupBy("doc_id").agg(F.collect_set(F.struct(*_KEY)).alias("keys"))
+        return lost.groupBy("doc_id", "row").agg(F.collect_set(F.struct(*_KEY)).alias("keys"))
 
-    def clean(self, docs: DataFrame, most_filter_bytes: int = MOST_FILTER_BYTES) -> DataFrame:
+    def clean(self, docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
         """Per row of ``docs``: doc_id, n_lines, n_dropped, and the text that stays.
 
         A repeated key loses all its lines but those in the holder with the largest doc_id. NULL text is one empty line. A NULL
         doc_id loses to any other; rows that share the owner's doc_id all keep the lines, and keys held by NULL ids alone stay.
+        ``refs`` are the rows' references where they are at hand.
         """
         ship(docs.sparkSession)
         least_length = self.least_length
-        lost = self.dropped(docs, most_filter_bytes).withColumnRenamed("doc_id", "_lost_id")
-        rows = docs.select("doc_id", "text").join(lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")), "left")
+        lost = (self.dropped(docs) if refs is None else self._lost(refs)).withColumnsRenamed({"doc_id": "_lost_id", "row": "_lost_row"})
+        rows = docs.select("doc_id", "text", _row_hash().alias("row")).join(
+            lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")) & (F.col("row") == F.col("_lost_row")), "left"
+        )
 
         def strip(batches) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -289,4 +310,5 @@ class LineIndex:
 
 def dedup_lines(docs: DataFrame, shards: int = 16) -> DataFrame:
     """Index a table and clean it: doc_id, n_lines, n_dropped, text. An empty table gives no rows."""
-    return LineIndex.empty(docs.sparkSession, shards).insert(docs).clean(docs)
+    index = LineIndex.empty(docs.sparkSession, shards).insert(docs)
+    return index.clean(docs, index.refs)

@@ -34,7 +34,7 @@ class PieceEncoder:
     of which a piece met again moves on.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 75_000):
+    def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 

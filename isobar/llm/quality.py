@@ -80,7 +80,8 @@ def with_statistics(docs: DataFrame, columns: list[str]) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED) -> Forest:
     """Fit on labelled documents that are not held out, ``most_labelled`` of them at most (those whose ids hash lowest).
 
-    The bound makes the labels small enough to send to all tasks, and the statistics of the documents they mark small enough to fit here.
+    The bound makes the labels small enough to send to all tasks, and the statistics of the documents they mark small enough to fit here:
+    of rows that share a labelled id the one with the least statistics counts, so no more rows are fetched than there are labels.
     Labels other than 0 and 1, and those of unknown documents, are left out; without any every document scores 0.5.
     """
     usable = labels.select(F.col("doc_id").alias("_labelled"), F.col("quality").alias("_quality")).where(
@@ -88,7 +89,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     )
     sample = usable.orderBy(F.xxhash64("_labelled"), "_labelled", "_quality").limit(most_labelled)
     marked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
-    rows = with_statistics(marked, ["doc_id", "_quality"]).toArrow().sort_by([("doc_id", "ascending"), ("_quality", "ascending")])
+    single = with_statistics(marked, ["doc_id", "_quality"]).groupBy("doc_id", "_quality").agg(F.min("statistics").alias("statistics"))
+    rows = single.toArrow().sort_by([("doc_id", "ascending"), ("_quality", "ascending")])
     y = rows.column("_quality").to_numpy().astype(float)
     x = np.array(rows.column("statistics").to_pylist(), float).reshape(len(y), len(STATISTICS))
     return fit(x, y)

@@ -26,7 +26,7 @@ from isobar.llm.pieces import encoder
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 256
-_TEXTS_AT_ONCE = 2_000
+_TEXTS_AT_ONCE = 1_000
 
 
 def _opened(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -126,12 +126,16 @@ def sequence_schema(dtype: np.dtype, length: int) -> pa.Schema:
     ])
 
 
+_RANGE_LETTERS = 100
+
+
 def write_sequences(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int, length: int = SEQUENCE
 ) -> DataFrame:
     """Write documents in ascending ``doc_id`` as Arrow files; one row per file: file_no, file, n_ids.
 
-    Files follow each other in order of ``doc_id`` (NULL first, equal ids by text). Each begins a new sequence; its last one is
+    Files follow each other in order of ``doc_id`` (NULL first, equal ids by text; an id with very many rows is cut by the first letters
+    of their texts). Each begins a new sequence; its last one is
     padded. Columns of a file: ``ids``, ``mask`` (not padding), ``document_end``, and the ids of the
     documents that end in the sequence. Ids take two bytes where the vocabulary allows it.
     """
@@ -154,7 +158,8 @@ def write_sequences(
             n_ids = file.close()
         yield pa.RecordBatch.from_pydict({"file_no": [number], "file": [name], "n_ids": [n_ids]})
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id", F.substring("text", 1, _RANGE_LETTERS))
+    ordered = dealt.sortWithinPartitions("doc_id", "text")
     files = ordered.mapInArrow(write, "file_no long, file string, n_ids long")
     listing = shared_folder(spark, "sequence-files")
     files.write.parquet(listing)

@@ -76,11 +76,13 @@ def _lines(given, least_length=20, least_documents=3):
 
 
 @pytest.mark.parametrize("table", ["docs", "odd", "hot", "nothing"])
-@pytest.mark.parametrize("most_filter_bytes", [1 << 26, 0])
-def test_lines(request, table, most_filter_bytes):
+@pytest.mark.parametrize("lines_per_copy", [1 << 20, 40])
+def test_lines(request, table, lines_per_copy, monkeypatch):
+    """Also where a shard's filter goes to many tasks."""
+    monkeypatch.setattr(line_dedup, "LINES_PER_COPY", lines_per_copy)
     table = request.getfixturevalue(table)
     index = line_dedup.LineIndex.empty(table.sparkSession, 4).insert(table)
-    found = index.clean(table, most_filter_bytes).collect()
+    found = index.clean(table).collect()
     expected = _lines([(r.doc_id, r.text) for r in table.collect()])
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
 
@@ -102,6 +104,30 @@ def test_lines_are_reversible(spark, hot, docs):
     assert held(index.remove(first)) == []
 
 
+def test_shards_grow_with_later_inserts(spark):
+    """Three inserts into small shards, a third of the rows without an id; the filters alone turn away nearly all other lines."""
+    rng = random.Random(8)
+    shared = [f"a line number {i} that several documents share" for i in range(200)]
+    data = []
+    for i in range(900):
+        lines = rng.sample(shared, 4) + [f"a line of document {i} and of no other one", shared[0]]
+        data.append((None if i % 3 == 0 else rng.randrange(400), "\n".join(lines)))
+    table = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    parts = [spark.createDataFrame(data[a : a + 300], table.schema) for a in (0, 300, 600)]
+    index = line_dedup.LineIndex.empty(spark, 1, keys_per_shard=8)
+    shards = []
+    for part in parts:
+        index = index.insert(part)
+        shards.append(index.shards)
+        assert index.filters.agg({"n_keys": "sum"}).first()[0] == index.repeated.count()
+    assert 8 < shards[0] <= shards[1] <= shards[2] and shards[2] * 8 >= index.repeated.count()
+    expected = _lines(data)
+    assert sorted(map(repr, map(tuple, index.clean(table).collect()))) == sorted(map(repr, expected))
+    refs = line_dedup.written(line_dedup.line_refs(table), "refs")
+    maybe, held = index._maybe_repeated(refs).count(), refs.join(index.repeated, ["h1", "h2"]).count()
+    assert held <= maybe < held + 30 < refs.count()
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     keys = rng.integers(-(2**63), 2**63 - 1, (5000, 2))
