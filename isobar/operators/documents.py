@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.functions.isotime import iso_timestamp
-from isobar.schemas import BRONZE_PARTITIONS, MEASURES, REQUIRED_KEYS, SILVER, VIOLATION
+from isobar.schemas import BRONZE_PARTITIONS, MEASURES, OTHER_HOURLY, REQUIRED_KEYS, SILVER, VIOLATION
 
 _EXAMPLES = 5
 
@@ -36,16 +36,28 @@ def parse_documents(raw: DataFrame) -> DataFrame:
         _inside(F.col("_top")["longitude"], "double").alias("longitude"),
         F.zip_with(_inside(times, "array<string>"), kinds, _hour).alias("hours"),
         *[_measure(name) for name in MEASURES],
-        _other_lengths().alias("others"),
+        _other_arrays().alias("others"),
     )
 
 
-def _other_lengths() -> Column:
-    """Names and lengths of the hourly arrays that are not measures: (name, n) each."""
+def _other_arrays() -> Column:
+    """The hourly arrays that are not measures, by name."""
     known = ("time", *MEASURES)
     others = F.map_filter("_hourly", lambda name, _: ~name.isin(*known))
-    lengths = F.transform_values(others, lambda _, value: F.size(_inside(value, "array<variant>")))
-    return F.map_entries(F.map_filter(lengths, lambda _, n: n >= 0))
+    arrays = F.transform_values(others, lambda _, value: _inside(value, "array<variant>"))
+    return F.map_filter(arrays, lambda _, values: values.isNotNull())
+
+
+def _other_values(n_hours: Column) -> Column:
+    """For each hour, the values of the other arrays as JSON text; NULL where a document has no such array."""
+    def text(value: Column) -> Column:
+        return F.when(~F.is_variant_null(value), F.to_json(value))
+
+    def at(hour: Column) -> Column:
+        return F.map_from_entries(F.transform(F.map_entries("others"), lambda e: F.struct(e["key"], text(F.get(e["value"], hour)))))
+
+    none = F.array_repeat(F.lit(None).cast(OTHER_HOURLY.dataType), n_hours)
+    return F.when(F.size("others") > 0, F.transform(F.sequence(F.lit(0), n_hours - 1), at)).otherwise(none)
 
 
 def _inside(value: Column, kind: str) -> Column:
@@ -101,7 +113,7 @@ def with_findings(parsed: DataFrame) -> DataFrame:
                     lambda name: name.isNotNull(),
                 ),
                 F.coalesce(
-                    F.transform(F.filter("others", lambda o: o["value"] != n_hours), lambda o: o["key"]),
+                    F.map_keys(F.map_filter("others", lambda _, values: F.size(values) != n_hours)),
                     F.array().cast("array<string>"),
                 ),
             ),
@@ -178,8 +190,8 @@ def guarded(parsed: DataFrame) -> DataFrame:
     return with_findings(parsed).withColumn("hours", hours).drop("findings")
 
 
-def flatten_parsed(parsed: DataFrame) -> DataFrame:
-    """One row per hour, with the document's coordinates beside it.
+def flatten_parsed(parsed: DataFrame, others: bool = False) -> DataFrame:
+    """One row per hour, with the document's coordinates beside it; with ``others`` also all that its other hourly arrays say.
 
     A measure missing from a document becomes NULLs of the right length; zipping with
     a NULL array would drop the document's rows.
@@ -191,9 +203,10 @@ def flatten_parsed(parsed: DataFrame) -> DataFrame:
         return F.coalesce(F.col(name)["numbers"], absent).alias(name)
 
     stamps = F.col("hours")["stamp"].alias("time")
+    more = [_other_values(n_hours).alias(OTHER_HOURLY.name)] if others else []
     rows = parsed.select(
         *BRONZE_PARTITIONS, "latitude", "longitude",
-        F.inline(F.arrays_zip(stamps, *[column(name) for name in MEASURES])),
+        F.inline(F.arrays_zip(stamps, *[column(name) for name in MEASURES], *more)),
     )
     return rows.select(
         "time",
@@ -203,10 +216,11 @@ def flatten_parsed(parsed: DataFrame) -> DataFrame:
         "wind_speed_10m",
         "latitude",
         "longitude",
+        *([OTHER_HOURLY.name] if others else []),
         *BRONZE_PARTITIONS,
     )
 
 
-def flatten_hourly(raw: DataFrame) -> DataFrame:
+def flatten_hourly(raw: DataFrame, others: bool = False) -> DataFrame:
     """Hourly rows of documents that pass the checks; fails on one that does not."""
-    return flatten_parsed(guarded(parse_documents(raw)))
+    return flatten_parsed(guarded(parse_documents(raw)), others)

@@ -1,9 +1,8 @@
 """Earlier values in a long ordered sequence, cut into blocks that run in parallel.
 
-A window over a whole location puts its history into one task. Here the sequence is
-cut into blocks that are contiguous in its order. Rows look back inside their block;
-the first rows of a block get what they lack from the last rows of the blocks before,
-and only those few rows per block are ordered across blocks.
+A window over a whole location puts its history into one task. Here the sequence is cut into blocks that are contiguous
+in its order. A block's rows become one sorted array, so that looking back inside the block is a shift of
+that array; only the last values of each block are ordered across blocks, and put before the next one's.
 """
 
 from __future__ import annotations
@@ -18,34 +17,23 @@ def with_earlier(
 ) -> DataFrame:
     """Add ``before_1`` .. ``before_n``: the values 1 .. n rows earlier within ``key``.
 
-    Rows are ordered by ``block`` and then ``order``. Columns that do not exist for the
-    first rows are NULL, as with LAG.
+    Rows are ordered by ``block`` and then ``order``. Columns that do not exist for the first rows are NULL, as with LAG.
+    Detail rows are shuffled and sorted once: the blocks and their tails come from one exchange.
     """
-    inside = W.partitionBy(key, *block).orderBy(*order)
-    ranked = df.withColumns(
-        {
-            "_row": F.row_number().over(inside),
-            "_last": F.lead(F.lit(1), n).over(inside).isNull(),
-            **{f"_in_{k}": F.lag(value, k).over(inside) for k in range(1, n + 1)},
-        }
-    )
-    # At most n rows per block; same partitioning as the window, so no further shuffle.
-    tails = (
-        ranked.where("_last").groupBy(key, *block)
-        .agg(F.sort_array(F.collect_list(F.struct("_row", F.col(value).alias("_value")))).alias("_tail"))
-    )
+    others = [name for name in df.columns if name not in (key, *block, *order, value)]
+    blocks = df.groupBy(key, *block).agg(F.sort_array(F.collect_list(F.struct(*order, *others, value))).alias("_rows"))
+    values = F.col("_rows")[value]
+    tails = blocks.select(key, *block, F.slice(values, F.greatest(F.size(values) - F.lit(n - 1), F.lit(1)), F.lit(n)).alias("_tail"))
     # The n blocks before hold at least n rows between them, unless the sequence starts there.
     earlier = W.partitionBy(key).orderBy(*block).rowsBetween(-n, -1)
+    none = F.array_repeat(F.lit(None).cast(df.schema[value].dataType), n)
     carried = tails.select(
-        key, *block, F.flatten(F.collect_list("_tail").over(earlier)).alias("_carried")
+        key, *block, F.slice(F.concat(none, F.flatten(F.collect_list("_tail").over(earlier))), -n, n).alias("_carried")
     )
-    joined = ranked.join(carried, [key, *block], "left")
-
-    def before(k: int):
-        from_end = (F.col("_row") - F.lit(k + 1)).cast("int")
-        outside = F.try_element_at("_carried", F.when(from_end < 0, from_end))["_value"]
-        return F.when(F.col("_row") > k, F.col(f"_in_{k}")).otherwise(outside)
-
-    return joined.withColumns({f"before_{k}": before(k) for k in range(1, n + 1)}).select(
+    joined = blocks.join(carried, [key, *block], "left")
+    long = F.concat(F.coalesce("_carried", none), values)
+    before = [F.slice(long, F.lit(n - k + 1), F.size("_rows")).alias(f"before_{k}") for k in range(1, n + 1)]
+    rows = joined.select(key, *block, F.inline(F.arrays_zip(F.col("_rows"), *before)))
+    return rows.select(key, *block, "_rows.*", *[f"before_{k}" for k in range(1, n + 1)]).select(
         *df.columns, *[f"before_{k}" for k in range(1, n + 1)]
     )

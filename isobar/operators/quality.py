@@ -61,53 +61,62 @@ def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
 
 
+# Declared constraints of the star. The fact's key is its natural key packed, so its uniqueness covers both.
+_FACT = "fact_weather_hourly"
+_UNIQUE = {"dim_date": ("date_id", "date_value"), "dim_location": ("location_id", "location_name"), _FACT: ("fact_id",)}
+_REQUIRED = {
+    "dim_date": ("date_id", "date_value"),
+    "dim_location": ("location_id", "location_name", "latitude", "longitude"),
+    _FACT: ("fact_id", *FACT_KEYS),
+}
+_REFERENCES = {"dim_date": "date_id", "dim_location": "location_id"}
+
+
 def star_constraints(star: Star) -> DataFrame:
     """Failing values per declared constraint of the star, zero where it holds.
 
-    Plain Parquet enforces nothing, so keys, uniqueness, required columns and
-    references are checked after a load.
+    Plain Parquet enforces nothing, so keys, uniqueness, required columns and references are checked after a load. Every table is
+    read once: its rows become (constrained column, value) pairs, those of the dimensions' keys once more as a mark
+    that the fact may refer to them, and one grouping counts all pairs, map-side first.
     """
-    tables = {
-        "dim_date": star.dates, "dim_location": star.locations, "fact_weather_hourly": star.fact,
-    }
-    unique_keys = [
-        ("dim_date", ["date_id"]), ("dim_date", ["date_value"]),
-        ("dim_location", ["location_id"]), ("dim_location", ["location_name"]),
-        # The fact's key is its natural key packed, so this covers both.
-        ("fact_weather_hourly", ["fact_id"]),
-    ]
-    required = {
-        "dim_date": ["date_id", "date_value"],
-        "dim_location": ["location_id", "location_name", "latitude", "longitude"],
-        "fact_weather_hourly": ["fact_id", *FACT_KEYS],
-    }
-    references = [("date_id", star.dates), ("location_id", star.locations)]
-
-    def tagged(df: DataFrame, table: str, kind: str, failures) -> DataFrame:
-        return df.select(
-            F.lit(table).alias("table_name"), F.lit(kind).alias("constraint_type"),
-            F.col("column_name"), failures.cast("bigint").alias("n_failures"),
-        )
-
-    def counted(df: DataFrame, column: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).withColumn("column_name", F.lit(column))
-
-    checks = [
-        tagged(counted(unique(tables[table], columns), ",".join(columns)), table, "unique", F.col("n"))
-        for table, columns in unique_keys
-    ]
-    checks += [
-        tagged(not_null(tables[table], columns), table, "not_null", F.col("n_nulls"))
-        for table, columns in required.items()
-    ]
-    checks += [
-        tagged(
-            counted(relationships(star.fact, column, parent, column), column),
-            "fact_weather_hourly", "foreign_key", F.col("n"),
-        )
-        for column, parent in references
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    tables = {"dim_date": star.dates, "dim_location": star.locations, _FACT: star.fact}
+
+    def pairs(table: str) -> DataFrame:
+        cells = []
+        for column in dict.fromkeys((*_UNIQUE[table], *_REQUIRED[table])):
+            compared = column in _UNIQUE[table] or table == _FACT and column in _REFERENCES.values()
+            value = F.col(column).cast("string") if compared else F.when(F.col(column).isNotNull(), F.lit(""))
+            cells.append((f"{table}.{column}", value, 1, 0))
+        if table in _REFERENCES:
+            column = _REFERENCES[table]
+            cells.append((f"{_FACT}.{column}", F.col(column).cast("string"), 0, 1))
+        structs = [
+            F.struct(F.lit(item).alias("item"), value.alias("value"), F.lit(n).alias("n"), F.lit(mark).alias("parent"))
+            for item, value, n, mark in cells
+        ]
+        return tables[table].select(F.inline(F.array(*structs)))
+
+    counted = reduce(DataFrame.unionByName, map(pairs, tables)).groupBy("item", "value").agg(
+        F.sum("n").alias("n"), F.max("parent").alias("parent")
+    )
+    known = F.col("value").isNotNull()
+    failures = counted.groupBy("item").agg(
+        F.count_if(known & (F.col("n") > 1)).alias("unique"),
+        F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("not_null"),
+        F.count_if(known & (F.col("n") > 0) & (F.col("parent") == 0)).alias("foreign_key"),
+    )
+    checks = [(t, "unique", c) for t, columns in _UNIQUE.items() for c in columns]
+    checks += [(t, "not_null", c) for t, columns in _REQUIRED.items() for c in columns]
+    checks += [(_FACT, "foreign_key", c) for c in _REFERENCES.values()]
+    declared = star.fact.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(x).alias(n) for n, x in zip(("table_name", "constraint_type", "column_name"), check)]) for check in checks
+    ])))
+    item = F.concat_ws(".", "table_name", "column_name")
+    kind = F.col("constraint_type")
+    found = F.when(kind == "unique", F.col("unique")).when(kind == "not_null", F.col("not_null")).otherwise(F.col("foreign_key"))
+    return declared.join(failures, item == failures["item"], "left").select(
+        "table_name", "constraint_type", "column_name", F.coalesce(found, F.lit(0)).cast("bigint").alias("n_failures")
+    )
 
 
 def proof_join(star: Star) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from isobar.operators.documents import assert_clean, check_bronze, flatten_hourly
 from isobar.operators.merge import merge_dim_date, merge_dim_location, merge_fact
@@ -30,14 +31,14 @@ def ingest(
 ) -> int:
     """Bronze to silver in one pass over the documents, without a shuffle.
 
-    A document with findings fails the job before anything is committed; only then
-    are the documents read again, to say which ones and why.
+    A document with findings fails the job before anything is committed; only then are the documents read again, to say which ones
+    and why. Hourly arrays besides the four measures are kept in one map column.
     """
     dates = None if run_dates is None else list(run_dates)
     places = None if locations is None else list(locations)
     raw = read_bronze(spark, bronze, dates, places, source)
     try:
-        return write_silver(flatten_hourly(raw), silver, align=False)
+        return write_silver(flatten_hourly(raw, others=True), silver, align=False)
     except ValueError:
         raise
     except Exception:
@@ -112,10 +113,18 @@ def merge_star(warehouse: Warehouse, staging: DataFrame) -> int:
     return merge_fact(warehouse, fact_rows(staging, dates, locations), distinct_dates(staging))
 
 
-def read_star(warehouse: Warehouse) -> Star:
-    return Star(
-        warehouse.read(FACT_TABLE), warehouse.read("dim_date"), warehouse.read("dim_location")
-    )
+def read_star(warehouse: Warehouse, first: str | None = None, last: str | None = None) -> Star:
+    """The star, or its days from ``first`` to ``last``: both, or none.
+
+    What the days say about the fact's folders, months or days, is worked out before the read is planned, so
+    no file of another folder is listed.
+    """
+    dates, locations = warehouse.read("dim_date"), warehouse.read("dim_location")
+    if first is None and last is None:
+        return Star(warehouse.read(FACT_TABLE), dates, locations)
+    days = run_dates_between(first, last)
+    wanted = F.col("date_value").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return Star(warehouse.read_fact_days(days), dates.where(wanted), locations)
 
 
 def build_marts(warehouse: Warehouse) -> dict[str, DataFrame]:

@@ -69,6 +69,9 @@ SILVER = _struct(
     ("location", T.StringType()),
 )
 
+# Hourly arrays besides the four measures: name to value, as JSON text. Silver files carry it beside SILVER's columns.
+OTHER_HOURLY = T.StructField("other_hourly", T.MapType(T.StringType(), T.StringType()))
+
 GOLD = _struct(
     ("time", T.TimestampNTZType()),
     ("temp_celsius", T.DoubleType()),

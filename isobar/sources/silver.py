@@ -6,8 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from isobar.schemas import SILVER, SILVER_PARTITIONS
+from isobar.schemas import OTHER_HOURLY, SILVER, SILVER_PARTITIONS
 from isobar.sources.layout import (
     aligned, date_folders, leaf_folders, only, overwrite_partitions, path_exists, read_parquet, require_path,
 )
@@ -19,12 +20,17 @@ def read_silver(
     run_dates: Iterable[str] | None = None,
     locations: Iterable[str] | None = None,
     source: str | None = None,
+    others: bool = False,
 ) -> DataFrame:
-    """Silver rows; each predicate prunes folders before any file is opened."""
+    """Silver rows; each predicate prunes folders before any file is opened.
+
+    With ``others`` they have a map of what the documents' other hourly arrays say, by name, as JSON text; NULL where there were none.
+    """
     require_path(spark, root, "silver")
     dates = None if run_dates is None else list(run_dates)
     folders = None if dates is None else date_folders(spark, root, dates, by_source=True)
-    return only(read_parquet(spark, root, SILVER, folders), dates, locations, source)
+    schema = T.StructType([OTHER_HOURLY, *SILVER.fields]) if others else SILVER
+    return only(read_parquet(spark, root, schema, folders), dates, locations, source)
 
 
 def write_silver(df: DataFrame, root: str, align: bool = True) -> int:
@@ -33,7 +39,7 @@ def write_silver(df: DataFrame, root: str, align: bool = True) -> int:
     ``align=False`` saves the shuffle where each partition already comes from one
     file, as it does when documents are flattened.
     """
-    rows = df.select(*[F.col(name).cast(SILVER[name].dataType) for name in SILVER.names])
+    rows = df.select(*_others(df), *[F.col(name).cast(SILVER[name].dataType) for name in SILVER.names])
     ready = aligned(rows, SILVER_PARTITIONS) if align else rows
     written = overwrite_partitions(ready, root, SILVER_PARTITIONS)
     if written == 0:
@@ -41,6 +47,10 @@ def write_silver(df: DataFrame, root: str, align: bool = True) -> int:
     return written
 
 
+def _others(df: DataFrame) -> list[str]:
+    return [OTHER_HOURLY.name] if OTHER_HOURLY.name in df.columns else []
+
+
 def mirror(df: DataFrame, root: str, check_exists: bool = False) -> None:
     """Copy silver rows to a second root.
 
@@ -53,5 +63,5 @@ def mirror(df: DataFrame, root: str, check_exists: bool = False) -> None:
         folders = date_folders(spark, root, dates, by_source=True)
         if folders:
             present = leaf_folders(spark, folders, SILVER_PARTITIONS).drop("folder").withColumn("run_date", F.col("run_date").cast("date"))
-            df = df.join(present, list(SILVER_PARTITIONS), "left_anti").select(*SILVER.names)
-    overwrite_partitions(aligned(df.select(*SILVER.names), SILVER_PARTITIONS), root, SILVER_PARTITIONS)
+            df = df.join(present, list(SILVER_PARTITIONS), "left_anti")
+    overwrite_partitions(aligned(df.select(*_others(df), *SILVER.names), SILVER_PARTITIONS), root, SILVER_PARTITIONS)

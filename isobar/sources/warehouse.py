@@ -93,6 +93,15 @@ class Warehouse:
         """Fact rows of the given folders only; no file of the others is listed."""
         return self._read_fact(folder, list(values)).select(*self.schema(FACT_TABLE).names)
 
+    def read_fact_days(self, days: Sequence[str]) -> DataFrame:
+        """Fact rows of consecutive days, from the folders that can hold them."""
+        if not days or not self.exists(FACT_TABLE):
+            return self.spark.createDataFrame([], self.schema(FACT_TABLE))
+        ids = [int(day.replace("-", "")) for day in days]
+        folder = self.fact_folder
+        values = ids if folder == FACT_FOLDERS["day"] else sorted({i // 100 for i in ids})
+        return self.read_fact_folders(folder, values).where(F.col("date_id").between(ids[0], ids[-1]))
+
     def fact_schema(self, folder: str) -> T.StructType:
         schema = self.schema(FACT_TABLE)
         if folder in schema.names:

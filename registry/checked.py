@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,19 @@ def _(lk: Lake) -> DataFrame:
     return read_silver(lk.spark, root)
 
 
+@_key("silver_other_arrays")
+def _(lk: Lake) -> DataFrame:
+    """Hourly arrays beyond the four measures, through ingest and mirror."""
+    root, copy = lk.new_dir("silver-wide"), lk.new_dir("mirror-wide")
+    jobs.ingest(lk.spark, lk.wide_bronze, root)
+    mirror(read_silver(lk.spark, root, others=True), copy)
+    other = F.col("other_hourly")
+    return read_silver(lk.spark, copy, others=True).select(
+        "time", "location", "temperature_2m", other["cloud_cover"].cast("double").alias("cloud_cover"),
+        F.get_json_object(other["remark"], "$").alias("remark"), F.size(other).alias("n_others"),
+    )
+
+
 @_key("mirror_write")
 def _(lk: Lake) -> DataFrame:
     """The second run finds every partition present and copies none of the changed rows."""
@@ -475,6 +489,31 @@ def _(lk: Lake) -> DataFrame:
     return quality.star_constraints(lk.star)
 
 
+@_key("dq_star_constraints_faulty")
+def _(lk: Lake) -> DataFrame:
+    """A star with repeated keys, missing values and references to nothing, all spoilt by their own values."""
+    star = lk.star
+    again = star.fact.where("fact_id % 997 = 0").unionByName(star.fact.where("fact_id % 1993 = 0"))
+    fact = star.fact.unionByName(again).withColumns({
+        "hour": F.when(F.col("fact_id") % 101 != 0, F.col("hour")),
+        "location_id": F.when(F.col("fact_id") % 103 == 0, F.col("location_id") + 1_000_000).when(F.col("fact_id") % 107 != 0, F.col("location_id")),
+        "date_id": F.col("date_id") + F.when(F.col("fact_id") % 109 == 0, 70_000_000).otherwise(0),
+    })
+    dates = star.dates.unionByName(star.dates.where("day = 3").withColumn("date_id", F.col("date_id") + 50_000_000))
+    dates = dates.unionByName(star.dates.where("day = 5 AND month < 4"))
+    locations = star.locations.withColumn("latitude", F.when(F.col("location_id") % 7 != 0, F.col("latitude")))
+    locations = locations.unionByName(star.locations.where("location_id % 11 = 0").withColumn("location_id", -F.col("location_id")))
+    return quality.star_constraints(jobs.Star(fact, dates, locations))
+
+
+@_key("q4_one_week")
+def _(lk: Lake) -> DataFrame:
+    """Weekend hours of the newest week: the week's months are all that is read."""
+    last = lk.star.dates.agg(F.max("date_value")).first()[0]
+    week = jobs.read_star(lk.warehouse, str(last - timedelta(days=6)), str(last))
+    return QUESTIONS["q4"](week.feed_named())
+
+
 # ------------------------------------------------------------------ whole jobs
 def _counts_by_day(warehouse: Warehouse) -> DataFrame:
     star = jobs.read_star(warehouse)

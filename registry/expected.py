@@ -266,7 +266,7 @@ changed AS (
   SELECT CAST(DATE_TRUNC('month', MAX(date_value)) - INTERVAL 1 MONTH AS DATE) AS start FROM li)"""
 
 
-def _constraints() -> str:
+def _constraints(**spoilt: str) -> str:
     rows = [
         ("dim_date", "unique", "date_id"), ("dim_date", "unique", "date_value"),
         ("dim_location", "unique", "location_id"), ("dim_location", "unique", "location_name"),
@@ -277,7 +277,7 @@ def _constraints() -> str:
         "dim_location": ("location_id", "location_name", "latitude", "longitude"),
         "fact_weather_hourly": ("fact_id", "date_id", "location_id", "hour"),
     }
-    sources = {"dim_date": "dates", "dim_location": "locations", "fact_weather_hourly": "fact"}
+    sources = {"dim_date": "dates", "dim_location": "locations", "fact_weather_hourly": "fact"} | spoilt
     parts = [
         f"SELECT '{t}' AS table_name, '{k}' AS constraint_type, '{c}' AS column_name, COUNT(*) AS n_failures "
         f"FROM (SELECT {c} FROM {sources[t]} GROUP BY {c} HAVING COUNT(*) > 1) x"
@@ -288,9 +288,9 @@ def _constraints() -> str:
         for t, names in columns.items() for c in names
     ]
     parts += [
-        f"SELECT 'fact_weather_hourly', 'foreign_key', '{c}', COUNT(DISTINCT {c}) FROM fact f "
-        f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{c} = f.{c})"
-        for c, parent in (("date_id", "dates"), ("location_id", "locations"))
+        f"SELECT 'fact_weather_hourly', 'foreign_key', '{c}', COUNT(DISTINCT {c}) FROM {sources['fact_weather_hourly']} f "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {sources[parent]} p WHERE p.{c} = f.{c})"
+        for c, parent in (("date_id", "dim_date"), ("location_id", "dim_location"))
     ]
     return "\nUNION ALL ".join(parts)
 
@@ -325,6 +325,13 @@ def expected_sql() -> dict[str, str]:
         "silver_scan": _with(EV, _SILVER_EV),
         "silver_write": _with(EV, _SILVER_EV),
         "mirror_write": _with(EV, _SILVER_EV),
+        "silver_other_arrays": _with(
+            EV,
+            """SELECT time, location, temperature_2m,
+  CASE WHEN relative_humidity_2m % 11 <> 0 THEN (relative_humidity_2m * 7 % 101) / 4e0 END AS cloud_cover,
+  'say "' || relative_humidity_2m || '"' AS remark, CAST(2 AS INTEGER) AS n_others
+FROM ev""",
+        ),
         "curate_gold": _with(LI, _gold("li")),
         "gold_overwrite_idempotent": _with(EV, _gold("ev")),
         "gold_copy_full": _with(EV, _gold("ev")),
@@ -463,6 +470,26 @@ FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NO
 FROM ev_samples GROUP BY ALL HAVING COUNT(*) > 1""",
         ),
         "dq_star_constraints": _with(STAR, _constraints()),
+        "dq_star_constraints_faulty": _with(
+            STAR + """,
+bad_fact AS (
+  SELECT fact_id, CASE WHEN fact_id % 101 <> 0 THEN hour END AS hour,
+    CASE WHEN fact_id % 103 = 0 THEN location_id + 1000000 WHEN fact_id % 107 <> 0 THEN location_id END AS location_id,
+    date_id + CASE WHEN fact_id % 109 = 0 THEN 70000000 ELSE 0 END AS date_id
+  FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE fact_id % 997 = 0 UNION ALL SELECT * FROM fact WHERE fact_id % 1993 = 0) f),
+bad_dates AS (
+  SELECT date_id, date_value FROM dates UNION ALL SELECT date_id + 50000000, date_value FROM dates WHERE day = 3
+  UNION ALL SELECT date_id, date_value FROM dates WHERE day = 5 AND month < 4),
+bad_locations AS (
+  SELECT location_id, location_name, CASE WHEN location_id % 7 <> 0 THEN latitude END AS latitude, longitude FROM locations
+  UNION ALL SELECT -location_id, location_name, latitude, longitude FROM locations WHERE location_id % 11 = 0)""",
+            _constraints(dim_date="bad_dates", dim_location="bad_locations", fact_weather_hourly="bad_fact"),
+        ),
+        "q4_one_week": _with(
+            STAR,
+            f"""SELECT {_PLACE}, day_of_week, hour, temperature_2m FROM star
+WHERE is_weekend AND date_value > (SELECT MAX(date_value) FROM dates) - INTERVAL 7 DAY""",
+        ),
         "rerun_idempotent": _with(
             EV,
             f"""SELECT {_DATE_ID} AS date_id, COUNT(*) AS rows_first,

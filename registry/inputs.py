@@ -88,9 +88,19 @@ def readings(samples: DataFrame, pick=F.max_by, run_date: Column | None = None)
     ).select(*SILVER.names)
 
 
-def documents(hourly: DataFrame, faulty: bool = False) -> DataFrame:
+def other_measures() -> list[Column]:
+    """Two more hourly values of a reading, a number that may be missing and a text."""
+    humidity = F.col("relative_humidity_2m")
+    cover = F.when(humidity % 11 != 0, (humidity * 7 % 101) / F.lit(4.0)).alias("cloud_cover")
+    return [cover, F.concat(F.lit('say "'), humidity.cast("string"), F.lit('"')).alias("remark")]
+
+
+def documents(hourly: DataFrame, faulty: bool = False, others: bool = False) -> DataFrame:
     """JSON documents, one per location and run date, of the readings it covers.
 
+    With ``others`` they have two more hourly arrays.
+
+
     With ``faulty``, documents are spoilt by their own values: keys left out on days
     divisible by five, no hours for some locations on some days, unreadable times and
     repeated hours depending on the reading.
@@ -108,11 +118,11 @@ def documents(hourly: DataFrame, faulty: bool = False) -> DataFrame:
     else:
         rows = rows.withColumn("_copy", F.lit(1))
     grouped = rows.groupBy("run_date", "location", "latitude", "longitude").agg(
-        F.sort_array(F.collect_list(F.struct("time", "_copy", "_at", *MEASURES))).alias("_rows")
+        F.sort_array(F.collect_list(F.struct("time", "_copy", "_at", *MEASURES, *(other_measures() if others else [])))).alias("_rows")
     )
     kept = F.when(no_hours, F.slice("_rows", 1, 0)).otherwise(F.col("_rows"))
     hours = F.struct(
-        kept["_at"].alias("time"), *[kept[name].alias(name) for name in MEASURES]
+        kept["_at"].alias("time"), *[kept[name].alias(name) for name in (*MEASURES, *(("cloud_cover", "remark") if others else ()))]
     )
     text = F.when(~no_keys, F.lit("UTC"))
     document = F.struct(
@@ -125,7 +135,7 @@ def documents(hourly: DataFrame, faulty: bool = False) -> DataFrame:
         F.create_map(F.lit("time"), F.lit("iso8601")).alias("hourly_units"),
         hours.alias("hourly"),
     )
-    # to_json leaves NULL fields out, which is how the keys go missing.
+    # to_json leaves NULL fields out, which is how the keys go missing; NULLs in arrays stay.
     return grouped.select(F.to_json(document).alias("value"), "run_date", "location")
 
 
@@ -205,6 +215,14 @@ class Lake:
         jobs.land_bronze(self.spark, self._land("bronze-faulty", faulty=True), root, SOURCE, self.lookup)
         return root
 
+    @cached_property
+    def wide_bronze(self) -> str:
+        """Bronze of documents with more hourly arrays than the four measures."""
+        landed, root = self.new_dir("bronze-wide-landed"), self.new_dir("bronze-wide")
+        write_landed(documents(self.event_readings, others=True), landed)
+        jobs.land_bronze(self.spark, landed, root, SOURCE, self.lookup)
+        return root
+
     @cached_property
     def line_readings(self) -> DataFrame:
         return self._kept("line-readings", readings(lineitem_samples(self.spark, self.sf_dir)))
