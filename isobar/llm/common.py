@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -49,7 +50,7 @@ def discard(table: DataFrame) -> None:
 
 
 #: Arrow batches to and from Python workers are cut at so many bytes; Spark's own default, and no other setting, gives way to it.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 _DEFAULT_BATCH_BYTES = 64 << 20
 
 
@@ -73,6 +74,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def lighten() -> None:
+    """At the start of a task: Spark keeps Python workers, and what an encoder of an earlier stage holds in this one is not needed."""
+    used = sys.modules.get("isobar.llm.pieces")
+    if used is not None:
+        used.forget()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

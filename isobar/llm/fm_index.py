@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import shared_folder, ship
+from isobar.llm.common import lighten, shared_folder, ship
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
@@ -285,6 +285,7 @@ def find_items(
     columns = ["doc_id"] if columns is None else columns
 
     def search(batches) -> Iterator[pa.RecordBatch]:
+        lighten()
         blocks: list[Phrases] | None = None
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import ship, written
+from isobar.llm.common import lighten, ship, written
 from isobar.llm.components import components
 
 SHINGLE = 3
@@ -90,6 +90,7 @@ def signatures(docs: DataFrame, length: int = SHINGLE, permutations: int = PERMU
     factors = _multipliers(permutations)
 
     def sign(batches) -> Iterator[pa.RecordBatch]:
+        lighten()
         for batch in batches:
             at = 0
             for sets in _sets(batch.column("text").to_pylist(), length):

@@ -8,6 +8,8 @@ the library many at a time.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 import re
@@ -34,7 +36,7 @@ class PieceEncoder:
     of which a piece met again moves on.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 250_000):
+    def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -131,3 +133,13 @@ def encoder(path: str, plain_specials: bool = False) -> PieceEncoder:
     if key not in _ENCODERS:
         _ENCODERS[key] = PieceEncoder(path, plain_specials)
     return _ENCODERS[key]
+
+
+def forget() -> None:
+    """Give back the memory of this worker's encoders; the next use begins anew."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim:
+            trim(0)

@@ -73,6 +73,8 @@ _WIDE = {"email": r"\x20|\[|\(", "ip": "[,:]", "card": "[._/]", "phone": "."}
 def _found(docs: DataFrame) -> DataFrame:
     """Base and candidate matches: _row, doc_id, is_base, kind, start, end, match, before, after; a row with NULL kind for a text without any.
 
+    One row of each text, with or without a match, is its ``_anchor``.
+
     A pattern's matches and the texts between them, alternating, give the places by sums over the pieces before.
     """
     text = F.coalesce("text", F.lit(""))
@@ -93,7 +95,8 @@ def _found(docs: DataFrame) -> DataFrame:
     pieces = F.arrays_zip(F.col("m").alias("match"), F.col("s").alias("before"), F.slice("s", F.lit(2), F.greatest(F.size("s"), F.lit(1))).alias("after"))
     rows = rows.select("_row", "doc_id", "is_base", "kind", F.posexplode_outer(pieces).alias("pos", "p"))
     rows = rows.where("pos IS NULL OR pos = 0 OR p.match IS NOT NULL").select(
-        "_row", "doc_id", "is_base", F.when(F.col("p.match").isNotNull(), F.col("kind")).alias("kind"), "pos",
+        # The first piece for the base pattern of email: each text has it, or no pieces at all.
+        "_row", "doc_id", "is_base", F.expr("kind IS NULL OR (is_base AND kind = 0 AND coalesce(pos, 0) = 0)").alias("_anchor"), F.when(F.col("p.match").isNotNull(), F.col("kind")).alias("kind"), "pos",
         F.col("p.match").alias("match"),
         F.length("p.before").alias("gap"), F.expr(f"right(p.before, {_BEFORE})").alias("before"), F.expr(f"left(p.after, {_AFTER})").alias("after"),
     )
@@ -134,7 +137,7 @@ def spans(docs: DataFrame) -> DataFrame:
     wide = _by_kind({k: F.col("match").rlike(w) if k != "card" else F.col("match").rlike(w) | ~n.between(16, 19) for k, w in _WIDE.items()})
     counted = F.when(_of_kind("ip"), n - _DIGITS["ip"][0]).when(_of_kind("card"), n - _DIGITS["card"][0]).otherwise(0)
     featured = rows.select(
-        "_row", "doc_id", "is_base", "kind", "start", "end",
+        "_row", "doc_id", "_anchor", "is_base", "kind", "start", "end",
         F.when(F.col("is_base"), valid).otherwise(likely).alias("_holds"),
         F.col("kind").alias("f_kind"),
         F.least(F.lit(15), F.greatest(F.lit(0), counted)).alias("f_digits"),
@@ -142,11 +145,11 @@ def spans(docs: DataFrame) -> DataFrame:
         flag(speaks).alias("f_valid"), flag(_of_kind("ip") & F.col("match").rlike("[0-9]{3}")).alias("f_long"),
         flag(glued).alias("f_glued"), flag(hint).alias("f_hint"), flag(wide).alias("_wide"),
     )
-    marks = featured.where("kind IS NOT NULL AND _holds").drop("_holds")
-    # Every text has one row for the base pattern of email, with or without a match: these make the empty rows.
-    empty = F.col("kind").isNull()
-    one = featured.where(empty | (F.col("is_base") & _of_kind("email"))).groupBy("_row", "doc_id").agg(F.lit(None).cast("int").alias("kind"))
-    return marks.unionByName(one, allowMissingColumns=True)
+    # An anchor is there twice, the second time as the empty row of its text.
+    copies = F.when(F.col("_anchor"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    twice = featured.withColumn("_empty", F.explode(copies)).where("_empty OR (kind IS NOT NULL AND _holds)")
+    values = [c for c in featured.columns if c not in ("_row", "doc_id", "_anchor", "_holds")]
+    return twice.select("_row", "doc_id", *[F.when(~F.col("_empty"), F.col(c)).alias(c) for c in values])
 
 
 def _near_base(same_kind: bool) -> Column:

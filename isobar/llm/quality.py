@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.llm.boost import Forest, fit
-from isobar.llm.common import ship
+from isobar.llm.common import lighten, ship
 
 MOST_LABELLED = 20_000
 THRESHOLD = 0.3
@@ -66,6 +66,7 @@ def with_statistics(docs: DataFrame, columns: list[str]) -> DataFrame:
     ship(docs.sparkSession)
 
     def measure(batches):
+        lighten()
         for batch in batches:
             rows = [statistics(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -110,6 +111,7 @@ def score(docs: DataFrame, forest: Forest, name: str = "score", columns: list[st
     read = columns if "text" in columns else [*columns, "text"]
 
     def judge(batches):
+        lighten()
         for batch in batches:
             x = np.array([statistics(t) for t in batch.column("text").to_pylist()], float).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays(
