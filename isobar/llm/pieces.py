@@ -31,12 +31,9 @@ class PieceEncoder:
 
     ``plain_specials``: the strings of special tokens in a text are ordinary text. Tokenizers
     that cut texts in another way get every text whole.
-
-    At most twice ``most_pieces`` pieces are held: those met since the last change of generation, and those of the generation before,
-    of which a piece met again moves on.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 500_000):
+    def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -45,7 +42,6 @@ class PieceEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.most_pieces = most_pieces
         self.memory: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
         self.cuts = self._cuts_at_spaces(path)
         line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cuts = self.cuts and len(line_break) == 1
@@ -79,13 +75,10 @@ class PieceEncoder:
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.specials)]
         at_once = dict(zip(whole, self._whole([texts[i] for i in whole])))
         cut = [[" "] if i in at_once else self._pieces(text) for i, text in enumerate(texts)]
-        used = set(chain.from_iterable(cut))
-        new = used.difference(self.memory)
-        if self.memory and len(self.memory) + len(new) > self.most_pieces:
-            self.earlier, self.memory, new = self.memory, {}, used
-        met = new.intersection(self.earlier)
-        self.memory.update((p, self.earlier[p]) for p in met)
-        new -= met
+        new = set(chain.from_iterable(cut)).difference(self.memory)
+        if len(self.memory) + len(new) > self.most_pieces:
+            self.memory.clear()
+            new = set(chain.from_iterable(cut))
         self._learn(list(new))
         get = self.memory.__getitem__
         ids = [at_once[i] if i in at_once else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
