@@ -228,3 +228,16 @@ def test_sums_are_those_of_the_texts(spark, ansi):
                     bad.agg(question(F.col("x"))).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_history_needs_one_exchange_and_no_window_over_rows(spark, tmp_path):
+    """The rows are shuffled once; the only window orders the tails of blocks."""
+    data = [(k, b, at, float(at)) for k in range(3) for b in range(4) for at in range(5)]
+    spark.createDataFrame(data, "key int, block int, at int, value double").write.parquet(str(tmp_path / "t"))
+    found = with_earlier(spark.read.parquet(str(tmp_path / "t")), "key", ["block"], ["at"], "value", 2)
+    assert found.count() == 60
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Window [") == 1 and "collect_list(_tail" in final[final.index("Window [") :][:200]
+    assert "ReusedExchange" in final or final.count("FileScan") <= 2

@@ -213,3 +213,24 @@ def test_names_from_paths(spark, is_uri):
     table = spark.createDataFrame(paths, "name string, path string")
     found = table.select("name", partition_from_path(F.col("path"), "location", is_uri)).collect()
     assert all(row[0] == row[1] for row in found)
+
+
+def test_other_hourly_arrays_come_back(spark, folder):
+    """Numbers, texts, truth values, nested values and nulls of arrays nobody declared; documents without any; older files without the column."""
+    other = {"cloud_cover": [12.5, None], "note": ['say "x"', "ß"], "flag": [True, False], "nested": [{"a": [1]}, []], "scalar": 5, "empty name": [1, 2]}
+    land(folder("landed"), DAY, "Boston", document({**COMPLETE["hourly"], **other}))
+    land(folder("landed"), "2026-01-26", "Boston", document(hours("2026-01-26T12:00", temperature_2m=[1.0])))
+    land_bronze(spark, folder("landed"), folder("bronze"), "s")
+    jobs.ingest(spark, folder("bronze"), folder("silver"))
+    write_silver(silver(spark, [("2026-01-27T05:00:00", 7.0, 1, 1.0, 1.0, "Boston")]), folder("silver"))
+    for root in (folder("silver"), folder("copy")):
+        found = read_silver(spark, root, others=True).orderBy("time").collect()
+        assert [r.other_hourly for r in found] == [
+            {"cloud_cover": "12.5", "note": '"say \\"x\\""', "flag": "true", "nested": '{"a":[1]}', "empty name": "1"},
+            {"cloud_cover": None, "note": '"ß"', "flag": "false", "nested": "[]", "empty name": "2"},
+            None, None,
+        ]
+        if root == folder("silver"):
+            mirror(read_silver(spark, root, others=True), folder("copy"))
+    assert "other_hourly" not in read_silver(spark, folder("silver")).columns
+    assert jobs.curate_job(spark, folder("silver"), folder("gold")) == 4

@@ -1,6 +1,7 @@
 """Dimensions, fact, merges."""
 
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from isobar.operators.merge import merge_dim_location, merge_fact, promote_fact
 from isobar.operators.quality import star_constraints
 from isobar.operators.star import build_dim_date, build_dim_location, coordinate_conflicts
 from isobar.plans import jobs
+from isobar.plans.hourly import QUESTIONS
 from isobar.sources.warehouse import FACT_TABLE, Warehouse
 from samples import rows, silver
 
@@ -300,3 +302,33 @@ def test_zero_degrees(spark, folder):
     warehouse = Warehouse(spark, folder("w"))
     jobs.load_staged(warehouse, gold(spark, zero))
     assert QUESTIONS["q2"](jobs.read_star(warehouse).feed_named()).count() == 0
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_a_week_opens_its_folders_only(spark, folder, grain):
+    """84 months of readings; a week's star reads the one or two months it lies in."""
+    data = [
+        (f"{year}-{month:02d}-{day:02d}T0{hour}:00:00", float(day), 50, 0.0, 1.0, "Boston")
+        for year in range(2020, 2027) for month in range(1, 13) for day in (1, 15, 28) for hour in (0, 5)
+    ]
+    warehouse = Warehouse(spark, folder("w"), grain)
+    jobs.load_full(warehouse, silver(spark, data))
+    assert len(jobs.read_star(warehouse).fact.inputFiles()) >= 84
+    for first, last, days, folders in (("2023-04-27", "2023-05-03", 2, 2), ("2023-05-10", "2023-05-16", 1, 1), ("2031-01-01", "2031-01-07", 0, 0)):
+        week = jobs.read_star(warehouse, first, last)
+        assert len({path.rsplit("/", 2)[1] for path in week.fact.inputFiles()}) == folders
+        assert week.fact.count() == 2 * days == week.fact.join(week.dates, "date_id").count()
+    assert rows(QUESTIONS["q4"](jobs.read_star(warehouse, "2023-01-01", "2023-01-31").feed_named()), "date_value", "hour") == [
+        (date(2023, 1, day), hour) for day in (1, 15, 28) for hour in (0, 5)
+    ]
+
+
+def test_constraints_read_every_table_once(spark, folder):
+    warehouse = Warehouse(spark, folder("w"))
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    found = star_constraints(jobs.read_star(warehouse))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 3 or plan.count("Scan parquet") == 3
+    empty = star_constraints(jobs.read_star(Warehouse(spark, folder("none"))))
+    assert {r.n_failures for r in empty.collect()} == {0} and empty.count() == 17
