@@ -6,11 +6,12 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from oracle import connect, difference
 
 import corpus_pipeline
-from isobar.llm import fm_index, registered
+from isobar.llm import fm_index, quality, registered
 from isobar.llm.common import documents
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -61,6 +62,11 @@ def test_pipeline_stage_by_stage(spark, docs):
     rows = {n: ([tuple(r) for r in a.collect()], [tuple(r) for r in b.collect()]) for n, (a, b) in kept.items()}
     for given, left in list(rows.values())[:3]:
         assert set(left) <= set(given) and 0 < len(left) <= len(given)
+    # Quality: documents scored below the threshold are gone and no others.
+    given, left = rows["quality classifier"]
+    forest = quality.learn(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    x = np.array([quality.statistics(r[names.index("text")]) for r in given])
+    assert sorted(left, key=repr) == sorted((r for r, p in zip(given, forest.probabilities(x)) if p >= quality.THRESHOLD), key=repr)
     benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     given, left = rows["benchmark decontamination"]
     left_ids = {r[0] for r in left}
@@ -72,11 +78,64 @@ def test_pipeline_stage_by_stage(spark, docs):
         assert (row[0] in left_ids) != holds
     given, left = rows["mixing sources to target weights"]
     times = Counter(r[0] for r in left)
-    assert set(times) <= {r[0] for r in given} and max(times.values()) <= 3
+    assert set(left) <= set(given) and max(times.values()) <= 3
+    # Each source's words come to its target, and the document at the cut is whole.
+    text, source = names.index("text"), names.index("source")
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[text] or ""))
+    held, taken, longest = Counter(), Counter(), Counter()
+    for r in given:
+        held[r[source]] += size(r)
+        longest[r[source]] = max(longest[r[source]], size(r))
+    for r in left:
+        taken[r[source]] += size(r)
+    targets = _targets(held)
+    assert all(0 <= taken[s] - round(targets[s]) < max(1, longest[s]) for s in held)
     given, written = rows["token-ID / binary output"]
     assert Counter(r[0] for r in written) == Counter(r[0] for r in given)
 
 
+def _targets(held):
+    """Shares of all words by weights 5, 2, 1 in the order of sources, what is above three times a source shared out again."""
+    order = sorted(held, key=lambda s: (s is None, (s or "").encode()))
+    weights = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(order)}
+    fixed, total = {}, float(sum(held.values()))
+    while True:
+        rest = total - sum(fixed.values())
+        free = [s for s in order if s not in fixed]
+        share = {s: rest * weights[s] / sum(weights[f] for f in free) for s in free}
+        above = [s for s in free if share[s] > 3 * held[s]]
+        if not above:
+            return fixed | share
+        fixed |= {s: 3.0 * held[s] for s in above}
+
+
+def test_pipeline_of_hot_groups(spark, hot):
+    """A third of the rows copies of one text, a third near copies, ids missing and repeated: every stage does its work on them."""
+    from pyspark.sql import functions as F
+
+    table = hot.select(
+        F.when(F.col("doc_id") % 10 != 0, F.col("doc_id") % 450).alias("doc_id"), "text", F.lit("en").alias("lang"), "source", F.lit(1).cast("long").alias("n_chars")
+    )
+    docs = table
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF_DIR).collect(), table.schema)
+        left[name] = docs.collect()
+    forest = quality.learn(table, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    good = [r for r in table.collect() if forest.probabilities(np.array([quality.statistics(r.text)]))[0] >= quality.THRESHOLD]
+    assert Counter(left["quality classifier"]) == Counter(good)
+    assert set(left["MinHash near-dedup"]) <= set(good)
+    # Of equal texts one id stays, beside rows without an id, which are never removed.
+    by_text = {}
+    for r in left["MinHash near-dedup"]:
+        if r.doc_id is not None:
+            by_text.setdefault(r.text, set()).add(r.doc_id)
+    assert all(len(ids) == 1 for ids in by_text.values())
+    assert Counter(r for r in left["MinHash near-dedup"] if r.doc_id is None) == Counter(r for r in good if r.doc_id is None)
+    tokens = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+    assert Counter(r.doc_id for r in tokens) == Counter(r.doc_id for r in left["mixing sources to target weights"])
+
+
 def test_pipeline_of_nothing_and_of_clashing_names(spark, odd, nothing):
     for table in (odd, nothing):
         docs = table
