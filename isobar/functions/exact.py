@@ -25,19 +25,14 @@ _LIMIT = 1e10
 _MILLION = 1e6
 _WHOLE_BELOW = 1e9  # at most 15 digits in millionths
 _LOW_BITS = 24
+_LARGEST = 4 * 10**17  # each of both parts of a total
+_HIGHEST = _LARGEST * 10**6 >> _LOW_BITS
 
 
 def _lit(number: str, kind: str) -> Column:
     return F.lit(number).cast(kind)
 
 
-def _held(value: Column, kind: str, what: str) -> Column:
-    """``value`` as ``kind``; one that does not fit fails the job instead of becoming NULL."""
-    cast = value.try_cast(kind)
-    message = F.concat(F.lit(f"{what}: "), value.cast("string"))
-    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
-
-
 def _millionths(value: Column) -> Column:
     """The value in millionths where it is a whole number of them, as a long."""
     scaled = F.rint(value * _MILLION)
@@ -69,15 +64,13 @@ def exact_total(value: Column, over: WindowSpec | None = None) -> Column:
     millionths, other = _millionths(value), _other(value)
     high = added(F.sum(F.shiftright(millionths, _LOW_BITS)))
     low = added(F.sum(millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
-    whole = F.coalesce(high, F.lit(0)).cast("decimal(20,0)") * _lit(str(1 << _LOW_BITS), "decimal(8,0)")
-    whole = (whole + F.coalesce(low, F.lit(0)).cast("decimal(20,0)")).cast("decimal(29,0)")
     rest, n_rest = added(F.sum(other)), added(F.count(other))
-    # An overflowed sum of decimals is NULL with ANSI mode off.
-    rest = F.when((n_rest > 0) & rest.isNull(), F.raise_error(F.lit("A total does not fit"))).otherwise(
-        F.coalesce(rest, _lit("0", "decimal(38,18)"))
-    )
-    total = _held(whole * _lit("0.000001", "decimal(6,6)"), _TOTAL, "A total does not fit") + _held(rest, _TOTAL, "A total does not fit")
-    return F.when(added(F.count(value)) > 0, _held(total, _TOTAL, "A total does not fit"))
+    # An overflowed sum of decimals is NULL with ANSI mode off. Below these limits no step that follows can overflow.
+    too_large = (F.abs(high) > _HIGHEST) | (F.abs(rest) > _lit(str(_LARGEST), "decimal(38,18)")) | ((n_rest > 0) & rest.isNull())
+    whole = F.coalesce(high, F.lit(0)).cast("decimal(20,0)") * _lit(str(1 << _LOW_BITS), "decimal(8,0)")
+    whole = (whole + F.coalesce(low, F.lit(0)).cast("decimal(20,0)")).cast("decimal(29,0)") * _lit("0.000001", "decimal(6,6)")
+    total = (whole.cast(_TOTAL) + F.coalesce(rest, _lit("0", "decimal(38,18)")).cast(_TOTAL)).cast(_TOTAL)
+    return F.when(F.coalesce(too_large, F.lit(False)), F.raise_error(F.lit("A total does not fit"))).when(added(F.count(value)) > 0, total)
 
 
 def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
@@ -94,7 +87,7 @@ def tenths(total: Column, count: Column | int) -> Column:
     Half a tenth of a row is added per row, and whole tenths counted: no quotient is rounded twice.
     """
     rows = F.lit(count) if isinstance(count, int) else count
-    total = _held(total, _TOTAL, "A total does not fit")
+    total = total.cast(_TOTAL)
     half, step = (rows * _lit("0.05", "decimal(3,2)")).cast(_COUNT), (rows * _lit("0.1", "decimal(3,2)")).cast(_COUNT)
     whole = F.call_function("div", F.abs(total) + half, F.nullif(step, F.lit(0).cast(_COUNT)))
     return F.when(total < 0, -whole).otherwise(whole) / F.lit(10.0)
