@@ -13,8 +13,8 @@ import gc
 import json
 import os
 import re
-from collections.abc import Sequence
-from itertools import chain
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain, islice
 
 import numpy as np
 
@@ -24,6 +24,18 @@ _UNSAFE = re.compile(f"[ \n](?![{_SEEN}])")
 _SAFE = re.compile(f" (?=[{_SEEN}])|(?=\n[{_SEEN}])")
 _LONGEST_PIECE = 48
 _BATCH = 200
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_WORD = re.compile(f"([ \n]?)([{_LETTERS}]+)([.,;:!?]?)")
+_NO_LETTER = re.compile(f"[^{_LETTERS}]")
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: visible Latin-1 as it is, the others from 256 on."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class PieceEncoder:
@@ -35,7 +47,7 @@ class PieceEncoder:
 
     def __init__(self, path: str, plain_specials: bool = False, most_pieces: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks in parallel
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
@@ -46,10 +58,21 @@ class PieceEncoder:
         line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cuts = self.cuts and len(line_break) == 1
         self.line_break = line_break[0] if self.cuts else None
+        self.words = self._words_only(path, pre_tokenizers)
         self.specials = [] if plain_specials else [
             t.content for t in self.tokenizer.get_added_tokens_decoder().values()
         ]
 
+    def _words_only(self, path: str, pre_tokenizers):
+        """The same tokenizer for words in byte letters with line breaks between; None where a word could hold an added token."""
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if not self.cuts or any(not _NO_LETTER.search(t.content) for t in added):
+            return None
+        words = type(self.tokenizer).from_file(path)
+        words.model._resize_cache(0)  # each word comes once
+        words.pre_tokenizer = pre_tokenizers.Split(chr(_BYTE_LETTERS[ord("\n")]), "isolated")
+        return words
+
     def _cuts_at_spaces(self, path: str) -> bool:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -74,18 +97,21 @@ class PieceEncoder:
             return self._whole(texts)
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.specials)]
         at_once = dict(zip(whole, self._whole([texts[i] for i in whole])))
-        cut = [[" "] if i in at_once else self._pieces(text) for i, text in enumerate(texts)]
-        new = set(chain.from_iterable(cut)).difference(self.memory)
-        if len(self.memory) + len(new) > self.most_pieces:
-            self.memory.clear()
-            new = set(chain.from_iterable(cut))
-        self._learn(list(new))
-        get = self.memory.__getitem__
-        ids = [at_once[i] if i in at_once else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
-        for piece in new:
-            if len(piece) > _LONGEST_PIECE:
-                del self.memory[piece]
-        return ids
+        cut = [[] if i in at_once else self._pieces(text) for i, text in enumerate(texts)]
+        pieces = list(chain.from_iterable(cut))
+        found = list(map(self.memory.get, pieces))
+        gaps = [at for at, ids in enumerate(found) if ids is None]
+        if gaps:
+            new = {pieces[at] for at in gaps}
+            if len(self.memory) + len(new) > self.most_pieces:
+                self.memory.clear()
+            learnt = self._learn(new)
+            for at in gaps:
+                found[at] = learnt[pieces[at]]
+        ends = list(accumulate(map(len, cut)))
+        return [
+            at_once[i] if i in at_once else b"".join(found[end - len(cut[i]) : end]) for i, end in enumerate(ends)
+        ]
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
@@ -94,27 +120,69 @@ class PieceEncoder:
         pieces[0] = " " + pieces[0]
         return pieces
 
-    def _learn(self, keys: list[str]) -> None:
-        """Put the ids of new pieces into the memory.
-
-        Words are joined by line breaks, each of which is one id of its own, and the ids are parted there;
-        pieces with other white space are encoded one by one.
+    def _learn(self, keys: set[str]) -> dict[str, bytes]:
+        """The ids of new pieces. The memory takes them too, but for long pieces and for words with a line break or a
+        mark, which are put together from the word's own ids.
         """
-        words = [k for k in keys if " " not in k and k.isprintable()]
+        words, built, rest = [], [], []
+        for key in keys:
+            if not self.words:
+                rest.append(key)
+            elif key.isalpha() and key.isascii():
+                words.append(key)
+            elif parts := _WORD.fullmatch(key):
+                before, letters, mark = parts.groups()
+                stem = " " + letters if before else letters  # the key of the same word without line break and mark
+                if stem == key:
+                    words.append(key)
+                else:
+                    built.append((key, stem, "\n" if before == "\n" else "", mark))
+            else:
+                rest.append(key)
+        known = {stem: self.memory[stem] for _, stem, _, _ in built if stem in self.memory}
+        words += {stem for _, stem, _, _ in built}.difference(known, words)
+        learnt = self._of_words(words) | self._of_others(rest)
+        self.memory.update((key, ids) for key, ids in learnt.items() if len(key) <= _LONGEST_PIECE)
+        learnt |= known
+        around = {text: self._whole([text])[0] for text in {text for part in built for text in part[2:]}}
+        for key, stem, before, mark in built:
+            learnt[key] = around[before] + learnt[stem] + around[mark]
+        return learnt
+
+    def _of_words(self, keys: list[str]) -> dict[str, bytes]:
+        spelt = [
+            "\n".join(k[1:] if k[0] == " " else " " + k for k in keys[i : i + _BATCH]).encode().decode("latin-1").translate(_BYTE_LETTERS)
+            for i in range(0, len(keys), _BATCH)
+        ]
+        ids: list[bytes] = []
+        for some in range(0, len(spelt), 64):
+            for encoded in self.words.encode_batch_fast(spelt[some : some + 64], add_special_tokens=False):
+                ids += self._parted(np.array(encoded.ids, self.dtype))
+        return dict(zip(keys, ids, strict=True))
+
+    def _parted(self, ids: np.ndarray) -> Iterator[bytes]:
+        """Ids between line breaks."""
         width = self.dtype.itemsize
-        groups = [words[i : i + _BATCH] for i in range(0, len(words), _BATCH)]
-        for some in range(0, len(groups), 64):
-            part = groups[some : some + 64]
-            for group, ids in zip(part, self._whole(["\n " + "\n ".join(g) for g in part])):
-                breaks = np.flatnonzero(np.frombuffer(ids, self.dtype) == self.line_break)
-                edges = [*(breaks * width).tolist(), len(ids)]
-                for key, start, end in zip(group, edges[:-1], edges[1:], strict=True):
-                    self.memory[key] = ids[start + width : end]
+        ends = [*(np.flatnonzero(ids == self.line_break) * width).tolist(), ids.nbytes]
+        whole = ids.tobytes()
+        return (whole[start:end] for start, end in zip([0, *(end + width for end in ends)], ends))
+
+    def _of_others(self, keys: list[str]) -> dict[str, bytes]:
+        """Pieces without other white space are joined by line breaks, each of which is one id of its own, and the ids are parted
+        there; the rest are encoded one by one.
+        """
+        joined = [k for k in keys if " " not in k and k.isprintable()]
+        texts = ["\n " + "\n ".join(joined[i : i + _BATCH]) for i in range(0, len(joined), _BATCH)]
+        ids: list[bytes] = []
+        for some in range(0, len(texts), 64):
+            for encoded in self._whole(texts[some : some + 64]):
+                ids += islice(self._parted(np.frombuffer(encoded, self.dtype)), 1, None)  # nothing before the first line break
+        learnt = dict(zip(joined, ids, strict=True))
         rest = [k for k in keys if " " in k or not k.isprintable()]
         for some in range(0, len(rest), 20_000):
             part = rest[some : some + 20_000]
-            texts = [k[1:] if k[0] == " " else k if k[0] == "\n" else " " + k for k in part]
-            self.memory.update(zip(part, self._whole(texts)))
+            learnt.update(zip(part, self._whole([k[1:] if k[0] == " " else k if k[0] == "\n" else " " + k for k in part])))
+        return learnt
 
 
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}

@@ -26,7 +26,7 @@ from isobar.llm.pieces import encoder
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 256
-_TEXTS_AT_ONCE = 2_000
+_TEXTS_AT_ONCE = 500
 
 
 def _opened(folder: str) -> tuple[pafs.FileSystem, str]:

@@ -36,6 +36,33 @@ def test_pieces_give_the_ids_of_whole_texts(plain, most_pieces):
     assert encoder.cuts
 
 
+@pytest.mark.parametrize("most_pieces", [20, 100_000])
+def test_words_with_marks_and_letters_of_two_bytes(most_pieces):
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0xC0, 0x250)] + list("abcXYZ")  # with the signs × and ÷ between the letters
+    marks = ["", "", "", ".", ",", ";", ":", "!", "?", ".,", "'", "1", "="]
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 5))) + rng.choice(marks) for _ in range(300)] + ["Z" * 60, "Z" * 60 + "."]
+    texts = [" ".join(["", "\n"][rng.random() < 0.1] + rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(400)]
+    encoder = PieceEncoder(PATH, most_pieces=most_pieces)
+    assert encoder.words is not None
+    for _ in range(2):
+        assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)] == _library(texts)
+    assert len(encoder.memory) <= most_pieces + len(words) * 2
+
+
+def test_added_token_of_letters(tmp_path):
+    library = Tokenizer.from_file(PATH)
+    library.add_tokens(["abc"])
+    path = str(tmp_path / "added.json")
+    library.save(path)
+    encoder = PieceEncoder(path, plain_specials=True)
+    texts = ["xabcx abc. zabc", "abc", "no other"]
+    library.encode_special_tokens = True
+    assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)] == [
+        e.ids for e in library.encode_batch(texts, add_special_tokens=False)
+    ]
+
+
 def test_other_tokenizers_get_whole_texts():
     encoder = PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
