@@ -15,6 +15,7 @@ from isobar.operators.star import (
 )
 from isobar.plans.marts import daily_summary, mart_tests, staging_views, time_spine
 from isobar.sources.bronze import land_bronze, read_bronze
+from isobar.sources.bundles import by_date
 from isobar.sources.gold import read_gold, write_gold
 from isobar.sources.layout import read_parquet
 from isobar.sources.silver import read_silver, write_silver
@@ -28,17 +29,18 @@ def ingest(
     run_dates: Iterable[str] | None = None,
     locations: Iterable[str] | None = None,
     source: str | None = None,
+    grain: str | None = None,
 ) -> int:
     """Bronze to silver in one pass over the documents, without a shuffle.
 
-    A document with findings fails the job before anything is committed; only then are the documents read again, to say which ones
+    ``grain`` is how a new silver layer is laid out. A document with findings fails the job before anything is committed; only then are the documents read again, to say which ones
     and why. Hourly arrays besides the four measures are kept in one map column.
     """
     dates = None if run_dates is None else list(run_dates)
     places = None if locations is None else list(locations)
     raw = read_bronze(spark, bronze, dates, places, source)
     try:
-        return write_silver(flatten_hourly(raw, others=True), silver, align=False)
+        return write_silver(flatten_hourly(raw, others=True), silver, align=False, grain=grain)
     except ValueError:
         raise
     except Exception:
@@ -53,12 +55,15 @@ def curate_job(
     run_dates: Iterable[str] | None = None,
     locations: Iterable[str] | None = None,
     source: str | None = None,
+    grain: str | None = None,
 ) -> int:
-    """Silver to gold for the given dates, locations and source.
+    """Silver to gold for the given dates, locations and source; ``grain`` is how a new gold layer is laid out.
 
-    Silver files belong to one gold partition each, so nothing has to be shuffled.
+    Silver files belong to one gold partition each, so nothing has to be shuffled, unless many locations share a file
+    of silver and gold has a folder for each.
     """
-    return write_gold(read_silver(spark, silver, run_dates, locations, source), gold, align=False)
+    align = by_date(spark, silver) and not by_date(spark, gold, grain)
+    return write_gold(read_silver(spark, silver, run_dates, locations, source), gold, align=align, grain=grain)
 
 
 def load_full_from(
@@ -152,11 +157,15 @@ def backfill(
     start: str,
     end: str,
     source: str | None = None,
+    grain: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Re-run a span of dates as one job per layer; rows are replaced, not repeated."""
+    """Re-run a span of dates as one job per layer; rows are replaced, not repeated.
+
+    ``grain`` is how new layers are laid out.
+    """
     dates = run_dates_between(start, end)
-    ingest(spark, bronze, silver, dates, source=source)
-    curate_job(spark, silver, gold, dates, source=source)
+    ingest(spark, bronze, silver, dates, source=source, grain=grain)
+    curate_job(spark, silver, gold, dates, source=source, grain=grain)
     load_incremental(warehouse, gold, dates)
     return build_marts(warehouse)
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from isobar.schemas import BRONZE, BRONZE_PARTITIONS, KNOWN_LOCATIONS, LANDED, VIOLATION
 from isobar.session import prepare
-from isobar.sources.layout import date_folders, only, partition_from_path, require_path
+from isobar.sources import bundles, snapshots
+from isobar.sources.layout import date_folders, only, partition_from_path, read_parquet, require_path
 
 _SHOWN = 20
 
@@ -27,12 +28,19 @@ def read_bronze(
     """Raw documents with their partition values and file path.
 
     ``land_bronze`` writes one document per line; ``whole_files`` is for documents
-    put there by something else that spread over several lines.
+    put there by something else that spread over several lines. In a layer by date the file path ends in the location.
     """
     prepare(spark)
     require_path(spark, root, "bronze")
     root = root.rstrip("/")
     dates = None if run_dates is None else list(run_dates)
+    if snapshots.has_snapshots(spark, root):
+        paths = bundles.paths(spark, root, BRONZE_PARTITIONS, dates, source)
+        if not paths:
+            return spark.createDataFrame([], T.StructType([*BRONZE.fields, VIOLATION["file_path"]]))
+        documents = read_parquet(spark, root, BRONZE, paths)
+        path = F.concat("_metadata.file_path", F.lit("#location="), F.coalesce("location", F.lit("")))
+        return only(documents.select("value", *BRONZE_PARTITIONS, path.alias("file_path")), dates, locations, source)
     paths = [root] if dates is None else date_folders(spark, root, dates, by_source=True)
     if not paths:
         return spark.createDataFrame([], T.StructType([*BRONZE.fields, VIOLATION["file_path"]]))
@@ -48,9 +56,13 @@ def known_locations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "location string, latitude double, longitude double")
 
 
-def landed_locations(spark: SparkSession, landed: str, run_dates: Iterable[str] | None = None) -> DataFrame:
-    """Locations with landed files, from the file names: no document is read."""
+def landed_locations(
+    spark: SparkSession, landed: str, run_dates: Iterable[str] | None = None, bundled: bool = False
+) -> DataFrame:
+    """Locations with landed files, from the file names, or the bundles' location column: no document is read."""
     require_path(spark, landed, "landed")
+    if bundled:
+        return read_landed(spark, landed, run_dates, bundled=True).select("location").distinct()
     folders = landed if run_dates is None else date_folders(spark, landed, run_dates)
     if not folders:
         return spark.createDataFrame([], "location string")
@@ -86,12 +98,15 @@ def with_load_metadata(landed: DataFrame, source: str) -> DataFrame:
 
 
 def read_landed(
-    spark: SparkSession, landed: str, run_dates: Iterable[str] | None = None, locations: Iterable[str] | None = None
+    spark: SparkSession, landed: str, run_dates: Iterable[str] | None = None, locations: Iterable[str] | None = None,
+    bundled: bool = False,
 ) -> DataFrame:
     require_path(spark, landed, "landed")
     folders = [landed] if run_dates is None else date_folders(spark, landed, run_dates)
     if not folders:
         return spark.createDataFrame([], LANDED)
+    if bundled:
+        return only(read_parquet(spark, landed, LANDED, folders), None, locations)
     rows = spark.read.schema(LANDED).option("basePath", landed).text(folders, wholetext=True)
     return only(rows, None, locations)
 
@@ -104,24 +119,30 @@ def land_bronze(
     lookup: DataFrame | None = None,
     run_dates: Iterable[str] | None = None,
     locations: Iterable[str] | None = None,
+    grain: str | None = None,
+    bundled: bool = False,
 ) -> None:
     """Load landed JSON files, ``run_date=/location=`` folders, into bronze.
 
-    ``run_dates`` and ``locations`` choose among them; only the folders of these dates are listed, read and replaced.
+    ``run_dates`` and ``locations`` choose among them; only the folders of these dates are listed, read and replaced. ``bundled`` says
+    that ``run_date=`` folders hold Parquet files of many documents (``value``, ``location``) instead. ``grain``, ``location`` or ``date``, is
+    how a new bronze layer is laid out (``sources/bundles.py``); an existing one keeps its layout.
     """
     lookup = known_locations(spark) if lookup is None else lookup
     dates = None if run_dates is None else list(run_dates)
     places = None if locations is None else list(locations)
-    wanted = only(landed_locations(spark, landed, dates), None, places)
+    wanted = only(landed_locations(spark, landed, dates, bundled), None, places)
     missing = unknown_locations(wanted, lookup)
     unknown = [row["location"] for row in missing.limit(_SHOWN).collect()]
     if unknown:
         raise LookupError(f"No coordinates known for locations: {', '.join(map(str, unknown))}")
+    documents = with_load_metadata(read_landed(spark, landed, dates, places, bundled), source).select("value", *BRONZE_PARTITIONS)
+    if bundles.by_date(spark, root, grain):
+        bundles.put(documents, root, BRONZE, BRONZE_PARTITIONS, align=False)
+        return
     # One file per document comes in, so tasks already write one file per partition.
     (
-        with_load_metadata(read_landed(spark, landed, dates, places), source)
-        .select("value", *BRONZE_PARTITIONS)
-        .write.mode("overwrite")
+        documents.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BRONZE_PARTITIONS)
         .text(root)

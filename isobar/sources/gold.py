@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators.curate import curate
 from isobar.schemas import GOLD, GOLD_PARTITIONS
-from isobar.sources import snapshots
+from isobar.sources import bundles, snapshots
 from isobar.sources.layout import (
     aligned, date_folders, drop_scratch, only, partition_from_path, path_exists, read_parquet, require_path,
 )
@@ -21,14 +21,15 @@ def read_gold(spark: SparkSession, root: str, run_dates: Iterable[str] | None =
     dates = None if run_dates is None else list(run_dates)
     if snapshots.has_snapshots(spark, root):
         wanted = None if dates is None else F.col("run_date").isin([str(day) for day in dates]) if dates else F.lit(False)
-        return only(snapshots.read(spark, root, GOLD, GOLD_PARTITIONS, wanted), dates)
+        return only(snapshots.read(spark, root, GOLD, snapshots.keys_of(spark, root), wanted), dates)
     folders = None if dates is None else date_folders(spark, root, dates)
     return only(read_parquet(spark, root, GOLD, folders), dates)
 
 
 def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:
-    """The same rows, location and run date cut out of the file path instead."""
+    """The same rows, location and run date cut out of the file path instead; the layer has to be laid out by location."""
     require_path(spark, root, "gold")
+    bundles.by_date(spark, root, "location")
     data = read_gold(spark, root)
     path = F.col("_metadata.file_path")
     measured = [name for name in GOLD.names if name not in GOLD_PARTITIONS]
@@ -39,12 +40,13 @@ def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def write_gold(silver: DataFrame, root: str, align: bool = True) -> int:
+def write_gold(silver: DataFrame, root: str, align: bool = True, grain: str | None = None) -> int:
     """Curate silver rows and replace their gold partitions.
 
     Rows are counted on both sides of the projection by the one pass that writes them, as a version that nobody reads; only if the
     counts agree is it published, in one step for all its partitions. Two sources for one run date and location would meet in one partition and double its rows: that fails
-    before anything is written; the check reads partition values only.
+    before anything is written; the check reads partition values only. ``grain``, ``location`` or ``date``, is how a new layer is laid
+    out (``sources/bundles.py``); an existing one keeps its layout.
     """
     mixed = silver.groupBy(*GOLD_PARTITIONS).agg(F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b")
     found = mixed.limit(1).collect()
@@ -53,18 +55,24 @@ def write_gold(silver: DataFrame, root: str, align: bool = True) -> int:
         raise ValueError(f"Sources {row['a']} and {row['b']} meet in {row['run_date']}, {row['location']}: name one source")
     seen = Observation()
     curated = curate(silver.observe(seen, F.count(F.lit(1)).alias("rows")))
-    ready = aligned(curated, GOLD_PARTITIONS) if align else curated
+    by_date = bundles.by_date(silver.sparkSession, root, grain)
     spark, fresh = silver.sparkSession, not path_exists(silver.sparkSession, root)
     unpublished = root
     try:
-        written = snapshots.write_version(ready, root, GOLD_PARTITIONS)
+        if by_date:
+            written = bundles.write_version(curated, root, GOLD_PARTITIONS, align)
+        else:
+            written = snapshots.write_version(aligned(curated, GOLD_PARTITIONS) if align else curated, root, GOLD_PARTITIONS)
         unpublished = root if fresh else f"{root.rstrip('/')}/{written.name}"
         before = seen.get["rows"]
         if before == 0:
             raise ValueError("There are no silver rows to curate")
         if written.rows != before:
             raise ValueError(f"Row counts differ: silver {before}, gold {written.rows}")
-        snapshots.publish(spark, root, written.name, GOLD_PARTITIONS)
+        if by_date:
+            bundles.publish(spark, root, written.name, GOLD, GOLD_PARTITIONS)
+        else:
+            snapshots.publish(spark, root, written.name, GOLD_PARTITIONS)
     except Exception:
         if fresh or unpublished != root:
             drop_scratch(spark, unpublished)
