@@ -9,7 +9,7 @@ all rows of one frequent value to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -141,14 +141,28 @@ def _over_history(star: Star, value: str, n: int) -> DataFrame:
     return with_earlier(rows, "location_id", ["hour", "_decade"], ["date_id"], value, n)
 
 
+def _by_days(star: Star, value: str) -> DataFrame:
+    """Named readings in ranges of places and days.
+
+    A range holds a place's day whole, as a window over the day needs it, and the ranges are in the order of the result: the rows are
+    shuffled once, before the window, and not again for the sort.
+    """
+    return star.name(_readings(star, value)).repartitionByRange(*map(_first, _PLACE))
+
+
+def _day(*order: Column | str) -> WindowSpec:
+    return W.partitionBy(*_PLACE, *_KEYS).orderBy(*order)
+
+
 def _over_day(star: Star, value: str, n: int) -> DataFrame:
-    day = W.partitionBy(*_KEYS).orderBy("hour")
-    lags = {f"before_{k}": F.lag(value, k).over(day) for k in range(1, n + 1)}
-    return _readings(star, value).withColumns(lags)
+    lags = {f"before_{k}": F.lag(value, k).over(_day("hour")) for k in range(1, n + 1)}
+    return _by_days(star, value).withColumns(lags)
 
 
 def _by_place(star: Star, rows: DataFrame, *columns: Column | str) -> DataFrame:
-    return star.name(rows).select(*_PLACE, "hour", *columns).orderBy(*map(_first, _PLACE), _first("hour"))
+    """Rows by place, day and hour. Columns are worked out after the sort, which evaluates what lies below it twice."""
+    named = rows if set(_PLACE) <= set(rows.columns) else star.name(rows)
+    return named.orderBy(*map(_first, _PLACE), _first("hour")).select(*_PLACE, "hour", *columns)
 
 
 def _change(star: Star, rows: DataFrame) -> DataFrame:
@@ -187,9 +201,8 @@ def q10_daily(star: Star) -> DataFrame:
 
 def q11(star: Star) -> DataFrame:
     """Hours of each day ranked from the hottest; a missing temperature ranks first."""
-    day = W.partitionBy(*_KEYS).orderBy(_highest(_TEMP))
-    ranked = _readings(star, _TEMP).withColumn("heat_rank", F.rank().over(day))
-    return star.name(ranked).select(*_PLACE, "hour", _TEMP, "heat_rank").orderBy(
+    ranked = _by_days(star, _TEMP).withColumn("heat_rank", F.rank().over(_day(_highest(_TEMP))))
+    return ranked.select(*_PLACE, "hour", _TEMP, "heat_rank").orderBy(
         *map(_first, _PLACE), _first("heat_rank"), _first("hour")
     )
 
@@ -213,9 +226,8 @@ def q12(star: Star) -> DataFrame:
 
 def q12_daily(star: Star) -> DataFrame:
     """Running rain total within each day."""
-    day = W.partitionBy(*_KEYS).orderBy("hour").rangeBetween(W.unboundedPreceding, W.currentRow)
-    total = exact_sum(F.col("precipitation"), day)
-    rows = _readings(star, "precipitation").withColumn("cumulative_precip", total)
+    day = _day("hour").rangeBetween(W.unboundedPreceding, W.currentRow)
+    rows = _by_days(star, "precipitation").withColumn("cumulative_precip", exact_sum(F.col("precipitation"), day))
     return _by_place(star, rows, "precipitation", "cumulative_precip")
 
 

@@ -241,3 +241,26 @@ def test_history_needs_one_exchange_and_no_window_over_rows(spark, tmp_path):
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("Window [") == 1 and "collect_list(_tail" in final[final.index("Window [") :][:200]
     assert "ReusedExchange" in final or final.count("FileScan") <= 2
+
+
+@pytest.fixture
+def stored(spark, star, tmp_path):
+    for name in ("fact", "dates", "locations"):
+        getattr(star, name).write.parquet(str(tmp_path / name))
+    return Star(*[spark.read.parquet(str(tmp_path / name)) for name in ("fact", "dates", "locations")])
+
+
+@pytest.mark.parametrize("name", ["q9_daily", "q10_daily", "q11", "q12_daily"])
+def test_daily_windows_and_the_sort_share_one_shuffle(stored, name):
+    """Before, rows were shuffled for the window and again for the sort."""
+    plan = QUESTIONS[name](stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", ["q9", "q10", "q10_daily"])
+def test_values_are_worked_out_after_the_sort(stored, name):
+    """Before, the pass that samples the sort's ranges worked them out as well."""
+    plan = QUESTIONS[name](stored)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan[: plan.index("Exchange rangepartitioning")], plan[plan.index("Exchange rangepartitioning") :]
+    column = "temp_change" if name == "q9" else "moving_avg_3hr"
+    assert column in above and column not in below
