@@ -68,12 +68,13 @@ def mirror(df: DataFrame, root: str, check_exists: bool = False, grain: str | No
 
     ``check_exists`` leaves partitions alone that the second root already has. Their names come from a listing of the
     dates in ``df``; no file of the second root is opened. Of a root by date the columns that name partitions are read.
+    A partition without a name counts as missing.
     """
     spark, by_date = df.sparkSession, bundles.by_date(df.sparkSession, root, grain)
     if check_exists and by_date and snapshots.has_snapshots(spark, root):
         dates = [row["run_date"] for row in df.select("run_date").distinct().collect()]  # bounded by the calendar
-        held = read_silver(spark, root, None if None in dates else dates)
-        df = bundles.without(df, bundles.present(held, SILVER_PARTITIONS), SILVER_PARTITIONS)
+        held = bundles.present(read_silver(spark, root, [day for day in dates if day is not None]), SILVER_PARTITIONS)
+        df = df.join(held, list(SILVER_PARTITIONS), "left_anti")
     elif check_exists and path_exists(spark, root):
         dates = [row["run_date"] for row in df.select("run_date").distinct().collect()]  # bounded by the calendar
         folders = date_folders(spark, root, dates, by_source=True)
