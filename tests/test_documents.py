@@ -131,3 +131,9 @@ def test_humidity_that_is_not_whole_is_a_finding(spark):
     times = ("2026-01-25T12:00", "2026-01-25T13:00")
     whole, half = (document(hours(*times, relative_humidity_2m=values)) for values in ([50.0, None], [50.5, 51]))
     assert found(spark, whole, half) == [{}, {"measure_types": (1, "1 values are not numbers")}]
+
+
+def test_checks_parse_each_document_once(spark):
+    """Before, a condition that the optimizer inferred from the inlined findings stood for 189 parses of each document."""
+    violations = check_bronze(raw(spark, COMPLETE)).where("check_name = 'duplicates'")
+    assert violations._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
