@@ -74,7 +74,14 @@ def exact_total(value: Column, over: WindowSpec | None = None) -> Column:
 
 
 def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
-    return exact_total(value, over).cast("double")
+    total = exact_total(value, over).cast("double")
+    if over is not None:
+        return total
+    # Below 2**53 millionths, a double holds them as they are, and one division rounds as the decimal's cast does.
+    millionths = _millionths(value)
+    high, low = F.sum(F.shiftright(millionths, _LOW_BITS)), F.sum(millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    few = (F.count(_other(value)) == 0) & (F.abs(high) < F.lit(1 << 28)) & (low < F.lit(1 << 52))
+    return F.when(few, (high * F.lit(1 << _LOW_BITS) + low).cast("double") / _MILLION).otherwise(total)
 
 
 def exact_avg(value: Column) -> Column:
