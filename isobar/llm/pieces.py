@@ -2,7 +2,7 @@
 
 Byte-level BPE cuts a text by a fixed pattern and encodes the cuts independently. A single space or line
 break before a visible character always starts a new cut, so texts may be cut there and the
-pieces' ids put together. Pieces seen before come from a bounded memory; new ones go to
+pieces' ids put together. Each distinct piece of a batch is looked up once, in a bounded memory; new ones go to
 the library many at a time.
 """
 
@@ -14,19 +14,23 @@ import json
 import os
 import re
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, chain, islice
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Visible characters that no pattern counts as white space.
 _SEEN = "!-~¡-ɏ"
-_UNSAFE = re.compile(f"[ \n](?![{_SEEN}])")
+_UNSAFE = f"[ \n](?:[^{_SEEN}]|\\z)|\\x00"
 _SAFE = re.compile(f" (?=[{_SEEN}])|(?=\n[{_SEEN}])")
 _LONGEST_PIECE = 48
 _BATCH = 200
+_PIECES = pa.list_(pa.string())
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _WORD = re.compile(f"([ \n]?)([{_LETTERS}]+)([.,;:!?]?)")
 _NO_LETTER = re.compile(f"[^{_LETTERS}]")
+_MARKED = f"([{_LETTERS}])([.,;:!?])"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -59,14 +63,13 @@ class PieceEncoder:
         self.cuts = self.cuts and len(line_break) == 1
         self.line_break = line_break[0] if self.cuts else None
         self.words = self._words_only(path, pre_tokenizers)
-        self.specials = [] if plain_specials else [
-            t.content for t in self.tokenizer.get_added_tokens_decoder().values()
-        ]
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = [] if plain_specials else added
 
     def _words_only(self, path: str, pre_tokenizers):
-        """The same tokenizer for words in byte letters with line breaks between; None where a word could hold an added token."""
+        """The same tokenizer for words in byte letters with line breaks between; None where a word, or one with a mark after it, could hold an added token."""
         added = self.tokenizer.get_added_tokens_decoder().values()
-        if not self.cuts or any(not _NO_LETTER.search(t.content) for t in added):
+        if not self.cuts or any(not _NO_LETTER.search(t.content) or re.search(_MARKED, t.content) for t in added):
             return None
         words = type(self.tokenizer).from_file(path)
         words.model._resize_cache(0)  # each word comes once
@@ -97,8 +100,27 @@ class PieceEncoder:
             return self._whole(texts)
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.specials)]
         at_once = dict(zip(whole, self._whole([texts[i] for i in whole])))
-        cut = [[] if i in at_once else self._pieces(text) for i, text in enumerate(texts)]
-        pieces = list(chain.from_iterable(cut))
+        rest = [i for i in range(len(texts)) if i not in at_once]
+        unsafe = pc.match_substring_regex(pa.array([texts[i] for i in rest], pa.string()), _UNSAFE).to_pylist()
+        odd = [i for i, is_unsafe in zip(rest, unsafe) if is_unsafe]
+        simple = [i for i, is_unsafe in zip(rest, unsafe) if not is_unsafe]
+        if odd:
+            at_once.update(zip(odd, self._joined(pa.array([self._pieces(texts[i]) for i in odd], _PIECES))))
+        if simple:
+            at_once.update(zip(simple, self._joined(self._simple_pieces([texts[i] for i in simple]))))
+        return [at_once[i] for i in range(len(texts))]
+
+    def _joined(self, cut: pa.ListArray) -> Iterator[bytes]:
+        """The ids of each text's pieces, put together. Only distinct pieces are looked up."""
+        coded = cut.values.dictionary_encode()
+        ids = pa.array(self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(coded.indices)
+        _, offsets, joined = ids.buffers()
+        ends = np.frombuffer(offsets, np.int32, len(ids) + 1)[cut.offsets.to_numpy()].tolist()
+        joined = joined.to_pybytes() if joined else b""
+        return (joined[start:end] for start, end in zip(ends, ends[1:]))
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
         found = list(map(self.memory.get, pieces))
         gaps = [at for at, ids in enumerate(found) if ids is None]
         if gaps:
@@ -108,18 +130,25 @@ class PieceEncoder:
             learnt = self._learn(new)
             for at in gaps:
                 found[at] = learnt[pieces[at]]
-        ends = list(accumulate(map(len, cut)))
-        return [
-            at_once[i] if i in at_once else b"".join(found[end - len(cut[i]) : end]) for i, end in enumerate(ends)
-        ]
+        return found
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
         """Keys of a text's pieces: " x" for the first one x, "x" for a later " x", "\nx" for itself."""
-        pieces = _SAFE.split(text) if _UNSAFE.search(text) else text.replace("\n", " \n").split(" ")
+        pieces = _SAFE.split(text)
         pieces[0] = " " + pieces[0]
         return pieces
 
+    def _simple_pieces(self, texts: list[str]) -> pa.ListArray:
+        """The same of texts whose every space and line break is before a visible character; a line break is a piece of its own, "\n",
+        and so is the mark that ends a word.
+        """
+        parted = [" " + text.replace(" ", "\0").replace("\n", "\0\n\0 ") for text in texts]
+        keys = pa.array(parted, pa.string())
+        if self.words:
+            keys = pc.replace_substring_regex(keys, _MARKED + r"(\x00|\z)", "\\1\0 \\2\\3")
+        return pc.split_pattern(keys, "\0")
+
     def _learn(self, keys: set[str]) -> dict[str, bytes]:
         """The ids of new pieces. The memory takes them too, but for long pieces and for words with a line break or a
         mark, which are put together from the word's own ids.

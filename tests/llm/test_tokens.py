@@ -50,6 +50,28 @@ def test_words_with_marks_and_letters_of_two_bytes(most_pieces):
     assert len(encoder.memory) <= most_pieces + len(words) * 2
 
 
+def test_words_are_remembered_without_marks_and_line_breaks():
+    """Before, each of "word", "word." and "\\nword" was a piece to learn and to remember."""
+    encoder = PieceEncoder(PATH)
+    texts = ["word word. word, 's. it's; é! x1. ..\nword\nword?", "word", ""]
+    assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)] == _library(texts)
+    assert {key for key in encoder.memory if "word" in key} == {"word", " word"}
+    assert encoder.encode([]) == []
+
+
+def test_added_token_of_letters_and_a_mark(tmp_path):
+    library = Tokenizer.from_file(PATH)
+    library.add_tokens(["b."])
+    path = str(tmp_path / "added.json")
+    library.save(path)
+    encoder = PieceEncoder(path, plain_specials=True)
+    texts = ["ab. b. c. b.d", "b."]
+    library.encode_special_tokens = True
+    assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)] == [
+        e.ids for e in library.encode_batch(texts, add_special_tokens=False)
+    ]
+
+
 def test_added_token_of_letters(tmp_path):
     library = Tokenizer.from_file(PATH)
     library.add_tokens(["abc"])
