@@ -11,9 +11,12 @@ from isobar.operators.curate import curate
 from isobar.schemas import GOLD, GOLD_PARTITIONS
 from isobar.sources import bundles, snapshots
 from isobar.sources.layout import (
-    aligned, date_folders, drop_scratch, only, partition_from_path, path_exists, read_parquet, require_path,
+    aligned, date_folders, drop_scratch, only, partition_from_path, path_exists, read_parquet, require_path, uncoalesced,
 )
 
+# A folder costs some milliseconds, however few rows it takes.
+_FOLDERS_A_TASK = 250
+
 
 def read_gold(spark: SparkSession, root: str, run_dates: Iterable[str] | None = None) -> DataFrame:
     """Gold rows in staging column order; ``run_dates`` prunes folders."""
@@ -48,11 +51,12 @@ def write_gold(silver: DataFrame, root: str, align: bool = True, grain: str | No
     before anything is written; the check reads partition values only. ``grain``, ``location`` or ``date``, is how a new layer is laid
     out (``sources/bundles.py``); an existing one keeps its layout.
     """
-    mixed = silver.groupBy(*GOLD_PARTITIONS).agg(F.min("source").alias("a"), F.max("source").alias("b")).where("a <> b")
-    found = mixed.limit(1).collect()
-    if found:
-        row = found[0]
+    sources = silver.groupBy(*GOLD_PARTITIONS).agg(F.min("source").alias("a"), F.max("source").alias("b"))
+    mixed = F.when(F.col("a") != F.col("b"), F.struct(*GOLD_PARTITIONS, "a", "b"))
+    found = sources.agg(F.count(F.lit(1)).alias("n"), F.max(mixed).alias("mixed")).first()
+    if row := found["mixed"]:
         raise ValueError(f"Sources {row['a']} and {row['b']} meet in {row['run_date']}, {row['location']}: name one source")
+    many = found["n"] > 2 * _FOLDERS_A_TASK
     seen = Observation()
     curated = curate(silver.observe(seen, F.count(F.lit(1)).alias("rows")))
     by_date = bundles.by_date(silver.sparkSession, root, grain)
@@ -62,7 +66,10 @@ def write_gold(silver: DataFrame, root: str, align: bool = True, grain: str | No
         if by_date:
             written = bundles.write_version(curated, root, GOLD_PARTITIONS, align)
         else:
-            written = snapshots.write_version(aligned(curated, GOLD_PARTITIONS) if align else curated, root, GOLD_PARTITIONS)
+            tasks = -(-found["n"] // _FOLDERS_A_TASK) if many else None
+            with uncoalesced(spark, many):
+                rows = aligned(curated, GOLD_PARTITIONS, tasks) if align else curated
+                written = snapshots.write_version(rows, root, GOLD_PARTITIONS)
         unpublished = root if fresh else f"{root.rstrip('/')}/{written.name}"
         before = seen.get["rows"]
         if before == 0:

@@ -25,6 +25,8 @@ from isobar.sources.layout import (
 )
 
 _SNAPSHOTS = "_snapshots"
+# Tasks put their files in place as they end, not the driver one after the other: nobody reads a version before it is published.
+_BY_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
 _COMMIT = re.compile(r"(\d{10})-([0-9a-f]{12})")
 #: States that readers may still be at: what none of the last ones names is deleted.
 KEPT = 2
@@ -78,7 +80,7 @@ def write_version(df: DataFrame, root: str, keys: Sequence[str]) -> Version:
     """Write rows below ``root`` where no reader sees them yet."""
     name = f"version={uuid.uuid4().hex[:12]}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*keys).parquet(f"{root.rstrip('/')}/{name}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option(*_BY_TASKS).partitionBy(*keys).parquet(f"{root.rstrip('/')}/{name}")
     return Version(name, seen.get["rows"])
 
 

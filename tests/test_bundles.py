@@ -47,6 +47,18 @@ def test_files_do_not_grow_with_the_locations(spark, folder):
     assert rows(read_gold(spark, folder("gold"), [DAY]).select("location")) == sorted([(n,) for n in names], key=repr)
 
 
+def test_many_folders_are_written_by_many_tasks(spark, folder):
+    """Before, folders so small that they fit in one task by their bytes were all written by that one."""
+    found = [(f"place {i}", float(i)) for i in range(520)]
+    staged = silver(spark, [(f"{DAY}T12:00:00", t, 50, 0.0, 1.0, place) for place, t in found]).repartition(4)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    assert write_gold(staged, folder("gold")) == 520
+    assert len({name.split("-")[1] for name in files(folder("gold")) if name.startswith("part-")}) > 2
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == kept
+    by_path = read_gold_by_path(spark, folder("gold")).select("location", "temp_celsius")
+    assert rows(by_path) == sorted(found, key=repr)
+
+
 def test_only_given_partitions_are_replaced(spark, folder):
     write_silver(cells(spark, (DAY, "a", 1.0), (DAY, "b", 2.0), (DAY, None, 3.0), (NEXT, "a", 4.0), (NEXT, "", 5.0)), folder("s"), grain="date")
     write_silver(cells(spark, (DAY, "a", 6.0), (NEXT, None, 7.0), ("2026-01-27", "c", 8.0)), folder("s"))
