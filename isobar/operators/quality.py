@@ -77,29 +77,42 @@ def star_constraints(star: Star) -> DataFrame:
 
     Plain Parquet enforces nothing, so keys, uniqueness, required columns and references are checked after a load. Every table is
     read once: its rows become (constrained column, value) pairs, those of the dimensions' keys once more as a mark
-    that the fact may refer to them, and one grouping counts all pairs, map-side first.
+    that the fact may refer to them, and one grouping counts all pairs, map-side first. Whole numbers, all that the fact has, stay numbers;
+    only the dimensions' other values are texts.
     """
-    tables = {"dim_date": star.dates, "dim_location": star.locations, _FACT: star.fact}
+    dimensions = {"dim_date": star.dates, "dim_location": star.locations}
+    numbers = {"date_id", "location_id", "fact_id"}
 
     def pairs(table: str) -> DataFrame:
         cells = []
         for column in dict.fromkeys((*_UNIQUE[table], *_REQUIRED[table])):
-            compared = column in _UNIQUE[table] or table == _FACT and column in _REFERENCES.values()
-            value = F.col(column).cast("string") if compared else F.when(F.col(column).isNotNull(), F.lit(""))
-            cells.append((f"{table}.{column}", value, 1, 0))
-        if table in _REFERENCES:
-            column = _REFERENCES[table]
-            cells.append((f"{_FACT}.{column}", F.col(column).cast("string"), 0, 1))
+            compared, seen = F.col(column), F.when(F.col(column).isNotNull(), 0)
+            number = compared if column in numbers else seen if column not in _UNIQUE[table] else F.lit(None)
+            text = compared.cast("string") if column in _UNIQUE[table] and column not in numbers else F.lit(None).cast("string")
+            cells.append((f"{table}.{column}", number, text, 1, 0))
+        column = _REFERENCES[table]
+        cells.append((column, F.col(column), F.lit(None).cast("string"), 0, 1))
         structs = [
-            F.struct(F.lit(item).alias("item"), value.alias("value"), F.lit(n).alias("n"), F.lit(mark).alias("parent"))
-            for item, value, n, mark in cells
+            F.struct(
+                F.lit(item).alias("item"), number.cast("bigint").alias("number"), text.alias("text"),
+                F.lit(n).cast("bigint").alias("n"), F.lit(mark).alias("parent"),
+            )
+            for item, number, text, n, mark in cells
         ]
-        return tables[table].select(F.inline(F.array(*structs)))
-
-    counted = reduce(DataFrame.unionByName, map(pairs, tables)).groupBy("item", "value").agg(
+        return dimensions[table].select(F.inline(F.array(*structs)))
+
+    # A column that may repeat and refers to nothing is only looked at for missing values.
+    compared = (*_UNIQUE[_FACT], *_REFERENCES.values())
+    constrained = list(dict.fromkeys((*_UNIQUE[_FACT], *_REQUIRED[_FACT])))
+    cells = [F.col(c) if c in compared else F.when(F.col(c).isNotNull(), 0) for c in constrained]
+    fact = star.fact.select(*[cell.cast("bigint").alias(c) for c, cell in zip(constrained, cells)]).unpivot([], constrained, "item", "number")
+    fact = fact.where(F.col("item").isin(*compared) | F.col("number").isNull()).select(
+        "item", "number", F.lit(None).cast("string").alias("text"), F.lit(1).cast("bigint").alias("n"), F.lit(0).alias("parent")
+    )
+    counted = reduce(DataFrame.unionByName, map(pairs, dimensions), fact).groupBy("item", "number", "text").agg(
         F.sum("n").alias("n"), F.max("parent").alias("parent")
     )
-    known = F.col("value").isNotNull()
+    known = F.col("number").isNotNull() | F.col("text").isNotNull()
     failures = counted.groupBy("item").agg(
         F.count_if(known & (F.col("n") > 1)).alias("unique"),
         F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("not_null"),
@@ -111,7 +124,8 @@ def star_constraints(star: Star) -> DataFrame:
     declared = star.fact.sparkSession.range(1).select(F.inline(F.array(*[
         F.struct(*[F.lit(x).alias(n) for n, x in zip(("table_name", "constraint_type", "column_name"), check)]) for check in checks
     ])))
-    item = F.concat_ws(".", "table_name", "column_name")
+    # The fact's columns go by their bare names, which are shorter keys.
+    item = F.when(F.col("table_name") == _FACT, F.col("column_name")).otherwise(F.concat_ws(".", "table_name", "column_name"))
     kind = F.col("constraint_type")
     found = F.when(kind == "unique", F.col("unique")).when(kind == "not_null", F.col("not_null")).otherwise(F.col("foreign_key"))
     return declared.join(failures, item == failures["item"], "left").select(

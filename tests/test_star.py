@@ -1,6 +1,7 @@
 """Dimensions, fact, merges."""
 
 import os
+import re
 from datetime import date
 
 import pytest
@@ -332,3 +333,27 @@ def test_constraints_read_every_table_once(spark, folder):
     assert plan.count("FileScan") == 3 or plan.count("Scan parquet") == 3
     empty = star_constraints(jobs.read_star(Warehouse(spark, folder("none"))))
     assert {r.n_failures for r in empty.collect()} == {0} and empty.count() == 17
+
+
+def test_constraints_compare_numbers_as_numbers(spark, folder):
+    """The fact's keys are not turned into texts, and missing or repeated values are found as before."""
+    warehouse = Warehouse(spark, folder("w"))
+    jobs.load_staged(warehouse, gold(spark, FIRST))
+    star = jobs.read_star(warehouse)
+    plan = star_constraints(star)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"cast\((fact_id|location_id)#\d+L? as string\)", plan)
+
+    spoilt = star.fact.withColumns({
+        "fact_id": F.when(F.col("date_id") > 20260124, F.col("fact_id")),
+        "location_id": F.when(F.col("hour") == 0, F.col("location_id")).otherwise(F.lit(77)),
+        "hour": F.when(F.col("date_id") < 20260201, F.col("hour")),
+    })
+    nameless = star.locations.withColumn("location_name", F.lit(None).cast("string"))
+    broken = jobs.Star(spoilt.unionByName(spoilt), star.dates.where("date_id <> 20260125"), star.locations.unionByName(nameless))
+    failing = {(r["table_name"], r["constraint_type"], r["column_name"]): r["n_failures"] for r in star_constraints(broken).where("n_failures > 0").collect()}
+    fact = "fact_weather_hourly"
+    assert failing == {
+        (fact, "unique", "fact_id"): 2, (fact, "not_null", "fact_id"): 4, (fact, "not_null", "hour"): 2,
+        (fact, "foreign_key", "date_id"): 1, (fact, "foreign_key", "location_id"): 1,
+        ("dim_location", "unique", "location_id"): 1, ("dim_location", "not_null", "location_name"): 1,
+    }
