@@ -6,12 +6,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar.operators.curate import curate
 from isobar.schemas import GOLD, GOLD_PARTITIONS
 from isobar.sources import bundles, snapshots
 from isobar.sources.layout import (
-    aligned, date_folders, drop_scratch, only, partition_from_path, path_exists, read_parquet, require_path, uncoalesced,
+    aligned, date_folders, drop_scratch, only, partition_from_path, path_exists, read_files, read_parquet, require_path, uncoalesced,
 )
 
 # A folder costs some milliseconds, however few rows it takes.
@@ -33,11 +34,15 @@ def read_gold_by_path(spark: SparkSession, root: str) -> DataFrame:
     """The same rows, location and run date cut out of the file path instead; the layer has to be laid out by location."""
     require_path(spark, root, "gold")
     bundles.by_date(spark, root, "location")
-    data = read_gold(spark, root)
+    measured = [field for field in GOLD if field.name not in GOLD_PARTITIONS]
+    if snapshots.has_snapshots(spark, root):
+        versioned, plain = snapshots.folders(spark, root, GOLD_PARTITIONS)
+        data = read_files(spark, versioned + plain, T.StructType(measured))
+    else:
+        data = read_gold(spark, root)
     path = F.col("_metadata.file_path")
-    measured = [name for name in GOLD.names if name not in GOLD_PARTITIONS]
     return data.select(
-        *measured,
+        *[field.name for field in measured],
         partition_from_path(path, "location").alias("location"),
         partition_from_path(path, "run_date").cast("date").alias("run_date"),
     )
@@ -69,7 +74,7 @@ def write_gold(silver: DataFrame, root: str, align: bool = True, grain: str | No
             tasks = -(-found["n"] // _FOLDERS_A_TASK) if many else None
             with uncoalesced(spark, many):
                 rows = aligned(curated, GOLD_PARTITIONS, tasks) if align else curated
-                written = snapshots.write_version(rows, root, GOLD_PARTITIONS)
+                written = snapshots.write_version(rows, root, GOLD_PARTITIONS, many)
         unpublished = root if fresh else f"{root.rstrip('/')}/{written.name}"
         before = seen.get["rows"]
         if before == 0:

@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isobar.sources import many_folders
 from isobar.sources.layout import (
-    children, create_file, drop_scratch, leaf_folders, path_exists, read_parquet,
+    children, create_file, drop_scratch, leaf_folders, partition_from_path, path_exists, read_parquet,
 )
 
 _SNAPSHOTS = "_snapshots"
@@ -65,9 +66,16 @@ def keys_of(spark: SparkSession, root: str) -> list[str] | None:
     return spark.read.parquet(f"{root}/{_SNAPSHOTS}/table-{commits[-1][1]}").columns[4:]
 
 
-def _listed(spark: SparkSession, path: str, version: str | None, keys: Sequence[str]) -> DataFrame:
-    """The folders below a version, or those of a plain table, as rows of a snapshot."""
-    found = leaf_folders(spark, [path], keys, above=None if version else "version")
+def _listed(spark: SparkSession, root: str, version: str | None, keys: Sequence[str]) -> DataFrame:
+    """The folders of a version, or those of the plain layout, as rows of a snapshot."""
+    if version and path_exists(spark, f"{root}/{version}/{many_folders.LISTED}"):
+        folders = many_folders.listed(spark, f"{root}/{version}").select("folder").distinct()
+        found = folders.select("folder", *[partition_from_path(F.col("folder"), key, is_uri=False).alias(key) for key in keys])
+    else:
+        names = [version] if version else [n for n in children(spark, root) if not n.startswith(("version=", "_", "."))]
+        if not names:
+            return spark.createDataFrame([], _schema(keys))
+        found = leaf_folders(spark, [f"{root}/{name}" for name in names], keys)
     found = found.withColumn("_top", F.substring_index("folder", "/", 1))
     tops = found.groupBy("_top").agg(F.count("*").alias("n_top"))
     total = tops.agg(F.sum("n_top")).first()[0]
@@ -76,9 +84,11 @@ def _listed(spark: SparkSession, path: str, version: str | None, keys: Sequence[
     )
 
 
-def write_version(df: DataFrame, root: str, keys: Sequence[str]) -> Version:
-    """Write rows below ``root`` where no reader sees them yet."""
+def write_version(df: DataFrame, root: str, keys: Sequence[str], many: bool = False) -> Version:
+    """Write rows below ``root`` where no reader sees them yet; ``many`` says that there are thousands of folders, each small."""
     name = f"version={uuid.uuid4().hex[:12]}"
+    if many and many_folders.can_write(df.sparkSession, root):
+        return Version(name, many_folders.write(df, f"{root.rstrip('/')}/{name}", keys))
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option(*_BY_TASKS).partitionBy(*keys).parquet(f"{root.rstrip('/')}/{name}")
     return Version(name, seen.get["rows"])
@@ -88,7 +98,7 @@ def publish(spark: SparkSession, root: str, version: str, keys: Sequence[str], w
     """Make a written version's folders those of the table; with ``whole`` it is the whole table. May be repeated."""
     root, keys = root.rstrip("/"), list(keys)
     commits = _commits(spark, root)
-    rows = _listed(spark, f"{root}/{version}", version, keys)
+    rows = _listed(spark, root, version, keys)
     if not whole:
         old = _table(spark, root, commits[-1][1], keys) if commits else _listed(spark, root, None, keys)
         rows = old.where(F.coalesce(F.col("version") != version, F.lit(True))).join(rows.select("folder"), "folder", "left_anti").unionByName(rows)
